@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, mixing, simhash
+from tessera.llm import decontaminate, line_dedup, mixing, simhash, suffix_dedup
 from tessera.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_removed")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -25,6 +29,31 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+OP1_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+b AS (SELECT doc_id, i, {'d': doc_id, 'i': i} AS place, trim(raw) AS line FROM l WHERE trim(raw) <> ''),
+d AS (SELECT line, min(place) AS first, string_split(line, ' ') AS w FROM b GROUP BY line),
+f AS (SELECT * FROM d WHERE len(w) >= 8),
+v AS (
+  SELECT first, len(w) AS n, p, md5(array_to_string(list_concat(w[1:p - 1], w[p + 1:]), ' ')) AS g
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS p FROM f)),
+e AS (
+  SELECT first FROM (SELECT first, min(first) OVER (PARTITION BY n, p, g) AS e FROM v) WHERE e < first
+  UNION SELECT greatest(v.first, f.first) FROM v JOIN f ON v.g = md5(f.line) AND v.n = len(f.w) + 1),
+x AS (
+  SELECT b.doc_id, b.i FROM b JOIN d USING (line)
+  WHERE b.place > d.first OR d.first IN (SELECT first FROM e))
+SELECT doc_id, string_agg(raw, chr(10) ORDER BY i) FILTER (WHERE NOT gone) AS kept, count(*) FILTER (WHERE gone) AS lines_removed
+FROM (SELECT l.doc_id, l.i, l.raw, x.i IS NOT NULL AS gone FROM l LEFT JOIN x ON l.doc_id = x.doc_id AND l.i = x.i)
+GROUP BY doc_id
+"""
+OP1_SQL = f"SELECT doc_id, coalesce(kept, '') AS text, lines_removed FROM ({OP1_SQL})"
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -72,8 +101,8 @@ SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op6_mixing, op7_simhash)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op6_mixing, op7_simhash, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL, "op6_mixing": OP6_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op6_mixing": OP6_SQL}
