@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, line_dedup, mixing, simhash, suffix_dedup
+from tessera.llm import ann, chat, decontaminate, licenses, line_dedup, mixing, simhash, suffix_dedup, toxicity, urls
 from tessera.llm.common import table
 
 
@@ -19,6 +19,22 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    evidence = F.array_join(F.transform("evidence", lambda e: F.concat(e["doc_id"].cast("string"), F.lit(":"), e["label"].cast("string"))), ",")
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", evidence.alias("evidence"))
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return chat.preferences(turns, chat.paired_by_id(turns))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, sources = mixing.mix_with_sources(table(spark, sf_dir, "documents"))
     return mixing.curriculum(mixed, mixing.tilted(sources)).select("doc_id", "size", "source_size", "target", "taken", "position")
@@ -29,6 +45,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.verdicts(table(spark, sf_dir, "pages"))
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), "id % 50 = 0")
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -76,6 +100,71 @@ SELECT d.doc_id, coalesce(len(d.w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+OP4_SQL = r"""
+WITH t(license, notice) AS (VALUES {notices}),
+u AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS unit, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents
+  UNION ALL SELECT doc_id, text, -1 FROM documents WHERE contains(text, chr(10))),
+b AS (
+  SELECT *, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b
+  FROM (SELECT doc_id, line_no, regexp_extract_all(lower(unit), '[a-z0-9]+') AS w FROM u)),
+n AS (
+  SELECT license, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
+  FROM (SELECT license, regexp_extract_all(lower(notice), '[a-z0-9]+') AS w FROM t)),
+d AS (
+  SELECT doc_id, line_no, license, 2.0 * len(list_intersect(b, g)) / (len(b) + len(g)) AS dice
+  FROM b JOIN n ON len(b) BETWEEN 0.6 * len(g) AND 1.6 * len(g))
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, license, CAST(dice AS DOUBLE) AS dice FROM d WHERE dice >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, line_no ORDER BY dice DESC, license) = 1
+"""
+
+
+def _op4_sql() -> str:
+    return OP4_SQL.replace("{notices}", ", ".join(f"('{k}', '{v}')" for k, v in licenses.NOTICES.items()))
+
+
+OP5_SQL = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY coalesce(role, ''), coalesce(text, '')) = 1),
+s AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, '<|' || role || '|>' || chr(10) || text || chr(10) AS shown FROM r),
+p AS (
+  SELECT conv_id // 2 AS pair_id, min(conv_id) AS chosen_id, max(conv_id) AS rejected_id FROM (SELECT DISTINCT conv_id FROM r)
+  GROUP BY conv_id // 2 HAVING count(*) = 2),
+m AS (
+  SELECT pair_id, min(coalesce(a.i, b.i)) AS first_off
+  FROM p JOIN s a ON a.conv_id = chosen_id FULL JOIN (SELECT s.*, pair_id AS pid FROM p JOIN s ON s.conv_id = rejected_id) b ON b.pid = pair_id AND a.i = b.i
+  WHERE a.i IS NULL OR b.i IS NULL OR a.role <> b.role OR a.text <> b.text GROUP BY pair_id),
+m2 AS (
+  SELECT p.*, least(coalesce(first_off, 1000000000),
+    coalesce((SELECT max(i) FROM s WHERE conv_id = chosen_id), 0) + 1, coalesce((SELECT max(i) FROM s WHERE conv_id = rejected_id), 0) + 1) - 1 AS n
+  FROM p LEFT JOIN m USING (pair_id)),
+x AS (
+  SELECT m2.pair_id, s.conv_id = rejected_id AS rej, s.*, n, i <= n AS pre,
+    sum(length(shown)) OVER (PARTITION BY s.conv_id, i <= n ORDER BY i) - length(shown) AS start
+  FROM m2 JOIN s ON s.conv_id IN (chosen_id, rejected_id)),
+y AS (
+  SELECT pair_id,
+    coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE pre AND NOT rej), '') AS prompt,
+    coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE NOT pre AND NOT rej), '') AS chosen,
+    coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE NOT pre AND rej), '') AS rejected,
+    coalesce(string_agg((start + length(role) + 5)::VARCHAR || '-' || (start + length(role) + 5 + length(text))::VARCHAR, ',' ORDER BY i) FILTER (WHERE NOT pre AND NOT rej AND role = 'assistant'), '') AS chosen_mask,
+    coalesce(string_agg((start + length(role) + 5)::VARCHAR || '-' || (start + length(role) + 5 + length(text))::VARCHAR, ',' ORDER BY i) FILTER (WHERE NOT pre AND rej AND role = 'assistant'), '') AS rejected_mask
+  FROM x GROUP BY pair_id)
+SELECT m2.pair_id, chosen_id, rejected_id, n AS prompt_turns, prompt, chosen, chosen_mask, rejected, rejected_mask FROM m2 JOIN y USING (pair_id)
+"""
+
+OP8_SQL = r"""
+WITH r(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+a AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+b AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(regexp_replace(rest, '^[^/?#]*', ''), '^[^?#]*') AS path FROM a)
+SELECT page_id, host, path, h || p AS rule, coalesce(v, 'allow') AS verdict
+FROM b LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) = 1
+"""
+
 OP6_SQL = r"""
 WITH z AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
@@ -101,8 +190,8 @@ SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op6_mixing, op7_simhash, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_toxicity, op4_licenses, op5_chat, op6_mixing, op7_simhash, op8_urls, op9_neighbours, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op6_mixing": OP6_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op4_licenses": _op4_sql(), "op5_chat": OP5_SQL, "op6_mixing": OP6_SQL, "op8_urls": OP8_SQL}

@@ -148,13 +148,8 @@ def _candidates(docs: DataFrame, known: dict[int, np.ndarray], span: int) -> Dat
     return docs.select("doc_id", "k1", "k2", F.col("text").cast("binary")).mapInArrow(run, "doc_id long, k1 long, k2 long, n_words long, hits array<struct<s: long, n: int, w: string>>")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text", block_hashes: int = 1 << 20) -> DataFrame:
-    """One row per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
-
-    A window is `span` consecutive words of an item, or the whole of a shorter item. A document word inside any
-    occurrence of a window is hit. Null and empty texts have no words and no hits; rows that repeat an id each
-    get a row, and those that agree in id and text the same one; an empty benchmark hits nothing.
-    """
+def _matched(docs: DataFrame, benchmark: DataFrame, span: int, id_col: str, text_col: str, block_hashes: int) -> tuple[DataFrame, DataFrame]:
+    """(scanned, matched): (doc_id, k1, k2, n_words) by row, and (k1, k2, s, n, item_id) by occurrence of a window."""
     k1, k2 = row_keys(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), k1.alias("k1"), k2.alias("k2"))
     windows = written(windows_of(benchmark, span, "item_id", "text"))
@@ -169,13 +164,31 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col:
         hits = found if hits is None else hits.unionByName(found)
     scanned = written(hits)
     spans = scanned.where(F.size("hits") > 0).select("k1", "k2", F.explode("hits").alias("x")).select("k1", "k2", "x.s", "x.n", "x.w").distinct()
-    small = windows.select("item_id", "n", "w")
-    matched = written(spans.join(small, ["n", "w"]).select("k1", "k2", "s", "n", "item_id"))
+    matched = written(spans.join(windows.select("item_id", "n", "w"), ["n", "w"]).select("k1", "k2", "s", "n", "item_id"))
+    return scanned.where("block = 0").select("doc_id", "k1", "k2", "n_words"), matched
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text", block_hashes: int = 1 << 20) -> DataFrame:
+    """One row per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    A window is `span` consecutive words of an item, or the whole of a shorter item. A document word inside any
+    occurrence of a window is hit. Null and empty texts have no words and no hits; rows that repeat an id each
+    get a row, and those that agree in id and text the same one; an empty benchmark hits nothing.
+    """
+    scanned, matched = _matched(docs, benchmark, span, id_col, text_col, block_hashes)
     upto = W.partitionBy("k1", "k2").orderBy("s", "n").rowsBetween(W.unboundedPreceding, -1)
     runs = matched.select("k1", "k2", "s", "n").distinct().withColumn("till", F.coalesce(F.max(F.col("s") + F.col("n")).over(upto), F.lit(0)))
     covered = runs.groupBy("k1", "k2").agg(F.sum(F.greatest(F.lit(0), F.col("s") + F.col("n") - F.greatest("s", "till"))).alias("n_hit"))
     listed = matched.select("k1", "k2", "item_id").distinct().groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.col("item_id").cast("string"))).alias("items"))
-    rows = scanned.where("block = 0").select("doc_id", "k1", "k2", "n_words").join(covered, ["k1", "k2"], "left").join(listed, ["k1", "k2"], "left")
+    rows = scanned.join(covered, ["k1", "k2"], "left").join(listed, ["k1", "k2"], "left")
     items: Column = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text", block_hashes: int = 1 << 20) -> DataFrame:
+    """The rows of docs, all columns, in which no window of the benchmark occurs."""
+    _, matched = _matched(docs, benchmark, span, id_col, text_col, block_hashes)
+    k1, k2 = row_keys(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    bad = matched.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
+    return docs.withColumns({"__k1": k1, "__k2": k2}).join(bad, ["__k1", "__k2"], "left_anti").select(*docs.columns)

@@ -108,7 +108,8 @@ def dedup_lines(docs: DataFrame, near_words: int = 8, id_col: str = "doc_id", te
 
     Blank lines stay. A null text stays null and an empty one empty; a text whose lines all go is empty unless it
     had blank lines. Rows that agree in id and text are one document: each gets that document's result. Null ids
-    come last in the order. An empty table gives no rows. Columns of docs that are not named here pass through.
+    come last in the order. An empty table gives no rows. Other columns of docs pass through, but
+    for a `lines_removed` of its own.
     """
     text = F.col(text_col).cast("string")
     gone = removed_lines(docs, near_words, id_col, text_col).select("k1", "k2", "line_no").distinct()
@@ -119,4 +120,4 @@ def dedup_lines(docs: DataFrame, near_words: int = 8, id_col: str = "doc_id", te
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
     kept = F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: parts[i]), "\n"))
     removed = F.coalesce(F.size("__gone"), F.lit(0)).cast("long")
-    return joined.withColumns({text_col: kept, "lines_removed": F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(removed).cast("long")}).drop("__k1", "__k2", "__gone").select(*docs.columns, "lines_removed")
+    return joined.withColumns({text_col: kept, "lines_removed": F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(removed).cast("long")}).select(*[c for c in docs.columns if c != "lines_removed"], "lines_removed")

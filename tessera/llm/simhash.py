@@ -183,3 +183,16 @@ def near_duplicates(docs: DataFrame, budget: int = 4, id_col: str = "doc_id", te
     placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return fps.join(named, "fp").select("id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, budget: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs, all columns, with one row of each near-duplicate group: that of the smallest id.
+
+    Rows that agree in id and text count as one. Rows without an id stay only if one of them is in a
+    group without ids.
+    """
+    found = near_duplicates(docs, budget, id_col, text_col)
+    keep = found.where("component_id is null or id = component_id").select(F.col("id").alias("__id")).distinct()
+    key = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    kept = docs.withColumn("__k", key).join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    return kept.dropDuplicates([id_col, "__k"]).select(*docs.columns)
