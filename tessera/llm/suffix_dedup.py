@@ -66,7 +66,7 @@ class SuffixArray:
             key = (key << np.uint64(9)) | np.where(left > j, symbols[j : j + n], np.uint64(0))
         self.ranks = {}
         while True:
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)  # equal keys share a rank, so their order does not matter
             short = (left < width)[order]  # a string that its text ends is like no other
             new = np.concatenate(([True], (key[order][1:] != key[order][:-1]) | short[1:] | short[:-1]))
             rank = np.zeros(n + len(pad), np.uint64)
@@ -76,7 +76,7 @@ class SuffixArray:
                 break
             key = (rank[:n] << np.uint64(32)) | np.where(left > width, rank[width : width + n], np.uint64(0))
             width *= 2
-        order = np.argsort((rank[starts] << np.uint64(32)) | rank[starts + width], kind="stable")
+        order = np.argsort((rank[starts] << np.uint64(32)) | rank[starts + width])
         self.starts, self.room = starts[order], room[order]
         a, b = self.starts[:-1], self.starts[1:]
         same, most = np.zeros(len(a), np.int64), np.minimum(self.room[:-1], self.room[1:])
