@@ -31,11 +31,11 @@ def residue_tokens(t: Tables) -> DataFrame:
 
 @query("""
 WITH h AS (
-  SELECT doc_id, lang, 'R1' AS rule_id, unnest(regexp_extract_all(regexp_replace(text, 'the and', '', 'g'), '\\b[Tt]h[ae]\\w*')) AS hit FROM documents WHERE lang = 'en'
-  UNION ALL SELECT doc_id, lang, 'R2', unnest(regexp_extract_all(text, '\\bque\\w*')) FROM documents WHERE lang = 'fr')
+  SELECT doc_id, lang, 'R1' AS rule_id, unnest(regexp_extract_all(regexp_replace(text, 'the and', '', 'g'), '[Tt]h[ae][a-z]*')) AS hit FROM documents WHERE lang = 'en'
+  UNION ALL SELECT doc_id, lang, 'R2', unnest(regexp_extract_all(text, 'que[a-z]*')) FROM documents WHERE lang = 'fr')
 SELECT CAST(doc_id AS VARCHAR) AS ref, lang, rule_id, hit, count(*) AS n FROM h GROUP BY ALL""")
 def terminology_rules(t: Tables) -> DataFrame:
-    rules = t.rows([("R1", "EN", r"\b[Tt]h[ae]\w*", "the and", "x"), ("R2", "fr", r"\bque\w*", "", "y")], "rule_id string, lang string, deprecated_regex string, allow_regex string, preferred string")
+    rules = t.rows([("R1", "EN", "[Tt]h[ae][a-z]*", "the and", "x"), ("R2", "fr", "que[a-z]*", "", "y")], "rule_id string, lang string, deprecated_regex string, allow_regex string, preferred string")
     found = quality.terminology(t.documents, "doc_id", "text", "lang", rules)
     return found.select("ref", "lang", F.get_json_object("evidence", "$.rule_id").alias("rule_id"), F.get_json_object("evidence", "$.hit").alias("hit")).groupBy("ref", "lang", "rule_id", "hit").agg(F.count("*").alias("n"))
 
