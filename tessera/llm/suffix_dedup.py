@@ -181,19 +181,31 @@ def _heads(docs: DataFrame, length: int, k: int) -> DataFrame:
     return heads.groupBy("t1", "t2").agg(F.count("*").alias("copies"), F.first("a").alias("a"), F.first("lo").alias("lo"), F.first("n").alias("n"))
 
 
-def _cut(texts: DataFrame, length: int) -> DataFrame:
-    """(t1, t2, lo, n, a, p1, p2, piece) for each piece named in texts (t1, t2, b, at array<struct<lo, hi, a>>)."""
+def _cut(texts: DataFrame, length: int, remembered: int = 200_000) -> DataFrame:
+    """(t1, t2, lo, n, a, p1, p2, piece) for each piece named in texts (t1, t2, b, at array<struct<lo, hi, a>>).
+
+    A task gives the bytes of a piece with its first occurrence and null with those that repeat it, as far as it
+    remembers: it forgets all after `remembered` pieces.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for b in batches:
             for t1, t2, data, at in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 for i in range(0, len(at), 2000):
                     part = at[i : i + 2000]
                     cut = [data[x["lo"] : x["hi"] - 1 + length] for x in part]
-                    digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(p) for p in cut), np.int64).reshape(-1, 2)
+                    names = [xxhash.xxh3_128_digest(p) for p in cut]
+                    given = []
+                    for name, p in zip(names, cut, strict=True):
+                        given.append(None if name in seen else p)
+                        seen.add(name)
+                    if len(seen) > remembered:
+                        seen.clear()
+                    digest = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
                     cols = [np.full(len(part), t1), np.full(len(part), t2), [x["lo"] for x in part], [x["hi"] - x["lo"] for x in part], [x["a"] for x in part], digest[:, 0], digest[:, 1]]
                     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 3]
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), pa.array(cut, pa.binary())], ["t1", "t2", "lo", "n", "a", "p1", "p2", "piece"])
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), pa.array(given, pa.binary())], ["t1", "t2", "lo", "n", "a", "p1", "p2", "piece"])
 
     return texts.select("t1", "t2", "b", "at").mapInArrow(run, "t1 long, t2 long, lo int, n int, a long, p1 long, p2 long, piece binary")
 
@@ -239,7 +251,7 @@ def _count_windows(pieces: DataFrame, length: int) -> DataFrame:
                 w = np.frombuffer(b"".join(xxhash.xxh3_128_digest(piece[i : i + length]) for i in range(n)), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, a)), pa.array(np.full(n, p1)), pa.array(np.full(n, p2)), pa.array(np.arange(n, dtype=np.int32)), pa.array(w[:, 0]), pa.array(w[:, 1])], ["a", "p1", "p2", "s", "w1", "w2"])
 
-    each = pieces.select("a", "p1", "p2", "piece").mapInArrow(run, "a long, p1 long, p2 long, s int, w1 long, w2 long")
+    each = written(pieces.select("a", "p1", "p2", "piece").mapInArrow(run, "a long, p1 long, p2 long, s int, w1 long, w2 long"))
     often = each.groupBy("a", "w1", "w2").count().where("count > 1").drop("count")
     hit = each.join(often, ["a", "w1", "w2"]).groupBy("a", "p1", "p2").agg(F.collect_list(F.struct("s", (F.col("s") + 1).alias("e"))).alias("ranges"))
     return hit.select("a", "p1", "p2", F.col("ranges").cast(_RANGES).alias("ranges"))
@@ -258,12 +270,12 @@ def repeated_spans(docs: DataFrame, length: int, k: int, group_bytes: int, task_
     texts = docs.select("t1", "t2", "b").join(at, ["t1", "t2"]).dropDuplicates(["t1", "t2"])
     pieces = written(_cut(texts, length))
 
-    counted = written(pieces.groupBy("a", "p1", "p2").agg(F.count("*").alias("c"), F.first(F.length("piece")).alias("size")))
-    mixed = counted.groupBy("a").agg(F.count("*").alias("kinds"), F.sum("size").alias("held")).where("kinds > 1")
-    distinct = pieces.join(mixed, "a").dropDuplicates(["a", "p1", "p2"])
-    found = _compare(distinct.where(F.col("held") <= group_bytes), length, task_bytes)
+    counted = written(pieces.groupBy("a", "p1", "p2").agg(F.count("*").alias("c"), F.first("piece", ignorenulls=True).alias("piece")))
+    mixed = written(counted.groupBy("a").agg(F.count("*").alias("kinds"), F.sum(F.length("piece")).alias("held")).where("kinds > 1"))
+    distinct = lambda size: counted.join(mixed.where(size), "a").select("a", "p1", "p2", "piece")
+    found = _compare(distinct(F.col("held") <= group_bytes), length, task_bytes)
     if not mixed.where(F.col("held") > group_bytes).isEmpty():
-        found = found.unionByName(_count_windows(distinct.where(F.col("held") > group_bytes), length))
+        found = found.unionByName(_count_windows(distinct(F.col("held") > group_bytes), length))
     verdicts = counted.join(found, ["a", "p1", "p2"], "left").where("c > 1 or size(ranges) > 0").select("a", "p1", "p2", "c", "ranges")
     own = pieces.select("t1", "t2", "lo", "n", "a", "p1", "p2").join(verdicts, ["a", "p1", "p2"])
     whole = F.array(F.struct(F.col("lo").alias("s"), (F.col("lo") + F.col("n")).alias("e")))
