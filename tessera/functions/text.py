@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -241,3 +242,13 @@ def unit_value(value: Column | str, unit: Column | str) -> Column:
     """A value with its unit, a space between unless the unit is a degree, percent or empty."""
     v, u = F.trim(as_col(value)), F.coalesce(F.trim(as_col(unit)), F.lit(""))
     return F.when(v == "", F.lit("")).when(u == "", v).when(u.rlike("^[°%]"), F.concat(v, u)).otherwise(F.concat(v, F.lit(" "), u))
+
+
+def split_target(c: Column | str, regions: Sequence[str]) -> Column:
+    """MODEL_REGION_REST cut at its last part that is a known region: (model, region, rest); all model without one."""
+    parts = F.split(F.trim(as_col(c)), "_")
+    last = F.size(parts) - F.array_position(F.reverse(F.transform(parts, lambda p: F.upper(p).isin(*[r.upper() for r in regions]))), True)  # from 0
+    found = F.exists(parts, lambda p: F.upper(p).isin(*[r.upper() for r in regions]))
+    at = last.cast("int")
+    join = lambda a: F.array_join(a, "_")
+    return F.when(found, F.struct(join(F.slice(parts, F.lit(1), at)).alias("model"), F.get(parts, at).alias("region"), join(F.slice(parts, at + 2, F.size(parts))).alias("rest"))).otherwise(F.struct(F.trim(as_col(c)).alias("model"), F.lit("").alias("region"), F.lit("").alias("rest")))

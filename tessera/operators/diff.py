@@ -265,3 +265,29 @@ def only_intended(before: DataFrame, after: DataFrame, intended: DataFrame) -> D
     before and after have the same columns; intended is the multiset of rows that should be new."""
     made = after.exceptAll(before)
     return made.exceptAll(intended).withColumn("gate", F.lit("unintended")).unionByName(intended.exceptAll(made).withColumn("gate", F.lit("lost")))
+
+
+def merged_edits(base: DataFrame, source: DataFrame, review: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value, origin): a three-way merge by key: what the reviewer changed stays, the rest follows the source.
+
+    A key that the source dropped goes unless the reviewer edited it; one that only the reviewer has stays."""
+    side = lambda df, name: df.groupBy(key).agg(F.min(value).alias(name), F.lit(True).alias(f"in_{name}"))
+    all_ = side(base, "b").join(side(source, "s"), key, "full").join(side(review, "r"), key, "full")
+    edited = F.coalesce("in_r", F.lit(False)) & ~F.col("r").eqNullSafe(F.col("b"))
+    dropped = F.coalesce("in_b", F.lit(False)) & F.col("in_r").isNull()
+    kept = all_.where(edited | (F.coalesce("in_s", F.lit(False)) & ~dropped))
+    return kept.select(key, F.when(edited, F.col("r")).otherwise(F.col("s")).alias(value), F.when(edited, "review").otherwise("source").alias("origin"))
+
+
+def routed_edits(edits: DataFrame) -> DataFrame:
+    """edits with `target`: source_table for a change in the source language, translation_memory for one in another.
+
+    edits: lang, source_lang."""
+    same = F.lower(F.trim("lang")) == F.lower(F.trim("source_lang"))
+    return edits.withColumn("target", F.when(F.coalesce(same, F.lit(True)), "source_table").otherwise("translation_memory"))
+
+
+def verified(now: DataFrame, frozen: DataFrame) -> DataFrame:
+    """(path, state) of files against a frozen inventory (path, sha256): missing, added or changed; none if all agree."""
+    both = now.select("path", F.col("sha256").alias("n")).join(frozen.select("path", F.col("sha256").alias("f")), "path", "full").where(~F.col("n").eqNullSafe(F.col("f")))
+    return both.select("path", F.when(F.col("n").isNull(), "missing").when(F.col("f").isNull(), "added").otherwise("changed").alias("state"))

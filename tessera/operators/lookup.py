@@ -18,6 +18,14 @@ from tessera.functions.values import flag, version_key
 from tessera.operators.predicates import applies, page_applies
 
 
+def small(df: DataFrame, most: int = 50_000) -> DataFrame:
+    """df, marked for broadcast if it is counted to have at most `most` rows; a larger one is left to the planner.
+
+    For rule and copy tables that join on few keys: without it, all rows of a fact table meet in those keys' partitions.
+    """
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def best_per_key(df: DataFrame, keys: Sequence[str], better: Sequence[Column], pos: str, found_at: str | None = None) -> DataFrame:
     """The row of each key that is greatest by `better`, the earliest (least pos) of equals; all columns of df.
 
@@ -83,7 +91,7 @@ def spec_matches(rows: DataFrame, targets: DataFrame) -> DataFrame:
     """
     t = targets.select("target_id", "row_key", F.col("model").alias("t_model"), F.col("region").alias("t_region"), F.col("pages").alias("t_pages"))
     fits = flag("is_latest", "spec") & applies("model", "t_model", "spec", F.coalesce(filled("t_region"), F.lit(""))) & applies("region", "t_region") & page_applies("page", F.col("t_pages"))
-    found = rows.join(t, "row_key").where(fits).withColumn("score", specificity("model", "region", "t_model", "t_region", "value", "is_latest"))
+    found = t.join(small(rows), "row_key").where(fits).withColumn("score", specificity("model", "region", "t_model", "t_region", "value", "is_latest"))
     return ranked(found, ["target_id"], [F.desc("score"), F.col("line").asc()]).drop("t_pages")
 
 
@@ -218,7 +226,7 @@ def variable_values(defaults: DataFrame, requests: DataFrame, overrides: DataFra
     defaults: variable, models array, value, is_default boolean; requests: request_id, variable, model, lang;
     overrides: variable, lang, source_value, value. Several exact or several default rows are a 'duplicate'.
     """
-    hits = requests.join(defaults, "variable").withColumn("exact", F.exists("models", lambda m: F.lower(m) == F.lower(F.col("model"))))
+    hits = requests.join(small(defaults), "variable").withColumn("exact", F.exists("models", lambda m: F.lower(m) == F.lower(F.col("model"))))
     tally = hits.groupBy("request_id", "variable", "lang").agg(
         F.count_if("exact").alias("n_exact"), F.max(F.when(F.col("exact"), F.col("value"))).alias("v_exact"),
         F.count_if(~F.col("exact") & F.col("is_default")).alias("n_default"), F.max(F.when(~F.col("exact") & F.col("is_default"), F.col("value"))).alias("v_default"),
@@ -226,7 +234,7 @@ def variable_values(defaults: DataFrame, requests: DataFrame, overrides: DataFra
     n = F.when(F.col("n_exact") > 0, F.col("n_exact")).otherwise(F.col("n_default"))
     based = tally.withColumn("base", F.when(n == 1, F.coalesce("v_exact", "v_default"))).withColumn("status", F.when(n == 0, "missing").when(n > 1, "duplicate").otherwise("found"))
     known = overrides.groupBy("variable", "lang", "source_value").agg(F.min("value").alias("own"))
-    joined = based.join(known.withColumnRenamed("source_value", "base"), ["variable", "lang", "base"], "left")
+    joined = based.join(small(known.withColumnRenamed("source_value", "base")), ["variable", "lang", "base"], "left")
     missed = requests.join(based.select("request_id"), "request_id", "left_anti").select("request_id", "variable", F.lit(None).cast("string").alias("value"), F.lit("missing").alias("status"))
     return joined.select("request_id", "variable", F.coalesce("own", "base").alias("value"), "status").unionByName(missed)
 
@@ -242,7 +250,7 @@ def copy_texts(rows: DataFrame, requests: DataFrame) -> DataFrame:
     region_score = F.when(filled("region").isNull() | (own == "all"), 0).when(own == F.lower(F.trim("t_region")), 2)
     parts = tokens("model", r"[,;|/\s、，]+")
     model_score = F.when((F.size(parts) == 0) | F.exists(parts, lambda t: F.lower(t) == "all"), 0).when(applies("model", "t_model", "block_model", F.coalesce("t_region", F.lit(""))), 2)
-    fit = rows.join(asked, "copy_key").where(flag("is_latest", "localized")).withColumn("score", region_score + model_score).where("score is not null")
+    fit = asked.join(small(rows), "copy_key").where(flag("is_latest", "localized")).withColumn("score", region_score + model_score).where("score is not null")
     order = F.struct("score", filled("version").isNotNull().alias("v"), (-F.col("line")).alias("l"))
     best = fit.groupBy("request_id").agg(F.max_by(F.struct(F.trim("text").alias("text"), "line"), order).alias("m"), F.max(filled("text").isNull()).alias("blank"))
     found = best.select("request_id", F.when(~F.col("blank"), F.col("m.text")).alias("text"), F.when(~F.col("blank"), F.col("m.line")).alias("line"), F.when(F.col("blank"), "blank").otherwise("found").alias("status"))
@@ -276,7 +284,7 @@ def best_or_default(entries: DataFrame, requests: DataFrame, key: str, dim: str,
     """(request_id, name): of the entries of a key the one for the request's own `dim`, else the one without, the
     least name of each; null where there is neither."""
     asked = requests.select("request_id", key, F.col(dim).alias("__t"))
-    fit = asked.join(entries, key).where(filled(dim).isNull() | (F.lower(F.trim(dim)) == F.lower(F.trim("__t"))))
+    fit = asked.join(small(entries), key).where(filled(dim).isNull() | (F.lower(F.trim(dim)) == F.lower(F.trim("__t"))))
     best = fit.groupBy("request_id").agg(F.min_by(name, F.struct(filled(dim).isNull().alias("general"), F.col(name).alias("n"))).alias(name))
     return requests.select("request_id").join(best, "request_id", "left")
 
@@ -287,7 +295,7 @@ def base_and_override(assets: DataFrame, requests: DataFrame) -> DataFrame:
 
     assets: asset_key, scope, asset; requests: request_id, asset_key, model.
     """
-    hits = requests.join(assets, "asset_key")
+    hits = requests.join(small(assets), "asset_key")
     general = filled("scope").isNull() | (F.upper(F.trim("scope")) == "ALL")
     own = ~general & applies("scope", "model", "asset")
     tally = hits.groupBy("request_id").agg(
@@ -339,3 +347,46 @@ def skeleton(slots: DataFrame, langs: Sequence[str], mounted: DataFrame) -> Data
     base = each.select("lang", "slot", "slot_order", F.lit(0).alias("part"), F.col("slot").alias("item"))
     more = each.join(mounted.withColumnRenamed("anchor", "slot"), ["slot", "lang"]).select("lang", "slot", "slot_order", F.lit(1).alias("part"), "item")
     return base.unionByName(more)
+
+
+def refs_to_ids(rows: DataFrame, key: str, refs: str, known: DataFrame) -> DataFrame:
+    """(key, ids, unresolved): a cell of comma-parted record ids as business ids in the cell's order, and those that
+    `known` (record_id, business_id) lacks. Rows without references give empty texts."""
+    each = rows.select(key, F.posexplode_outer(tokens(refs, ",")).alias("p", "record_id"))
+    one = known.groupBy("record_id").agg(F.min("business_id").alias("b"))
+    found = each.join(small(one), "record_id", "left")
+    pairs = lambda c: F.array_join(F.transform(F.array_sort(F.filter(F.collect_list(F.struct("p", c.alias("v"))), lambda x: x["v"].isNotNull())), lambda x: x["v"]), ",")
+    return found.groupBy(key).agg(pairs(F.col("b")).alias("ids"), pairs(F.when(F.col("b").isNull(), F.col("record_id"))).alias("unresolved"))
+
+
+def memory_writes(suggestions: DataFrame, memory: DataFrame) -> DataFrame:
+    """(delta_hash, record_id, status): write, already, ambiguous or missing for corrections of translations.
+
+    suggestions: delta_hash, lang, old_text, new_text; memory: record_id, lang, text. The record of the old text, if it is
+    the only one; without one, a record of the new text means that it is written already.
+    """
+    index = unique_or_abstain(memory.select("record_id", "lang", collapsed("text").alias("norm")), ["lang", "norm"], "record_id")
+    side = lambda name: index.select("lang", F.col("norm").alias(f"{name}_norm"), F.col("record_id").alias(f"{name}_id"), F.col("status").alias(f"{name}_status"))
+    asked = suggestions.select("delta_hash", "lang", collapsed("old_text").alias("old_norm"), collapsed("new_text").alias("new_norm"))
+    both = asked.join(side("old"), ["lang", "old_norm"], "left").join(side("new"), ["lang", "new_norm"], "left")
+    status = F.when(F.col("old_status") == "unique", "write").when(F.col("old_status") == "ambiguous", "ambiguous").when(F.col("new_status").isNotNull(), "already").otherwise("missing")
+    return both.select("delta_hash", F.when(status == "write", F.col("old_id")).when((status == "already"), F.col("new_id")).alias("record_id"), status.alias("status"))
+
+
+def seed_plan(slots: DataFrame, sources: DataFrame, key: str, ref: str) -> DataFrame:
+    """(key, ref, status): what a new product line can copy: a slot's only source, else needs_input."""
+    found = unique_or_abstain(sources, [key], ref)
+    joined = slots.select(key).distinct().join(found, key, "left")
+    return joined.select(key, ref, F.when(F.col("status") == "unique", "copy").otherwise("needs_input").alias("status"))
+
+
+def narrowed(langs: Column, scope: Column) -> Column:
+    """Languages that a product's scope allows, in their own order; all of them where the scope is null or empty."""
+    return F.when(F.coalesce(F.size(scope) == 0, F.lit(True)), langs).otherwise(F.filter(langs, lambda x: F.exists(scope, lambda s: F.lower(s) == F.lower(x))))
+
+
+def allowed_pages(pages: DataFrame, capabilities: DataFrame, rules: DataFrame) -> DataFrame:
+    """pages (document_key, page) without those that a capability the product lacks forbids; products without a
+    capability row keep all. capabilities: document_key, capability, has; rules: capability, page, forbidden."""
+    barred = capabilities.where("not has").join(small(rules.where("forbidden")), "capability").select("document_key", "page").distinct()
+    return pages.join(barred, ["document_key", "page"], "left_anti")

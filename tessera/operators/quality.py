@@ -283,3 +283,19 @@ def bundle_issues(files: DataFrame, assets: DataFrame, path: str = "path", text:
     there = files.select(F.col(path).alias("name")).unionByName(assets.select(F.col("path").alias("name"))).distinct()
     a = finding(left, "unfilled_placeholder", "FAIL", path, "placeholder left", evidence={"name": F.col("name")})
     return a.unionByName(finding(wanted.join(there, "name", "left_anti"), "missing_file", "FAIL", path, "file is not there", evidence={"name": F.col("name")}))
+
+
+def run_key(report: Column, most: int = 50) -> Column:
+    """SHA-1 of a run's report, JSON text with a list `changes`: its other fields and the first changes, in canonical form."""
+    from tessera.functions.udfs import canonical_json
+
+    meta = F.filter(F.map_entries(F.from_json(report, "map<string,string>")), lambda e: e["key"] != "changes")
+    first = F.slice(F.from_json(F.get_json_object(report, "$.changes"), "array<string>"), 1, most)
+    return F.sha1(canonical_json(F.to_json(F.struct(F.map_from_entries(meta).alias("meta"), first.alias("changes")))))
+
+
+def parameter_only(old: Column, new: Column) -> Column:
+    """Whether two template texts differ in values of parameter lines (':name: value') alone: line by line the same
+    names in the same places, and every other line equal."""
+    shape = lambda t: F.regexp_replace(F.coalesce(t, F.lit("")), r"(?m)^(\s*:[A-Za-z0-9_-]+:).*$", "$1")
+    return (shape(old) == shape(new)) & ~old.eqNullSafe(new)
