@@ -4,8 +4,8 @@ Terms are character n-grams of the lower-cased, space-padded text, each with how
 that holds an n-gram three times has its terms 1, 2 and 3. The labelled sample fixes the vocabulary (terms
 that lean to label 1) and the index: for every term a posting list of (example, weight) in example
 order, cut into blocks that know their greatest weight. A query adds the block maxima of its terms to bound
-what any example of a block can score, visits blocks from the highest bound down, and stops when no bound can
-beat the k-th best so far: the k nearest are exact. Their labels vote, weighed by a power of the cosine in
+what any example of a block can score, adds up the blocks of the highest bounds, and then those others whose
+bound can still reach the k-th best: the k nearest are exact. Their labels vote, weighed by a power of the cosine in
 proportion to the nearest's, drawn to the base rate of the sample's texts that hold no term by a prior. Examples are stratified by label;
 votes are weighed back to the labelled rows' own rates, which keeps the score calibrated.
 
@@ -56,9 +56,10 @@ class Index:
 
     def __post_init__(self) -> None:
         self.automaton = None
+        self.edges = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"automaton": None}
+        return self.__dict__ | {"automaton": None, "edges": None}
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(terms, unit weights) of a text's TF-IDF vector; empty if it holds no term."""
@@ -81,20 +82,35 @@ class Index:
         w = self.idf[at] if len(at) else np.zeros(0)
         return at, w / np.linalg.norm(w) if len(at) else w
 
-    def nearest(self, at: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest with a cosine above zero; ties go to the earlier example."""
+    def _added(self, at: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(examples, cosines) above zero in the given blocks: their postings of all terms, added up by example."""
+        n_blocks = self.block_max.shape[1]
+        if self.edges is None:  # where each (term, block) begins among the postings, which are in this order
+            own = np.repeat(np.arange(len(self.terms)), np.diff(self.start)) * n_blocks + self.example // self.block
+            self.edges = np.searchsorted(own, np.arange(len(self.terms) * n_blocks + 1))
+        cell = (at[:, None] * n_blocks + np.sort(blocks)[None, :]).ravel()
+        lo, n = self.edges[cell], self.edges[cell + 1] - self.edges[cell]
+        take = np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)
+        score = np.bincount(self.example[take], self.weight[take] * np.repeat(np.repeat(w, len(blocks)), n), len(self.ids))
+        hit = np.flatnonzero(score)
+        return hit, score[hit]
+
+    def nearest(self, at: np.ndarray, w: np.ndarray, first: int = 4) -> tuple[np.ndarray, np.ndarray]:
+        """(examples, cosines) of the k nearest with a cosine above zero; ties go to the earlier example.
+
+        The `first` blocks of highest bound set the k-th best; then all others whose bound can reach it are added up.
+        """
         bound = w @ self.block_max[at]
         order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
         best_e, best_s = np.zeros(0, np.int64), np.zeros(0)
-        for b in order.tolist():
-            if bound[b] <= 0 or (len(best_s) == self.k and bound[b] < best_s[-1]):
+        for blocks in (order[:first], order[first:]):
+            if len(best_s) == self.k:
+                blocks = blocks[bound[blocks] >= best_s[-1] - 1e-9]
+            if not len(blocks):
                 break
-            score = np.zeros(self.block)
-            for t, x in zip(at.tolist(), w.tolist(), strict=True):
-                lo, hi = np.searchsorted(self.example[self.start[t] : self.start[t + 1]], [b * self.block, (b + 1) * self.block]) + self.start[t]
-                score[self.example[lo:hi] - b * self.block] += x * self.weight[lo:hi]
-            hit = np.flatnonzero(score)
-            best_e, best_s = np.concatenate((best_e, hit + b * self.block)), np.concatenate((best_s, score[hit]))
+            e, s = self._added(at, w, blocks)
+            best_e, best_s = np.concatenate((best_e, e)), np.concatenate((best_s, s))
             top = np.lexsort((best_e, -best_s))[: self.k]
             best_e, best_s = best_e[top], best_s[top]
         return best_e, best_s
