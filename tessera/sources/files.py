@@ -200,3 +200,58 @@ def section(blocks_df: DataFrame, title: str) -> DataFrame:
     heads = blocks_df.where("kind = 'heading'").join(start, "key").where((F.col("line_no") > F.col("s.line_no")) & (F.col("heading_level") <= F.col("s.heading_level")))
     stop = heads.groupBy("key").agg(F.min("line_no").alias("stop"))
     return blocks_df.join(start, "key").join(stop, "key", "left").where((F.col("line_no") >= F.col("s.line_no")) & (F.col("stop").isNull() | (F.col("line_no") < F.col("stop")))).select(*blocks_df.columns)
+
+
+def _line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("key"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line_no", "line"))
+
+
+def _texts_of(kept: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, text): the kept lines of each document put together; a document that keeps none has an empty text."""
+    joined = kept.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias(text))
+    return docs.select(F.col(key).alias("key")).distinct().join(joined, "key", "left").withColumn(text, F.coalesce(text, F.lit("")))
+
+
+def in_languages(docs: DataFrame, key: str, text: str, langs: Sequence[str], page_lang: str = "en") -> DataFrame:
+    """(key, text): pages that hold one block per language, without the blocks of other languages.
+
+    A block begins with a bold line whose first word is a language's tag ('**FR ...'); what stands before the first is
+    in the page's own language. Other bold lines are prose.
+    """
+    from tessera.sources.schema import ALIASES, LANGUAGES, canonical_language
+
+    code = {a.upper(): c for c in LANGUAGES for a in ALIASES.get(c, (c,))}
+    wanted = {canonical_language(x) for x in langs}
+    tag = F.upper(F.regexp_extract("line", r"^\s*\*\*([A-Za-z][A-Za-z_-]{1,5})[ —-]", 1))
+    own = F.element_at(F.create_map(*[F.lit(x) for kv in code.items() for x in kv]), F.nullif(tag, F.lit("")))
+    upto = W.partitionBy("key").orderBy("line_no").rowsBetween(W.unboundedPreceding, 0)
+    marked = _line_rows(docs, key, text).withColumn("lang", F.coalesce(F.last(own, ignorenulls=True).over(upto), F.lit(canonical_language(page_lang))))
+    return _texts_of(marked.where(F.col("lang").isin(*wanted)), docs, key, text)
+
+
+def without_sections(docs: DataFrame, key: str, text: str, lacking: DataFrame, begin: str = r"^\s*\.\. begin-capability: (\S+)", end: str = r"^\s*\.\. end-capability: (\S+)") -> DataFrame:
+    """(key, text): texts without the marked spans of capabilities that the document lacks (key, capability), and without
+    the markers of all others. A document that `lacking` does not name keeps every body. Spans are not nested."""
+    upto = W.partitionBy("key").orderBy("line_no").rowsBetween(W.unboundedPreceding, 0)
+    opened, closed = F.nullif(F.regexp_extract("line", begin, 1), F.lit("")), F.nullif(F.regexp_extract("line", end, 1), F.lit(""))
+    rows = _line_rows(docs, key, text).withColumn("o", opened).withColumn("c", closed)
+    inside = F.last(F.when(F.col("o").isNotNull(), F.col("o")).when(F.col("c").isNotNull(), F.lit("")), ignorenulls=True).over(upto)
+    bare = rows.withColumn("capability", F.nullif(inside, F.lit(""))).where("o is null and c is null")
+    gone = lacking.select("key", "capability").distinct().withColumn("__gone", F.lit(True))
+    kept = bare.join(gone, ["key", "capability"], "left").where("__gone is null")
+    return _texts_of(kept, docs, key, text)
+
+
+def field_entries(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, section, field, shown, value, pos): fields of marked-up pages: ':name: value' lines and the first two cells
+    of table rows ('* - name' and '- value'), under the last underlined heading; repeats are shown as 'name #2'."""
+    by = W.partitionBy("key").orderBy("line_no")
+    after = F.lead("line").over(by)
+    rows = _line_rows(docs, key, text).withColumn("after", F.coalesce(after, F.lit(""))).withColumn("head", F.when((F.trim("line") != "") & F.col("after").rlike(r"^([=~^\"'#*+-])\1{2,}\s*$"), F.trim("line")))
+    placed = rows.withColumn("section", F.coalesce(F.last("head", ignorenulls=True).over(by.rowsBetween(W.unboundedPreceding, 0)), F.lit("")))
+    colon, cell = r"^\s*:([^:]+):\s*(\S.*)$", r"^\s*\*\s+-\s+(\S.*)$"
+    field = F.when(F.col("line").rlike(colon), F.regexp_extract("line", colon, 1)).when(F.col("line").rlike(cell), F.regexp_extract("line", cell, 1))
+    value = F.when(F.col("line").rlike(colon), F.regexp_extract("line", colon, 2)).otherwise(F.regexp_extract("after", r"^\s+-\s+(\S.*)$", 1))
+    found = placed.select("key", "section", F.trim(field).alias("field"), F.trim(value).alias("value"), F.col("line_no").alias("pos")).where("field is not null and value <> ''")
+    n = F.row_number().over(W.partitionBy("key", "section", "field").orderBy("pos"))
+    return found.withColumn("shown", F.when(n > 1, F.concat("field", F.lit(" #"), n.cast("string"))).otherwise(F.col("field")))

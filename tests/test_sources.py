@@ -167,3 +167,20 @@ def test_appending_twice_adds_nothing(spark, tmp_path):
     snapshots.backup(rows, os.fspath(tmp_path / "backup"))
     assert snapshots.differences(rows, snapshots.restore(spark, os.fspath(tmp_path / "backup"))).count() == 0
     assert snapshots.differences(rows, rows.where("v <> 2")).collect()[0].side == "a"
+
+
+def test_language_blocks_and_capability_sections(spark):
+    page = "intro\n**FRAGILE** stays with en\n**FR IMPORTANT**\nbonjour\n**DE WICHTIG**\nhallo"
+    docs = spark.createDataFrame([("p", page), ("q", None)], "k string, t string")
+    assert {r.key: r.t for r in files.in_languages(docs, "k", "t", ["en", "de"]).collect()} == {"p": "intro\n**FRAGILE** stays with en\n**DE WICHTIG**\nhallo", "q": ""}
+    assert {r.key: r.t for r in files.in_languages(docs, "k", "t", ["fr"]).collect()} == {"p": "**FR IMPORTANT**\nbonjour", "q": ""}
+    text = "a\n.. begin-capability: wifi\nb\n.. end-capability: wifi\nc\n.. begin-capability: solar\nd\n.. end-capability: solar"
+    docs = spark.createDataFrame([("p", text), ("q", text)], "k string, t string")
+    lacking = spark.createDataFrame([("p", "wifi")], "key string, capability string")
+    assert {r.key: r.t for r in files.without_sections(docs, "k", "t", lacking).collect()} == {"p": "a\nc\nd", "q": "a\nb\nc\nd"}
+
+
+def test_field_entries(spark):
+    page = "Power\n=====\n:Input: 5 V\n:Input: 9 V\n:Empty:\n\nSize\n----\n* - Width\n  - 10 cm\n"
+    got = files.field_entries(spark.createDataFrame([("p", page)], "k string, t string"), "k", "t").orderBy("pos").collect()
+    assert [(r.section, r.shown, r.value) for r in got] == [("Power", "Input", "5 V"), ("Power", "Input #2", "9 V"), ("Size", "Width", "10 cm")]

@@ -19,13 +19,13 @@ def feed(tmp_path, name: str, lines: list) -> None:
 
 
 def change(event_id, value="true", action="record_edited", table="tbl", field="now"):
-    return {"header": {"event_id": event_id, "event_type": "changed"}, "event": {"file_token": "base", "file_type": "bitable", "table_id": table, "action_list": [{"action": action, "after_value": [{"field_id": field, "field_value": value}]}]}}
+    return {"header": {"event_id": event_id, "event_type": "changed"}, "event": {"file_token": "base", "file_type": "table", "table_id": table, "action_list": [{"action": action, "after_value": [{"field_id": field, "field_value": value}]}]}}
 
 
 def test_events_that_ask_for_a_build(spark):
-    lines = [change("1"), change("2", "[\"Yes\"]"), change("3", "0"), change("4", "false"), change("5", table="other"), change("6", action="record_deleted"), change("7", field="later"), "no json", {"header": None}, "[]", change("8", "2"), {"header": {"event_id": "9", "event_type": "changed"}, "event": {"file_token": "base", "file_type": "bitable", "table_id": "tbl"}}]
+    lines = [change("1"), change("2", "[\"Yes\"]"), change("3", "0"), change("4", "false"), change("5", table="other"), change("6", action="record_deleted"), change("7", field="later"), "no json", {"header": None}, "[]", change("8", "2"), {"header": {"event_id": "9", "event_type": "changed"}, "event": {"file_token": "base", "file_type": "table", "table_id": "tbl"}}]
     df = spark.createDataFrame([(x if isinstance(x, str) else json.dumps(x),) for x in lines], "value string")
-    asked = events.parsed(df).where(events.asks_for_build("changed", "bitable", "base", "tbl", "now"))
+    asked = events.parsed(df).where(events.asks_for_build("changed", "table", "base", "tbl", "now"))
     assert sorted(r.header.event_id for r in asked.collect()) == ["1", "2", "8"]
     assert events.parsed(df).count() == 10
 
