@@ -34,8 +34,8 @@ def missing_pairs(left: DataFrame, right: DataFrame, present: DataFrame, a: str,
 
     The right set is aggregated to one array, so its distinct values have to be few (languages, regions).
     """
-    others = right.where(F.col(b).isNotNull()).agg(F.array_sort(F.collect_set(b)).alias("__all"))
-    wanted = left.where(F.col(a).isNotNull()).select(a).distinct().join(F.broadcast(others)).select(a, F.explode("__all").alias(b))
+    others = right.where(F.col(b).isNotNull()).agg(F.array_sort(F.collect_set(b)))
+    wanted = left.where(F.col(a).isNotNull()).select(a).distinct().withColumn("__all", others.scalar()).select(a, F.explode("__all").alias(b))
     return wanted.join(present.select(a, b).distinct(), [a, b], "left_anti")
 
 

@@ -63,7 +63,7 @@ def limited(df: DataFrame, order: Sequence[Column | str], limit: int = 10) -> Da
     aggregate beside a top-k, so no window spans the table."""
     total = df.agg(F.count("*").alias("matched_count"))
     top = df.orderBy(*order).limit(max(limit, 0))
-    found = top.join(F.broadcast(total))  # one row
+    found = top.withColumn("matched_count", total.scalar())
     returned = F.least(F.col("matched_count"), F.lit(limit))
     return found.withColumn("returned_count", returned).withColumn("truncated", F.col("matched_count") > limit)
 

@@ -101,10 +101,10 @@ def disjoint_value_sets(df: DataFrame, keys: Sequence[str], side: Column, value:
 
 
 def overview(df: DataFrame, models: Column, updated: str) -> DataFrame:
-    """One row: rows, distinct_models over split cells, last_updated. Two aggregates, joined as single rows."""
+    """One row: rows, distinct_models over split cells, last_updated. Two aggregates, one as a scalar."""
     totals = df.agg(F.count("*").alias("rows"), F.max(updated).alias("last_updated"))
     kinds = df.select(F.explode(models).alias("m")).where(filled("m").isNotNull()).distinct().agg(F.count("*").alias("distinct_models"))
-    return totals.join(F.broadcast(kinds)).select("rows", "distinct_models", "last_updated")  # one row each
+    return totals.select("rows", kinds.scalar().alias("distinct_models"), "last_updated")
 
 
 def coverage(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -117,8 +117,8 @@ def outcome_rates(results: DataFrame, baseline: DataFrame) -> DataFrame:
     """One row: passed, skipped, failed, coverage (passed of all), and whether skips and fails stay within the baseline."""
     n = results.agg(*[F.count_if(F.upper("outcome") == s).alias(name) for s, name in (("PASS", "passed"), ("SKIP", "skipped"), ("FAIL", "failed"))])
     out = n.withColumn("coverage", rate("passed", F.col("passed") + F.col("skipped") + F.col("failed")))
-    base = baseline.agg(F.max("skipped").alias("b_s"), F.max("failed").alias("b_f"))
-    return out.join(F.broadcast(base)).withColumn("skip_ok", F.col("skipped") <= F.coalesce("b_s", F.lit(0))).withColumn("fail_ok", F.col("failed") <= F.coalesce("b_f", F.lit(0))).drop("b_s", "b_f")
+    most = lambda c: F.coalesce(baseline.agg(F.max(c)).scalar(), F.lit(0))
+    return out.withColumn("skip_ok", F.col("skipped") <= most("skipped")).withColumn("fail_ok", F.col("failed") <= most("failed"))
 
 
 def inventory(df: DataFrame, source: str, targets: Column, shown: int = 3) -> DataFrame:
