@@ -64,9 +64,9 @@ def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     shared = keyed.groupBy("half").count().where("count > 1").select("half")
     alive = keyed.join(shared, "half", "left_semi").select(*_ID).distinct()
     first = distinct.join(alive, _ID).select("h1", "h2", F.col("first").alias("place"))
-    texts = written(lines.select("place", *_ID, "line").join(first, [*_ID, "place"]))
+    texts = written(lines.select("place", *_ID, "line").join(first, [*_ID, "place"]).withColumn("n", F.size(_words("line"))))
 
-    each = texts.select("place", *_ID, F.size(_words("line")).alias("n"), F.posexplode(_words("line")).alias("p", "w"))
+    each = texts.select("place", *_ID, "n", F.posexplode(_words("line")).alias("p", "w"))
     each = each.withColumn("x", F.xxhash64("w", "p")).withColumn("y", F.xxhash64("w", F.col("p") - 1))
     upto, whole = W.partitionBy(*_ID).orderBy("p"), W.partitionBy(*_ID)
     before = F.bit_xor("x").over(upto.rowsBetween(W.unboundedPreceding, 0)).bitwiseXOR(F.col("x"))
