@@ -118,6 +118,7 @@ def dedup_lines(docs: DataFrame, near_words: int = 8, id_col: str = "doc_id", te
     joined = docs.withColumns({"__k1": k1, "__k2": k2}).join(lists, ["__k1", "__k2"], "left")
     parts = F.split(text, "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
-    kept = F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: parts[i]), "\n"))
+    picked = F.transform(F.array(parts), lambda lines: F.transform(stay, lambda i: F.get(lines, i)))[0]  # splits the text once
+    kept = F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(picked, "\n"))
     removed = F.coalesce(F.size("__gone"), F.lit(0)).cast("long")
     return joined.withColumns({text_col: kept, "lines_removed": F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(removed).cast("long")}).select(*[c for c in docs.columns if c != "lines_removed"], "lines_removed")
