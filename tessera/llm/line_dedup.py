@@ -58,12 +58,18 @@ def _one_edit(a: str, b: str) -> Column:
     return F.when(F.size(x) == F.size(y), rest(x, 1) == rest(y, 1)).when(F.size(long) - F.size(short) == 1, rest(short, 0) == rest(long, 1)).otherwise(False)
 
 
-def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(h1, h2, kept): distinct lines that have an earlier line one word edit away, with that line's place."""
+def near_lines(lines: DataFrame, distinct: DataFrame, sent_rows: int = 250_000) -> DataFrame:
+    """(h1, h2, kept): distinct lines that have an earlier line one word edit away, with that line's place.
+
+    The texts of the lines that share a half are fetched from the documents: if these are counted to be at most
+    sent_rows, their places (50 bytes each) are sent to the tasks; more of them meet all lines in a shuffle.
+    """
     keyed = distinct.where("a is not null").select(*_ID, F.explode(F.array("a", "b", "c", "d")).alias("half"))
     shared = keyed.groupBy("half").count().where("count > 1").select("half")
     alive = keyed.join(shared, "half", "left_semi").select(*_ID).distinct()
-    first = distinct.join(alive, _ID).select("h1", "h2", F.col("first").alias("place"))
+    first = written(distinct.join(alive, _ID).select("h1", "h2", F.col("first").alias("place")))
+    if first.count() <= sent_rows:
+        first = F.broadcast(first)
     texts = written(lines.select("place", *_ID, "line").join(first, [*_ID, "place"]).withColumn("n", F.size(_words("line"))))
 
     each = texts.select("place", *_ID, "n", F.posexplode(_words("line")).alias("p", "w"))
