@@ -70,27 +70,26 @@ def near_lines(lines: DataFrame, distinct: DataFrame, sent_rows: int = 250_000)
     first = written(distinct.join(alive, _ID).select("h1", "h2", F.col("first").alias("place")))
     if first.count() <= sent_rows:
         first = F.broadcast(first)
-    texts = written(lines.select("place", *_ID, "line").join(first, [*_ID, "place"]).withColumn("n", F.size(_words("line"))))
+    found = lines.select("place", *_ID, "line").join(first, [*_ID, "place"]).orderBy("place")
+    texts = written(found.select(F.monotonically_increasing_id().alias("i"), "place", *_ID, "line", F.size(_words("line")).alias("n")))  # i: in order of place
 
-    each = texts.select("place", *_ID, "n", F.posexplode(_words("line")).alias("p", "w"))
+    each = texts.select("i", "n", F.posexplode(_words("line")).alias("p", "w"))
     each = each.withColumn("x", F.xxhash64("w", "p")).withColumn("y", F.xxhash64("w", F.col("p") - 1))
-    upto, whole = W.partitionBy(*_ID).orderBy("p"), W.partitionBy(*_ID)
+    upto, whole = W.partitionBy("i").orderBy("p"), W.partitionBy("i")
     before = F.bit_xor("x").over(upto.rowsBetween(W.unboundedPreceding, 0)).bitwiseXOR(F.col("x"))
     after = F.bit_xor("y").over(whole).bitwiseXOR(F.bit_xor("y").over(upto.rowsBetween(W.unboundedPreceding, 0)))
-    variants = written(each.select("place", *_ID, (F.col("n") - 1).alias("t"), "p", before.bitwiseXOR(after).alias("key"), F.bit_xor("x").over(whole).alias("full")))
-
-    groups = variants.groupBy("t", "key", "p").agg(F.min(F.struct("place", *_ID)).alias("e"), F.count("*").alias("c")).where("c > 1").drop("c")
-    swapped = variants.join(groups, ["t", "key", "p"]).where("place > e.place").select(*_ID, "e")
-    wholes = variants.where("p = 0").select((F.col("t") + 1).alias("t"), F.col("full").alias("key"), F.struct("place", *_ID).alias("e"))
-    pairs = variants.join(wholes, ["t", "key"]).select(F.struct("place", *_ID).alias("o"), "e").distinct()
-    late, soon = F.greatest("o", "e"), F.least("o", "e")
-    cut = pairs.select(late["h1"].alias("h1"), late["h2"].alias("h2"), soon.alias("e"))
-    links = swapped.unionByName(cut).distinct()
-
-    left = texts.select(*_ID, F.col("line").alias("a_line"))
-    right = texts.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("line").alias("b_line"))
-    checked = links.join(left, _ID).withColumn("e1", F.col("e.h1")).withColumn("e2", F.col("e.h2")).join(right, ["e1", "e2"])
-    return checked.where(_one_edit("a_line", "b_line")).groupBy(*_ID).agg(F.min("e.place").alias("kept"))
+    full = F.when(F.col("p") == 0, F.bit_xor("x").over(whole))
+    variants = written(each.select("i", (F.col("n") - 1).alias("t"), "p", before.bitwiseXOR(after).alias("key"), full.alias("full")))
+
+    groups = variants.groupBy("t", "key", "p").agg(F.min("i").alias("e"), F.count("*").alias("c")).where("c > 1").drop("c")
+    swapped = variants.select("t", "key", "p", "i").join(groups, ["t", "key", "p"]).where("i > e").select("i", "e")
+    wholes = variants.where("p = 0").select((F.col("t") + 1).alias("t"), F.col("full").alias("key"), F.col("i").alias("e"))
+    pairs = variants.select("t", "key", "i").join(wholes, ["t", "key"])
+    links = swapped.unionByName(pairs.select(F.greatest("i", "e").alias("i"), F.least("i", "e").alias("e"))).distinct()
+
+    left, right = texts.select("i", F.col("line").alias("a_line")), texts.select(F.col("i").alias("e"), F.col("line").alias("b_line"))
+    kept = links.join(left, "i").join(right, "e").where(_one_edit("a_line", "b_line")).groupBy("i").agg(F.min("e").alias("e"))
+    return kept.join(texts.select("i", *_ID), "i").join(texts.select(F.col("i").alias("e"), F.col("place").alias("kept")), "e").select(*_ID, "kept")
 
 
 def removed_lines(docs: DataFrame, near_words: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
