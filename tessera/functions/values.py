@@ -79,20 +79,30 @@ def result_fields(c: Column | str) -> Column:
     parts = F.filter(F.transform(F.split(F.coalesce(as_col(c), F.lit("")), r"\|"), lambda p: F.trim(p)), lambda p: p != "")
     pairs = F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: p.contains("="))
     entry = lambda p: F.struct(F.lower(F.trim(F.substring_index(p, "=", 1))).alias("key"), F.trim(F.substr(p, F.instr(p, "=") + 1)).alias("value"))
-    entries = F.transform(pairs, entry)
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
-    return F.struct(F.coalesce(F.lower(F.get(parts, F.lit(0))), F.lit("")).alias("status"), F.map_from_entries(last).alias("values"))
+    last = lambda es: F.filter(es, lambda e, i: ~F.exists(F.slice(es, i + 2, F.size(es)), lambda later: later["key"] == e["key"]))
+    entries = F.transform(F.array(F.transform(pairs, entry)), last)[0]  # the entries are made once
+    return F.struct(F.coalesce(F.lower(F.get(parts, F.lit(0))), F.lit("")).alias("status"), F.map_from_entries(entries).alias("values"))
+
+
+def result_value(c: Column | str, key: str, fold: bool = True) -> Column:
+    """The last value of one key of a result string, empty without one: one regular expression, no map."""
+    text = F.regexp_replace(F.coalesce(as_col(c), F.lit("")), r"^[\s|]+", "")
+    return F.trim(F.regexp_extract(text, rf"(?s{'i' if fold else ''})^.*\|\s*{key}\s*=([^|]*)", 1))
+
+
+def result_status(c: Column | str) -> Column:
+    return F.lower(F.trim(F.substring_index(F.regexp_replace(F.coalesce(as_col(c), F.lit("")), r"^[\s|]+", ""), "|", 1)))
 
 
 def freshness(result: Column | str, started: Column | str, since: Column | str) -> Column:
     """(status, is_fresh, built_at) of a queue result against the time a fresh one was asked for."""
-    read = result_fields(result)
-    built, begun, asked = time_of(read["values"]["built_at"]), time_of(started), time_of(since)
+    said = result_status(result)
+    built, begun, asked = time_of(result_value(result, "built_at")), time_of(started), time_of(since)
     fresh, none = built >= asked, F.coalesce(as_col(result), F.lit("")) == ""
     status = (
         F.when(asked.isNull(), "not_requested")
-        .when(built.isNotNull() & fresh & read["status"].startswith("success"), "fresh_success")
-        .when(built.isNotNull() & fresh & read["status"].rlike("^(failed|failure)"), "fresh_failure")
+        .when(built.isNotNull() & fresh & said.startswith("success"), "fresh_success")
+        .when(built.isNotNull() & fresh & said.rlike("^(failed|failure)"), "fresh_failure")
         .when(built.isNotNull() & fresh, "fresh_result")
         .when(built.isNotNull(), "stale_result")
         .when(begun >= asked, "writeback_pending")
@@ -106,8 +116,7 @@ def freshness(result: Column | str, started: Column | str, since: Column | str)
 def claim(c: Column | str) -> Column:
     """(token, expires) of a running result that names both; else null."""
     text = F.trim(F.coalesce(as_col(c), F.lit("")))
-    read = result_fields(text)
-    token, expires = filled(read["values"]["claim_token"]), time_of(read["values"]["claim_expires_at"])
+    token, expires = filled(result_value(text, "claim_token", False)), time_of(result_value(text, "claim_expires_at", False))
     held = text.rlike(r"^RUNNING\s*(\||$)") & token.isNotNull() & expires.isNotNull()
     return F.when(held, F.struct(token.alias("token"), expires.alias("expires")))
 

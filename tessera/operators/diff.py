@@ -39,10 +39,6 @@ def missing_pairs(left: DataFrame, right: DataFrame, present: DataFrame, a: str,
     return wanted.join(present.select(a, b).distinct(), [a, b], "left_anti")
 
 
-def _numbered(df: DataFrame, keys: Sequence[str], pos: str) -> DataFrame:
-    return df.withColumn("__o", F.row_number().over(W.partitionBy(*keys).orderBy(pos)))
-
-
 def keyed_diff(old: DataFrame, new: DataFrame, scope: Sequence[str], key: str, source: str, value: str, pos: str = "pos") -> DataFrame:
     """(scope, kind, key, old_value, new_value, how): what was added (A), modified (M) or deleted (D).
 
@@ -53,26 +49,27 @@ def keyed_diff(old: DataFrame, new: DataFrame, scope: Sequence[str], key: str, s
     """
     o = old.select(*scope, F.col(key).alias("ok"), F.col(source).alias("os"), F.col(value).alias("ov"), F.col(pos).alias("op"))
     n = new.select(*scope, F.col(key).alias("nk"), F.col(source).alias("ns"), F.col(value).alias("nv"), F.col(pos).alias("np"))
-    cols = [*scope, "ok", "ov", "op", "nk", "nv", "np"]
-
-    def pair(o: DataFrame, n: DataFrame, by_o: str | None, by_n: str | None) -> DataFrame:
-        extra_o, extra_n = ([by_o] if by_o else []), ([by_n] if by_n else [])
-        a = _numbered(o, [*scope, *extra_o], "op").withColumn("__k", F.col(by_o) if by_o else F.lit(""))
-        b = _numbered(n, [*scope, *extra_n], "np").withColumn("__k", F.col(by_n) if by_n else F.lit(""))
-        return a.join(b, [*scope, "__k", "__o"]).select(*cols)
-
-    def rest(o: DataFrame, n: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return o.join(pairs.select(*scope, "op"), [*scope, "op"], "left_anti"), n.join(pairs.select(*scope, "np"), [*scope, "np"], "left_anti")
-
-    by_key = pair(o, n, "ok", "nk")
-    o1, n1 = rest(o, n, by_key)
-    by_source = pair(o1.where(filled("os").isNotNull()), n1.where(filled("ns").isNotNull()), "os", "ns")
-    o2, n2 = rest(o1, n1, by_source)
-    equal = o2.groupBy(*scope).agg(F.count("*").alias("co")).join(n2.groupBy(*scope).agg(F.count("*").alias("cn")), list(scope)).where("co = cn").select(*scope)
-    by_place = pair(o2.join(equal, list(scope), "left_semi"), n2.join(equal, list(scope), "left_semi"), None, None)
-    o3, n3 = rest(o2, n2, by_place)
-    named = lambda df, how: df.withColumn("how", F.lit(how))
-    pairs = reduce(DataFrame.unionByName, [named(by_key, "key"), named(by_source, "source"), named(by_place, "position")])
+    own, other = ["ok", "os", "ov", "op"], ["nk", "ns", "nv", "np"]
+
+    def laid(o: DataFrame, n: DataFrame, by_o: str | None, by_n: str | None, whole: bool = False) -> DataFrame:
+        """Both sides by scope, key and occurrence (whole: and number of rows in the scope), with what finds no partner."""
+
+        def numbered(df: DataFrame, by: str | None, pos: str) -> DataFrame:
+            part = [*scope, by] if by else list(scope)
+            total = F.count("*").over(W.partitionBy(*scope)) if whole else F.lit(0)
+            return df.withColumn("__k", F.col(by) if by else F.lit("")).withColumn("__o", F.row_number().over(W.partitionBy(*part).orderBy(pos))).withColumn("__c", total)
+
+        return numbered(o, by_o, "op").join(numbered(n, by_n, "np"), [*scope, "__k", "__o", "__c"], "full").select(*scope, *own, *other)
+
+    left = lambda df: df.where("np is null").select(*scope, *own)
+    right = lambda df: df.where("op is null").select(*scope, *other)
+    first = laid(o, n, "ok", "nk")
+    named = lambda c: F.coalesce(filled(c).isNotNull(), F.lit(False))
+    second = laid(left(first).where(named("os")), right(first).where(named("ns")), "os", "ns")
+    third = laid(left(first).where(~named("os")).unionByName(left(second)), right(first).where(~named("ns")).unionByName(right(second)), None, None, whole=True)
+    o3, n3 = left(third), right(third)
+    both = lambda df, how: df.where("op is not null and np is not null").withColumn("how", F.lit(how))
+    pairs = both(first, "key").unionByName(both(second, "source")).unionByName(both(third, "position"))
     changed = pairs.where(~(F.col("ok").eqNullSafe(F.col("nk")) & F.col("ov").eqNullSafe(F.col("nv"))))
     label = F.when(F.col("ok").eqNullSafe(F.col("nk")), F.col("ok")).otherwise(F.concat_ws(" -> ", "ok", "nk"))
     none = F.lit(None).cast("string")
