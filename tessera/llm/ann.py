@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import arrow_map, written
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -40,7 +40,7 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
             flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in np.split(flat, ends[:-1])] if b.num_rows else [], pa.binary())], ["id", "v"])
 
-    packed = written(one.mapInArrow(run, "id long, v binary"))
+    packed = written(arrow_map(one, run, "id long, v binary"))
     common = packed.groupBy(F.length("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return packed.where(F.length("v") == (common["n"] if common else 0))
 
@@ -69,7 +69,7 @@ def _permutations(packed: DataFrame, pivots: np.ndarray, prefix: int) -> DataFra
                 perm = np.argsort(-sims, axis=1, kind="stable")[:, :prefix].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(perm), pa.list_(pa.int32()))], ["id", "v", "perm"])
 
-    return packed.mapInArrow(run, "id long, v binary, perm array<int>")
+    return arrow_map(packed, run, "id long, v binary, perm array<int>")
 
 
 def _rerank(found: pd.DataFrame, asked: pd.DataFrame, n_pivots: int, prefix: int, share: float, k: int) -> pd.DataFrame:

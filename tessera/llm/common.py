@@ -5,8 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Texts go to Python in Arrow batches of at most so many bytes, whatever their number of rows.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,3 +39,12 @@ def row_keys(*cols: Column | str) -> tuple[Column, Column]:
     """Two 64-bit hashes, never null, that name a row by its content; rows that agree in all cols are one."""
     named = [F.col(c) if isinstance(c, str) else c for c in cols]
     return F.xxhash64(*named), F.xxhash64(F.lit(7), *reversed(named), F.lit(11))
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """df.mapInArrow in batches of bounded bytes: lowers the session's limit where that is higher."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    most = conf.get(key).removesuffix("b")
+    if not most.isdigit() or not 0 < int(most) <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)

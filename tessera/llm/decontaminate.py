@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import row_keys, written
+from tessera.llm.common import arrow_map, row_keys, written
 
 #: A byte of a word (non-ASCII, digit, letter), lower-cased; everything else parts words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -112,7 +112,7 @@ def windows_of(items: DataFrame, span: int, id_col: str, text_col: str) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int64())), strict=True)], ["item_id", "n", "w", "hashes"])
 
     source = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").cast("binary").alias("t"))
-    return source.mapInArrow(run, "item_id long, n int, w string, hashes array<long>").distinct()
+    return arrow_map(source, run, "item_id long, n int, w string, hashes array<long>").distinct()
 
 
 def _candidates(docs: DataFrame, known: dict[int, np.ndarray], span: int) -> DataFrame:
@@ -145,7 +145,7 @@ def _candidates(docs: DataFrame, known: dict[int, np.ndarray], span: int) -> Dat
                 found.append(hits)
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(counts, pa.int64()), pa.array(found, shape)], ["doc_id", "k1", "k2", "n_words", "hits"])
 
-    return docs.select("doc_id", "k1", "k2", F.col("text").cast("binary")).mapInArrow(run, "doc_id long, k1 long, k2 long, n_words long, hits array<struct<s: long, n: int, w: string>>")
+    return arrow_map(docs.select("doc_id", "k1", "k2", F.col("text").cast("binary")), run, "doc_id long, k1 long, k2 long, n_words long, hits array<struct<s: long, n: int, w: string>>")
 
 
 def _matched(docs: DataFrame, benchmark: DataFrame, span: int, id_col: str, text_col: str, block_hashes: int) -> tuple[DataFrame, DataFrame]:

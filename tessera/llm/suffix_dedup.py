@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import row_keys, written
+from tessera.llm.common import arrow_map, row_keys, written
 from tessera.llm.decontaminate import _range_hashes
 
 _RANGES = "array<struct<s: int, e: int>>"
@@ -177,7 +177,7 @@ def _heads(docs: DataFrame, length: int, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:2], a, lo, n], ["t1", "t2", "a", "lo", "n"])
 
     long = docs.where(F.length("b") >= length).select("t1", "t2", "b")
-    heads = long.mapInArrow(run, "t1 long, t2 long, a array<long>, lo array<int>, n int")
+    heads = arrow_map(long, run, "t1 long, t2 long, a array<long>, lo array<int>, n int")
     return heads.groupBy("t1", "t2").agg(F.count("*").alias("copies"), F.first("a").alias("a"), F.first("lo").alias("lo"), F.first("n").alias("n"))
 
 
@@ -207,7 +207,7 @@ def _cut(texts: DataFrame, length: int, remembered: int = 200_000) -> DataFrame:
                     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 3]
                     yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), pa.array(given, pa.binary())], ["t1", "t2", "lo", "n", "a", "p1", "p2", "piece"])
 
-    return texts.select("t1", "t2", "b", "at").mapInArrow(run, "t1 long, t2 long, lo int, n int, a long, p1 long, p2 long, piece binary")
+    return arrow_map(texts.select("t1", "t2", "b", "at"), run, "t1 long, t2 long, lo int, n int, a long, p1 long, p2 long, piece binary")
 
 
 def _groups(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[list, list, list, list]]:
@@ -238,7 +238,7 @@ def _compare(pieces: DataFrame, length: int, task_bytes: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(p1, pa.int64()), pa.array(p2, pa.int64()), pa.array(ranges, pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))], ["a", "p1", "p2", "ranges"])
 
     sorted_ = pieces.select("a", "p1", "p2", "piece").repartition("a").sortWithinPartitions("a")
-    return sorted_.mapInArrow(run, f"a long, p1 long, p2 long, ranges {_RANGES}")
+    return arrow_map(sorted_, run, f"a long, p1 long, p2 long, ranges {_RANGES}")
 
 
 def _count_windows(pieces: DataFrame, length: int) -> DataFrame:
@@ -251,7 +251,7 @@ def _count_windows(pieces: DataFrame, length: int) -> DataFrame:
                 w = np.frombuffer(b"".join(xxhash.xxh3_128_digest(piece[i : i + length]) for i in range(n)), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, a)), pa.array(np.full(n, p1)), pa.array(np.full(n, p2)), pa.array(np.arange(n, dtype=np.int32)), pa.array(w[:, 0]), pa.array(w[:, 1])], ["a", "p1", "p2", "s", "w1", "w2"])
 
-    each = written(pieces.select("a", "p1", "p2", "piece").mapInArrow(run, "a long, p1 long, p2 long, s int, w1 long, w2 long"))
+    each = written(arrow_map(pieces.select("a", "p1", "p2", "piece"), run, "a long, p1 long, p2 long, s int, w1 long, w2 long"))
     often = each.groupBy("a", "w1", "w2").count().where("count > 1").drop("count")
     hit = each.join(often, ["a", "w1", "w2"]).groupBy("a", "p1", "p2").agg(F.collect_list(F.struct("s", (F.col("s") + 1).alias("e"))).alias("ranges"))
     return hit.select("a", "p1", "p2", F.col("ranges").cast(_RANGES).alias("ranges"))
@@ -314,4 +314,4 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, id_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     joined = keyed.join(spans, ["t1", "t2"], "left").select("doc_id", "b", "starts")
-    return joined.mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return arrow_map(joined, run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import arrow_map, written
 
 
 def held_out(doc_id: Column) -> Column:
@@ -154,7 +154,7 @@ def _grams(examples: DataFrame, n: int, most: int) -> DataFrame:
             for y, c in counts.items():
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in c], pa.string()), pa.array([x[1] for x in c], pa.int32()), pa.array([y] * len(c), pa.int32()), pa.array(list(c.values()), pa.int64())], ["gram", "times", "y", "docs"])
 
-    return examples.select("text", "y").mapInArrow(run, "gram string, times int, y int, docs long").groupBy("gram", "times", "y").agg(F.sum("docs").alias("docs"))
+    return arrow_map(examples.select("text", "y"), run, "gram string, times int, y int, docs long").groupBy("gram", "times", "y").agg(F.sum("docs").alias("docs"))
 
 
 def fit(
@@ -184,7 +184,7 @@ def fit(
             got = [empty.vector(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([g[0] for g in got], pa.list_(pa.int64())), pa.array([g[1] for g in got], pa.list_(pa.float64()))], ["doc_id", "y", "at", "w"])
 
-    vecs = examples.select(F.col("doc_id").cast("long"), "text", F.col("y").cast("int")).mapInArrow(vectors, "doc_id long, y int, at array<long>, w array<double>").orderBy("doc_id", "y", "at").collect()
+    vecs = arrow_map(examples.select(F.col("doc_id").cast("long"), "text", F.col("y").cast("int")), vectors, "doc_id long, y int, at array<long>, w array<double>").orderBy("doc_id", "y", "at").collect()
     zero = [v for v in vecs if not v["at"]]
     held = [v for v in vecs if v["at"]]
     mass = {y: sum(scale[v["y"]] for v in zero if v["y"] == y) for y in (0, 1)}
@@ -219,7 +219,7 @@ def scores(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str
             found = [[{"doc_id": d, "cosine": c, "label": y} for d, c, y in g[1]] for g in got]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p, pa.float64()), pa.array([int(x >= threshold) for x in p], pa.int32()), pa.array(found, shape)], ["doc_id", "score", "predicted", "evidence"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double, predicted int, evidence array<struct<doc_id: long, cosine: double, label: int>>")
+    return arrow_map(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), run, "doc_id long, score double, predicted int, evidence array<struct<doc_id: long, cosine: double, label: int>>")
 
 
 def without_toxic(docs: DataFrame, index: Index, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
@@ -232,4 +232,4 @@ def without_toxic(docs: DataFrame, index: Index, text_col: str = "text", thresho
         for b in batches:
             yield b.filter(pa.array([model.score(t)[0] < threshold for t in b.column(at).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return arrow_map(docs, run, docs.schema)

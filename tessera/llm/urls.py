@@ -24,6 +24,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.common import arrow_map
+
 #: (host, path, verdict)
 RULES = (
     ("com", "/", "allow"),
@@ -116,7 +118,7 @@ def verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] | tuple = RULES
             cols = [[s[0] for s in split], [s[1] for s in split], [h and h[1].decode() for h in hits], [h[2] if h else default for h in hits]]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.string()) for c in cols)], ["page_id", "host", "path", "rule", "verdict"])
 
-    return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url")).mapInArrow(run, "page_id long, host string, path string, rule string, verdict string")
+    return arrow_map(pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url")), run, "page_id long, host string, path string, rule string, verdict string")
 
 
 def _ship(spark: SparkSession, name: str, data: bytes) -> None:
@@ -143,7 +145,7 @@ def joined_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow",
             asked = [[t.decode(errors="ignore") for t in lookups(h, p, lengths)] for h, p in split]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([s[0] for s in split]), pa.array([s[1] for s in split]), pa.array(asked, pa.list_(pa.string()))], ["page_id", "url", "host", "path", "asked"])
 
-    split = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url")).mapInArrow(run, "page_id long, url string, host string, path string, asked array<string>")
+    split = arrow_map(pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url")), run, "page_id long, url string, host string, path string, asked array<string>")
     keys = split.select("host", "path", "asked").distinct().select("host", "path", F.explode("asked").alias("t"))
     best = keys.join(texts, "t").groupBy("host", "path").agg(F.max(F.struct(F.octet_length("t").alias("n"), "t", "v")).alias("m"))
     return split.join(best, ["host", "path"], "left").select("page_id", "host", "path", F.col("m.t").alias("rule"), F.coalesce("m.v", F.lit(default)).alias("verdict"))
