@@ -2,13 +2,16 @@
 
 A unit of text (each line, and the whole text where it has several) is normalised to ASCII words and turned
 into its set of word bigrams. Dice >= t needs a unit whose set is between t / (2 - t) and (2 - t) / t times the
-notice's in size, so sizes prune the candidate notices before any set is intersected. The notices are a fixed,
+notice's in size, so sizes prune the candidate notices before any set is intersected. It also needs most of the
+notice's bigrams, so texts without any of a few words are left out before they are cut into bigrams. The notices are a fixed,
 bounded list that rides in the expression: the scan is one map-only stage without a shuffle.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +47,26 @@ def bigram_set(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
+def anchors(known: dict[str, list[str]], least: float) -> list[str]:
+    """Words of which every text that matches a notice holds one.
+
+    A match shares at least |notice| * least / (2 - least) of a notice's bigrams. Words are taken until the bigrams of
+    each notice without any of them are fewer than that: the word that helps most first, long words before short ones.
+    """
+    open_ = {k: set(b) for k, b in known.items() if b}
+    spare = {k: math.ceil(len(b) * least / (2 - least) - 1e-9) - 1 for k, b in open_.items()}
+    out: list[str] = []
+    while lacking := {k: b for k, b in open_.items() if len(b) > spare[k]}:
+        gain: Counter = Counter()
+        for k, b in lacking.items():
+            held = Counter(w for pair in b for w in set(pair.split()))
+            gain.update({w: min(n, len(b) - spare[k]) for w, n in held.items()})
+        best = max(gain, key=lambda w: (len(w) > 3, gain[w], len(w), w))
+        out.append(best)
+        open_ = {k: {p for p in b if best not in p.split()} for k, b in open_.items()}
+    return out
+
+
 def _bigrams(text: Column) -> Column:
     words = F.filter(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), " "), lambda w: w != "")
     pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
@@ -65,8 +88,10 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None, least: float =
     units = F.when(F.size(lines) > 1, F.concat(lines, F.array(F.struct(F.lit(-1).alias("line_no"), text.alias("unit"))))).otherwise(lines)
     each = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.explode(units).alias("u")).select("doc_id", "u.line_no", "u.unit")
     most = int(max(map(len, known.values()), default=0) * (2 - least) / least)
+    words = anchors(known, least)
+    could = F.lower("unit").rlike("|".join(words)) if words else F.lit(False)
 
-    sized = each.select("doc_id", "line_no", _bigrams(F.col("unit")).alias("b")).withColumn("n", F.size("b")).where(F.col("n").between(1, most))
+    sized = each.where(could).select("doc_id", "line_no", _bigrams(F.col("unit")).alias("b")).withColumn("n", F.size("b")).where(F.col("n").between(1, most))
     fits = F.filter(table, lambda t: (F.col("n") * (2 - least) >= t["n"] * least) & (F.col("n") * least <= t["n"] * (2 - least)))
     dice = F.transform(fits, lambda t: F.struct((-2.0 * F.size(F.array_intersect(F.col("b"), t["b"])) / (F.col("n") + t["n"])).alias("minus"), t["license"].alias("license")))
     best = sized.withColumn("m", F.array_min(dice)).where(F.col("m.minus") <= -least)
