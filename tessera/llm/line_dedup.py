@@ -104,7 +104,7 @@ def removed_lines(docs: DataFrame, near_words: int = 8, id_col: str = "doc_id",
     sized = lines.withColumn("n", n.cast("int")).select("place", *_ID, *halves)
     distinct = written(sized.groupBy(*_ID).agg(F.min("place").alias("first"), F.count("*").alias("copies"), *[F.max(c).alias(c) for c in "abcd"]))
     near = near_lines(lines, distinct)
-    bad = distinct.select(*_ID, "first", "copies").join(near, _ID, "left").where("copies > 1 or kept is not null")
+    bad = written(distinct.select(*_ID, "first", "copies").join(near, _ID, "left").where("copies > 1 or kept is not null"))  # its own table: a join partition with a frequent line can be split
     return lines.select("place", "k1", "k2", "line_no", *_ID).join(bad, _ID).where("place <> first or kept is not null").select("k1", "k2", "line_no", F.coalesce("kept", "first").alias("kept"))
 
 
