@@ -265,7 +265,7 @@ def repeated_spans(docs: DataFrame, length: int, k: int, group_bytes: int, task_
     heads = written(_heads(docs, length, k))
     ends = F.concat(F.slice("lo", 2, F.greatest(F.size("lo") - 1, F.lit(0))), F.array("n"))
     each = heads.select("t1", "t2", F.explode(F.arrays_zip(F.col("a"), F.col("lo"), ends.alias("hi"))).alias("x")).select("t1", "t2", "x.a", "x.lo", "x.hi")
-    again = each.groupBy("a").count().where("count > 1").select("a")
+    again = written(each.groupBy("a").count().where("count > 1").select("a"))  # a table of its own, so that a join partition with a frequent a can be split
     at = each.join(again, "a", "left_semi").groupBy("t1", "t2").agg(F.collect_list(F.struct("lo", "hi", "a")).alias("at"))
     texts = docs.select("t1", "t2", "b").join(at, ["t1", "t2"]).dropDuplicates(["t1", "t2"])
     pieces = written(_cut(texts, length))
