@@ -70,7 +70,7 @@ def near_lines(lines: DataFrame, distinct: DataFrame, sent_rows: int = 250_000)
     first = written(distinct.join(alive, _ID).select("h1", "h2", F.col("first").alias("place")))
     if first.count() <= sent_rows:
         first = F.broadcast(first)
-    found = lines.select("place", *_ID, "line").join(first, [*_ID, "place"]).orderBy("place")
+    found = lines.select("place", *_ID, "line").join(first, [*_ID, "place"]).dropDuplicates(_ID).orderBy("place")  # rows that agree in id and text share their places
     texts = written(found.select(F.monotonically_increasing_id().alias("i"), "place", *_ID, "line", F.size(_words("line")).alias("n")))  # i: in order of place
 
     each = texts.select("i", "n", F.posexplode(_words("line")).alias("p", "w"))
@@ -88,7 +88,7 @@ def near_lines(lines: DataFrame, distinct: DataFrame, sent_rows: int = 250_000)
     links = swapped.unionByName(pairs.select(F.greatest("i", "e").alias("i"), F.least("i", "e").alias("e"))).distinct()
 
     left, right = texts.select("i", F.col("line").alias("a_line")), texts.select(F.col("i").alias("e"), F.col("line").alias("b_line"))
-    kept = links.join(left, "i").join(right, "e").where(_one_edit("a_line", "b_line")).groupBy("i").agg(F.min("e").alias("e"))
+    kept = links.join(left, "i").join(right, "e").where(F.col("a_line") != F.col("b_line")).where(_one_edit("a_line", "b_line")).groupBy("i").agg(F.min("e").alias("e"))
     return kept.join(texts.select("i", *_ID), "i").join(texts.select(F.col("i").alias("e"), F.col("place").alias("kept")), "e").select(*_ID, "kept")
 
 

@@ -56,3 +56,10 @@ def test_odd_rows(odd_docs, no_docs):
     twins = [(r.text, r.lines_removed) for r in rows if r.doc_id == 1 and r.source == "a"]
     assert len(set(twins)) == 1
     assert line_dedup.dedup_lines(no_docs).count() == 0
+
+
+def test_a_repeated_row_keeps_its_earliest_line(odd_docs):
+    rows = line_dedup.dedup_lines(odd_docs).collect()
+    line = next(r.text for r in odd_docs.where("doc_id = 1 and source = 'a'").collect())
+    assert [(r.text, r.lines_removed) for r in rows if r.doc_id == 1 and r.source == "a"] == [(line, 0)] * 2
+    assert [(r.text, r.lines_removed) for r in rows if r.doc_id == 2] == [("", 2)]
