@@ -158,16 +158,16 @@ def _grams(examples: DataFrame, n: int, most: int) -> DataFrame:
     return arrow_map(examples.select("text", "y"), run, "gram string, times int, y int, docs long").groupBy("gram", "times", "y").agg(F.sum("docs").alias("docs"))
 
 
-def _settings(examples: DataFrame, terms: list[tuple[str, int]], n: int, margin: int = 6) -> dict[int, float]:
-    """For each term, by number, in how many settings it stands in effect: (sum of c)^2 / (sum of c^2), c being how many
-    examples hold it amid the same `margin` characters on both sides. Copies of one text hardly count beyond the first."""
+def _settings(examples: DataFrame, terms: list[tuple[str, int]], n: int, margin: int = 6) -> dict[int, dict[int, int]]:
+    """For each term, by number, in how many different settings it stands in examples of each label, a setting being
+    the `margin` characters on both sides: copies of one text count once."""
     number = {t: i for i, t in enumerate(terms)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = {gram for gram, _ in number}
         for b in batches:
-            counts: Counter = Counter()
-            for text in b.column(0).to_pylist():
+            found: set[tuple[int, int, int]] = set()
+            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 t, seen = padded(text), Counter()
                 for i in range(len(t) - n + 1):
                     gram = t[i : i + n]
@@ -175,42 +175,49 @@ def _settings(examples: DataFrame, terms: list[tuple[str, int]], n: int, margin:
                         seen[gram] += 1
                         term = number.get((gram, seen[gram]))
                         if term is not None:
-                            counts[term, xxhash.xxh64_intdigest(t[max(0, i - margin) : i + n + margin]) >> 1] += 1
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.int32()), pa.array([k[1] for k in counts], pa.int64()), pa.array(list(counts.values()), pa.int64())], ["term", "setting", "c"])
+                            found.add((term, y, xxhash.xxh64_intdigest(t[max(0, i - margin) : i + n + margin]) >> 1))
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.int32()), pa.array([k[1] for k in found], pa.int32()), pa.array([k[2] for k in found], pa.int64())], ["term", "y", "setting"])
 
-    held = arrow_map(examples.select("text"), run, "term int, setting long, c long").groupBy("term", "setting").agg(F.sum("c").alias("c"))
-    return {r["term"]: r["e"] for r in held.groupBy("term").agg((F.sum("c") * F.sum("c") / F.sum(F.col("c") * F.col("c"))).alias("e")).collect()}
+    held = arrow_map(examples.select("text", "y"), run, "term int, y int, setting long").distinct()
+    out: dict[int, dict[int, int]] = {}
+    for r in held.groupBy("term", "y").count().collect():
+        out.setdefault(r["term"], {})[r["y"]] = r["count"]
+    return out
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, per_label: int = 3000, n: int = 5, most_times: int = 4, max_terms: int = 4000, least_docs: int = 5, lean: float = 3.0, sure: float = 6.0,
-    k: int = 15, power: float = 4.0, prior: float = 0.3, block: int = 64, max_candidates: int = 40_000,
+    k: int = 15, power: float = 4.0, prior: float = 0.3, block: int = 64,
 ) -> Index:
     """Fit the index on a bounded sample of the labelled rows outside the held-out fold.
 
-    A term stands in at least least_docs examples of label 1, in `lean` times as many as its (smoothed) share
-    among those of label 0 lets expect, and in `sure` standard deviations more than that. The max_candidates most
-    frequent in label 1 are tested again with the settings in which they stand there in place of the examples, so
-    that the words of a text of which label 1 has many copies are no terms; the max_terms most frequent are kept,
+    A term stands in at least least_docs different texts of label 1, in `lean` times as many as its (smoothed) share
+    among those of label 0 lets expect, and in `sure` standard deviations more than that. All such terms are tested
+    again with the different settings in which they stand, on both labels, in place of the texts, so that the words
+    of a text of which label 1 has many copies are no terms; the max_terms with most settings in label 1 are kept,
     ties by gram.
     """
     examples, scale = sample(docs, labels, per_label)
     examples = written(examples)
     sizes = {r["y"]: r["count"] for r in examples.groupBy("y").count().collect()}
     ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
-    wide = _grams(examples, n, most_times).groupBy("gram", "times").agg(*[F.coalesce(F.sum(F.when(F.col("y") == y, F.col("docs"))), F.lit(0)).alias(f"d{y}") for y in (0, 1)])
-    share = max(ones, 1.0) / (zeros + 1.0)
+    texts = written(examples.select("y", "text").distinct())
+    different = {r["y"]: r["count"] for r in texts.groupBy("y").count().collect()}
+    wide = _grams(texts, n, most_times).groupBy("gram", "times").agg(*[F.coalesce(F.sum(F.when(F.col("y") == y, F.col("docs"))), F.lit(0)).alias(f"d{y}") for y in (0, 1)])
+    share = max(different.get(1, 0), 1.0) / (different.get(0, 0) + 1.0)
     expected = (F.col("d0") + 1) * F.lit(share)
     leaning = (F.col("d1") >= least_docs) & (F.col("d1") >= lean * expected) & (F.col("d1") - expected >= sure * F.sqrt(expected))
-    rows = wide.where(leaning).orderBy(F.desc("d1"), "gram", "times").limit(max_candidates).collect()
-    settings = _settings(examples.where("y = 1"), [(r["gram"], r["times"]) for r in rows], n)
+    rows = wide.where(leaning).collect()  # bounded by the sample
+    settings = _settings(texts, [(r["gram"], r["times"]) for r in rows], n)
 
     def stands(found: float, expected: float) -> bool:
         return found >= least_docs and found >= lean * expected and found - expected >= sure * expected**0.5
 
-    rows = [r for i, r in enumerate(rows) if stands(settings.get(i, 0.0), (r["d0"] + 1) * share)][:max_terms]
+    held = [(settings.get(i, {}), r) for i, r in enumerate(rows)]
+    held = [(s.get(1, 0), r) for s, r in held if stands(s.get(1, 0), (s.get(0, 0) + 1) * share)]
+    rows = [r for _, r in sorted(held, key=lambda x: (-x[0], x[1]["gram"], x[1]["times"]))][:max_terms]
     terms = [(r["gram"], r["times"]) for r in rows]
-    idf = np.array([np.log(1 + (ones + zeros) / (r["d0"] + r["d1"])) for r in rows])
+    idf = np.array([np.log(1 + sum(different.values()) / (r["d0"] + r["d1"])) for r in rows])
     empty = Index(terms, idf, *[np.zeros(0)] * 7, 0.0, block, k, power, prior)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -50,3 +50,15 @@ def test_odd_rows(spark, odd_docs, no_docs):
         assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
         assert toxicity.scores(no_docs, index).count() == 0
         assert toxicity.without_toxic(odd_docs, index, threshold=1.1).count() == odd_docs.count()
+
+
+def test_copies_do_not_drown_the_settings_of_a_word(spark):
+    rng = np.random.default_rng(1)
+    plain = lambda: " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(12))
+    ones = [f"{plain()} zzqqx {plain()}" for _ in range(80)] + ["copied uvwuvw words zzqqx kept"] * 400
+    zeros = [plain() for _ in range(300)] + ["harmless sentence on zzqqx here"] * 300
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(ones + zeros)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, int(i < len(ones))) for i in range(len(ones + zeros))], "doc_id long, quality int, toxic int")
+    grams = {g for g, _ in toxicity.fit(docs, labels).terms}
+    assert "zzqqx" in grams and "uvwuv" not in grams
+    assert [g for g, _ in toxicity.fit(docs, labels, max_terms=1).terms][0] in {" zzqq", "zzqqx", "zqqx "}
