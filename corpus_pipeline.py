@@ -30,9 +30,9 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes, and at what position of training."""
+    """How many words of each document the mix takes, and at what position of training each pass reads it."""
     mixed, sources = mixing.mix_with_sources(docs)
-    return mixing.curriculum(mixed, mixing.tilted(sources)).select("doc_id", "source", "size", "source_size", "target", "taken", "position")
+    return mixing.curriculum_by_pass(mixed, mixing.tilted(sources)).select("doc_id", "source", "size", "source_size", "target", "taken", "position", "positions")
 
 
 STAGES = [

@@ -112,6 +112,36 @@ def curriculum(mixed: DataFrame, schedules: DataFrame) -> DataFrame:
     return found.withColumn("position", position).drop("p_source", "t0", "t1", "w0", "w1", "q0", "q1", "p_all", "q").orderBy(F.col("position").asc_nulls_last(), "source", "doc_id")
 
 
+def curriculum_by_pass(mixed: DataFrame, schedules: DataFrame) -> DataFrame:
+    """Like curriculum(), by the words that are taken: adds `positions`, one for each pass that reads the row, and
+    `position`, the first of them.
+
+    A source's passes follow each other, so pass k reaches a row after k * source_size + before words; the position
+    is the t at which that share of the source's target, rounded to a word, is asked for.
+    """
+    area = schedules.withColumn("area", (F.col("t1") - F.col("t0")) * (F.col("w0") + F.col("w1")) / 2)
+    by = W.partitionBy("source").orderBy("t0")
+    part = area.withColumn("till", F.sum("area").over(by)).withColumn("all", F.sum("area").over(W.partitionBy("source"))).where("area > 0")
+    piece = F.struct("t0", "t1", "w0", "w1", ((F.col("till") - F.col("area")) / F.col("all")).alias("q0"), (F.col("till") / F.col("all")).alias("q1"), F.col("all").alias("p_all"))
+    part = part.groupBy(F.col("source").alias("p_source")).agg(F.array_sort(F.collect_list(piece)).alias("pieces"), F.lit(True).alias("planned"))
+    joined = mixed.join(F.broadcast(part) if few(schedules) else part, F.col("source").eqNullSafe(F.col("p_source")), "left")
+
+    goal = F.round("target").cast("long")
+    whole = F.floor(goal / F.greatest("source_size", F.lit(1))).cast("long")
+    passes = whole + F.when(F.col("taken") > whole * F.col("size"), F.lit(1)).otherwise(F.lit(0))
+
+    def reached(q: Column) -> Column:
+        p = F.coalesce(F.get(F.filter("pieces", lambda x: q < x["q1"]), F.lit(0)), F.element_at("pieces", -1))
+        need = (q - p["q0"]) * p["p_all"]
+        slope = (p["w1"] - p["w0"]) / (p["t1"] - p["t0"])
+        step = F.when(F.abs(slope) < 1e-12, need / p["w0"]).otherwise((F.sqrt(F.greatest(F.lit(0.0), p["w0"] * p["w0"] + 2 * slope * need)) - p["w0"]) / slope)
+        return F.when(F.col("planned"), F.least(p["t1"], p["t0"] + step)).otherwise(q)
+
+    starts = F.transform(F.sequence(F.lit(0).cast("long"), passes - 1), lambda k: (k * F.col("source_size") + F.col("before")) / goal)
+    found = joined.withColumn("positions", F.when(F.col("taken") > 0, F.transform(starts, reached)))
+    return found.withColumn("position", F.get("positions", F.lit(0))).select(*[c for c in mixed.columns if c not in ("position", "positions")], "position", "positions").orderBy(F.col("position").asc_nulls_last(), "source", "doc_id")
+
+
 def tilted(sources: DataFrame) -> DataFrame:
     """A schedule for each (source, weight): sources in turn rise from half to one and a half times their weight, or fall so."""
     turn = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) % 2

@@ -59,6 +59,21 @@ def test_position_inverts_the_demand(spark):
         assert abs(met(r.position) - r.before / 100) < 1e-9
 
 
+def test_every_pass_inverts_the_demand_for_the_taken_words(spark):
+    """At each position of a row, the schedule has asked for as many words as its source has given by then."""
+    met = lambda t: (2 * t * t if t <= 0.5 else 1 - 2 * (1 - t) ** 2)  # noqa: E731  of an area of 1
+    for goal in (65, 100, 135, 200):
+        whole, rest = divmod(goal, 100)
+        rows = [("a", k, 10, 100, float(goal), k * 10, whole * 10 + max(0, min(10, rest - k * 10))) for k in range(10)]
+        mixed = spark.createDataFrame(rows, "source string, doc_id long, size long, source_size long, target double, before long, taken long")
+        plan = spark.createDataFrame([("a", 0.0, 0.5, 0.0, 2.0), ("a", 0.5, 1.0, 2.0, 0.0)], "source string, t0 double, t1 double, w0 double, w1 double")
+        for schedule, asked in ((plan, met), (plan.where("false"), lambda t: t)):
+            got = mixing.curriculum_by_pass(mixed, schedule).collect()
+            found = sorted(asked(t) * goal for r in got for t in r.positions or [])
+            assert len(found) == -(-goal // 10) and all(abs(x - 10 * i) < 1e-6 for i, x in enumerate(found))
+            assert all(r.position == (r.positions[0] if r.taken else None) for r in got)
+
+
 def test_mixing_odd_rows(odd_docs, no_docs):
     mixed, sources = mixing.mix_with_sources(odd_docs)
     rows = mixed.collect()
