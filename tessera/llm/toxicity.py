@@ -1,24 +1,27 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Terms are character n-grams of the lower-cased, space-padded text, each with how often it stands there: a text
-that holds an n-gram three times has its terms 1, 2 and 3. The labelled sample fixes the vocabulary (terms
-that lean to label 1) and the index: for every term a posting list of (example, weight) in example
-order, cut into blocks that know their greatest weight. A query adds the block maxima of its terms to bound
-what any example of a block can score, adds up the blocks of the highest bounds, and then those others whose
-bound can still reach the k-th best: the k nearest are exact. Their labels vote, weighed by a power of the cosine in
-proportion to the nearest's, drawn to the base rate of the sample's texts that hold no term by a prior. Examples are stratified by label;
-votes are weighed back to the labelled rows' own rates, which keeps the score calibrated.
-
-The fit reads at most 2 x `per_label` examples; every text is scored whole.
+A text's terms are its lower-cased words cut to `stem` letters, so that inflections share one. All terms of the
+labelled sample that two of its texts hold are the vocabulary, and all examples are in the index: for every term a
+posting list of (example, weight) in example order, cut into blocks of examples that know their greatest weight. A
+query adds the block maxima of its terms to bound what any example of a block can score, adds up the blocks of the
+highest bounds, and then those others whose bound can still reach the k-th best: the k nearest are exact. Their labels
+vote, weighed by a power of the cosine in proportion to the nearest's, drawn to the base rate by a prior. Examples are
+stratified by label; votes are weighed back to the labelled rows' own rates, which keeps the score calibrated.
+
+A term's weight is (1 + ln tf) x idf x lean. The lean is never zero: it grows with how much more often than by chance
+the term stands in texts of label 1, so that two texts are near for what the labels are about before they are near
+for their common words. With idf alone the nearest examples are those of like subject.
+
+The fit reads at most 2 x `per_label` examples, the only bound; every text is scored whole.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,94 +30,88 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import arrow_map, written
 
+_WORD = re.compile(r"\w+")
+
 
 def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2
 
 
-def padded(text: str | None) -> str:
-    return f" {' '.join((text or '').lower().split())} "
+def stems(text: str | None, stem: int) -> list[str]:
+    return [w[:stem] for w in _WORD.findall((text or "").lower())]
 
 
 @dataclass
 class Index:
-    """terms: vocabulary in order; postings by term in CSR form; labels, weights and ids by example."""
-
-    terms: list[tuple[str, int]]
-    idf: np.ndarray
-    start: np.ndarray
+    """terms and their gain (idf x lean); cells by term: block, greatest weight and first posting; postings by cell:
+    example, weight; rows: the posting lists of common terms, an entry for every example, and the row of a term or -1;
+    label, share (of the labelled rows that an example stands for) and id by example."""
+
+    terms: dict[str, int]
+    gain: np.ndarray
+    stem: int
+    cell_start: np.ndarray
+    cell_block: np.ndarray
+    cell_max: np.ndarray
+    post_start: np.ndarray
     example: np.ndarray
     weight: np.ndarray
-    block_max: np.ndarray
+    row_of: np.ndarray
+    rows: np.ndarray
     label: np.ndarray
     share: np.ndarray
     ids: np.ndarray
     base: float
     block: int
+    blocks: int
     k: int
     power: float
     prior: float
 
-    def __post_init__(self) -> None:
-        self.automaton = None
-        self.edges = None
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"automaton": None, "edges": None}
-
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(terms, unit weights) of a text's TF-IDF vector; empty if it holds no term."""
-        if not self.terms:
+        known = self.terms
+        found = sorted((known[t], c) for t, c in Counter(stems(text, self.stem)).items() if t in known)
+        if not found:
             return np.zeros(0, np.int64), np.zeros(0)
-        if self.automaton is None:
-            self.automaton = ahocorasick.Automaton()
-            held: dict[str, list[tuple[int, int]]] = {}
-            for i, (gram, times) in enumerate(self.terms):
-                held.setdefault(gram, []).append((times, i))
-            for gram, terms in held.items():
-                self.automaton.add_word(gram, (gram, terms))
-            self.automaton.make_automaton()
-        found: dict[str, int] = {}
-        terms_of = {}
-        for _, (gram, terms) in self.automaton.iter(padded(text)):
-            found[gram] = found.get(gram, 0) + 1
-            terms_of[gram] = terms
-        at = np.array(sorted(i for gram, c in found.items() for times, i in terms_of[gram] if times <= c), np.int64)
-        w = self.idf[at] if len(at) else np.zeros(0)
-        return at, w / np.linalg.norm(w) if len(at) else w
-
-    def _added(self, at: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) above zero in the given blocks: their postings of all terms, added up by example."""
-        n_blocks = self.block_max.shape[1]
-        if self.edges is None:  # where each (term, block) begins among the postings, which are in this order
-            own = np.repeat(np.arange(len(self.terms)), np.diff(self.start)) * n_blocks + self.example // self.block
-            self.edges = np.searchsorted(own, np.arange(len(self.terms) * n_blocks + 1))
-        cell = (at[:, None] * n_blocks + np.sort(blocks)[None, :]).ravel()
-        lo, n = self.edges[cell], self.edges[cell + 1] - self.edges[cell]
-        take = np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)
-        score = np.bincount(self.example[take], self.weight[take] * np.repeat(np.repeat(w, len(blocks)), n), len(self.ids))
-        hit = np.flatnonzero(score)
-        return hit, score[hit]
+        at, tf = np.array(found, np.int64).T
+        w = (1 + np.log(tf)) * self.gain[at]
+        return at, w / np.linalg.norm(w)
 
     def nearest(self, at: np.ndarray, w: np.ndarray, first: int = 4) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest with a cosine above zero; ties go to the earlier example.
+        """(examples, cosines) of the k nearest with a cosine above zero; ties go to the smaller id.
 
         The `first` blocks of highest bound set the k-th best; then all others whose bound can reach it are added up.
         """
-        bound = w @ self.block_max[at]
+        row = self.row_of[at]
+        score = w[row >= 0] @ self.rows[row[row >= 0]] if (row >= 0).any() else np.zeros(len(self.ids))  # the common terms' part
+        cells, of = _ranges(self.cell_start[at], self.cell_start[at + 1])
+        block, gain = self.cell_block[cells], w[of]
+        begins = np.arange(self.blocks) * self.block
+        bound = np.bincount(block, gain * self.cell_max[cells], self.blocks) + (np.maximum.reduceat(score, begins) if len(score) else 0.0)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        best_e, best_s = np.zeros(0, np.int64), np.zeros(0)
-        for blocks in (order[:first], order[first:]):
-            if len(best_s) == self.k:
-                blocks = blocks[bound[blocks] >= best_s[-1] - 1e-9]
-            if not len(blocks):
-                break
-            e, s = self._added(at, w, blocks)
-            best_e, best_s = np.concatenate((best_e, e)), np.concatenate((best_s, s))
-            top = np.lexsort((best_e, -best_s))[: self.k]
-            best_e, best_s = best_e[top], best_s[top]
-        return best_e, best_s
+        e, s = self._best(score, cells, gain, block, order[:first])
+        if len(order) > first:
+            if len(s) == self.k:
+                order = order[bound[order] >= s[-1] - 1e-9]
+            e, s = self._best(score, cells, gain, block, order)
+        return e, s
+
+    def _best(self, common: np.ndarray, cells: np.ndarray, gain: np.ndarray, block: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest in the given blocks: the postings of their cells added up by example, and the common part."""
+        chosen = np.zeros(self.blocks, bool)
+        chosen[blocks] = True
+        inside = np.flatnonzero(chosen[block])
+        posts, own = _ranges(self.post_start[cells[inside]], self.post_start[cells[inside] + 1])
+        score = common + np.bincount(self.example[posts], self.weight[posts] * gain[inside][own], len(self.ids))
+        e = np.flatnonzero(np.repeat(chosen, self.block)[: len(score)] & (score > 0))
+        s = score[e]
+        if len(s) > self.k:
+            able = s >= np.partition(s, -self.k)[-self.k]
+            e, s = e[able], s[able]
+        top = np.lexsort((self.ids[e], -s))[: self.k]
+        return e[top], s[top]
 
     def score(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
         at, w = self.vector(text)
@@ -126,130 +123,123 @@ class Index:
         return float(min(1.0, max(0.0, p))), list(zip(self.ids[near].tolist(), cosine.tolist(), self.label[near].tolist(), strict=True))
 
 
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(all numbers of the ranges [lo, hi), which range each is of)."""
+    n = hi - lo
+    of = np.repeat(np.arange(len(n)), n)
+    return np.arange(n.sum()) + (lo - np.cumsum(n) + n)[of], of
+
+
+def indexed(vectors: list[tuple[np.ndarray, np.ndarray]], block: int, n_terms: int, common: float = 0.125) -> dict[str, np.ndarray | int]:
+    """The lists of an Index over the examples' (terms, weights); a term is common that so much of them hold."""
+    at = np.concatenate([np.zeros(0, np.int64), *(v[0] for v in vectors)]).astype(np.int64)
+    weight = np.concatenate([np.zeros(0), *(v[1] for v in vectors)])
+    who = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
+    often = np.bincount(at, minlength=n_terms) > max(block, common * len(vectors))
+    row_of = np.where(often, np.cumsum(often) - 1, -1)
+    rows = np.zeros((int(often.sum()), len(vectors)))
+    rows[row_of[at[often[at]]], who[often[at]]] = weight[often[at]]
+    at, who, weight = (x[~often[at]] for x in (at, who, weight))
+    order = np.lexsort((who, at))
+    at, who, weight = at[order], who[order], weight[order]
+    blocks = max(1, -(-len(vectors) // block))
+    cell = at * blocks + who // block
+    first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.zeros(0, np.int64)
+    return {
+        "cell_start": np.searchsorted(at[first], np.arange(n_terms + 1)), "cell_block": cell[first] % blocks, "cell_max": np.maximum.reduceat(weight, first) if len(first) else np.zeros(0),
+        "post_start": np.append(first, len(cell)), "example": who, "weight": weight, "row_of": row_of, "rows": rows, "block": block, "blocks": blocks,
+    }
+
+
 def sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[DataFrame, dict[int, float]]:
     """(doc_id, text, y) for at most per_label training rows of each label, lowest doc_id hash first, and each
-    label's number of training rows by those sampled. Rows with a null id or label teach nothing; of labels
-    that repeat a doc_id the greatest counts; of documents that repeat one, all."""
+    label's number of training rows by those sampled. Rows with a null id or label teach nothing, nor do labels
+    other than 0 and 1; of labels that repeat a doc_id the greatest counts; of documents that repeat one, the text
+    of least hash."""
     train = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
-    train = written(train.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")))
-    counts = {r["y"]: r["count"] for r in train.where("y in (0, 1)").groupBy("y").count().collect()}
+    train = written(train.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")).where("y in (0, 1)"))
+    counts = {r["y"]: r["count"] for r in train.groupBy("y").count().collect()}
     picked = None
     for y in (0, 1):
         part = train.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
         picked = part if picked is None else picked.unionByName(part)
     picked = written(picked)  # at most 2 * per_label ids: safe to broadcast
-    texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
-    return texts, {y: n / min(n, per_label) for y, n in counts.items()}
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked.withColumn("doc_id", F.col("doc_id").cast("long"))), "doc_id")
+    one = texts.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
+    return one.select("doc_id", "text", "y"), {y: n / min(n, per_label) for y, n in counts.items()}
 
 
-def _grams(examples: DataFrame, n: int, most: int) -> DataFrame:
-    """(gram, times, y, docs): how many examples of each label hold an n-gram so often, added up per batch first."""
+def _counts(texts: DataFrame, stem: int) -> DataFrame:
+    """(term, y, docs, settings): in how many different texts of each label a term stands, and beside how many different
+    pairs of neighbours; copies of a text, near ones too, hardly add to the second."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+            held: Counter[tuple[str, int]] = Counter()
+            beside: set[tuple[str, int, int]] = set()
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                t = padded(text)
-                for gram, c in Counter(t[i : i + n] for i in range(len(t) - n + 1)).items():
-                    counts[y].update((gram, times) for times in range(1, min(c, most) + 1))
-            for y, c in counts.items():
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in c], pa.string()), pa.array([x[1] for x in c], pa.int32()), pa.array([y] * len(c), pa.int32()), pa.array(list(c.values()), pa.int64())], ["gram", "times", "y", "docs"])
+                words = stems(text, stem)
+                held.update((t, y) for t in set(words))
+                for before, t, after in zip(["", *words], words, [*words[1:], ""], strict=False):
+                    beside.add((t, y, xxhash.xxh64_intdigest(f"{before} {after}") >> 1))
+            rows = [(t, y, None, n) for (t, y), n in held.items()] + [(t, y, s, 0) for t, y, s in beside]
+            cols = list(zip(*rows, strict=True)) or [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["term", "y", "setting", "docs"])
 
-    return arrow_map(examples.select("text", "y"), run, "gram string, times int, y int, docs long").groupBy("gram", "times", "y").agg(F.sum("docs").alias("docs"))
-
-
-def _settings(examples: DataFrame, terms: list[tuple[str, int]], n: int, margin: int = 6) -> dict[int, dict[int, int]]:
-    """For each term, by number, in how many different settings it stands in examples of each label, a setting being
-    the `margin` characters on both sides: copies of one text count once."""
-    number = {t: i for i, t in enumerate(terms)}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = {gram for gram, _ in number}
-        for b in batches:
-            found: set[tuple[int, int, int]] = set()
-            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                t, seen = padded(text), Counter()
-                for i in range(len(t) - n + 1):
-                    gram = t[i : i + n]
-                    if gram in grams:
-                        seen[gram] += 1
-                        term = number.get((gram, seen[gram]))
-                        if term is not None:
-                            found.add((term, y, xxhash.xxh64_intdigest(t[max(0, i - margin) : i + n + margin]) >> 1))
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.int32()), pa.array([k[1] for k in found], pa.int32()), pa.array([k[2] for k in found], pa.int64())], ["term", "y", "setting"])
-
-    held = arrow_map(examples.select("text", "y"), run, "term int, y int, setting long").distinct()
-    out: dict[int, dict[int, int]] = {}
-    for r in held.groupBy("term", "y").count().collect():
-        out.setdefault(r["term"], {})[r["y"]] = r["count"]
-    return out
+    each = arrow_map(texts.select("text", "y"), run, "term string, y int, setting long, docs long").groupBy("term", "y", "setting").agg(F.sum("docs").alias("docs"))
+    return each.groupBy("term", "y").agg(F.sum("docs").alias("docs"), F.count("setting").alias("settings"))
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, per_label: int = 3000, n: int = 5, most_times: int = 4, max_terms: int = 4000, least_docs: int = 5, lean: float = 3.0, sure: float = 6.0,
-    k: int = 15, power: float = 4.0, prior: float = 0.3, block: int = 64,
+    docs: DataFrame, labels: DataFrame, per_label: int = 2000, stem: int = 5, floor: float = 0.1, slope: float = 0.5, sure: float = 2.0, k: int = 20, power: float = 2.0, prior: float = 0.3, block: int = 64
 ) -> Index:
     """Fit the index on a bounded sample of the labelled rows outside the held-out fold.
 
-    A term stands in at least least_docs different texts of label 1, in `lean` times as many as its (smoothed) share
-    among those of label 0 lets expect, and in `sure` standard deviations more than that. All such terms are tested
-    again with the different settings in which they stand, on both labels, in place of the texts, so that the words
-    of a text of which label 1 has many copies are no terms; the max_terms with most settings in label 1 are kept,
-    ties by gram.
+    A term's lean is floor + slope x z, z being by how many standard deviations beyond `sure` it stands in more texts of
+    label 1 than those of label 0 let expect, or 0. Both are counted as the lesser of the different texts and
+    the different pairs of neighbours, so that many copies of one text do not teach that text's words. Without labelled
+    rows, or of one label alone, the index has that base rate and whatever neighbours there are.
     """
     examples, scale = sample(docs, labels, per_label)
     examples = written(examples)
-    sizes = {r["y"]: r["count"] for r in examples.groupBy("y").count().collect()}
-    ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
     texts = written(examples.select("y", "text").distinct())
     different = {r["y"]: r["count"] for r in texts.groupBy("y").count().collect()}
-    wide = _grams(texts, n, most_times).groupBy("gram", "times").agg(*[F.coalesce(F.sum(F.when(F.col("y") == y, F.col("docs"))), F.lit(0)).alias(f"d{y}") for y in (0, 1)])
-    share = max(different.get(1, 0), 1.0) / (different.get(0, 0) + 1.0)
-    expected = (F.col("d0") + 1) * F.lit(share)
-    leaning = (F.col("d1") >= least_docs) & (F.col("d1") >= lean * expected) & (F.col("d1") - expected >= sure * F.sqrt(expected))
-    rows = wide.where(leaning).collect()  # bounded by the sample
-    settings = _settings(texts, [(r["gram"], r["times"]) for r in rows], n)
-
-    def stands(found: float, expected: float) -> bool:
-        return found >= least_docs and found >= lean * expected and found - expected >= sure * expected**0.5
-
-    held = [(settings.get(i, {}), r) for i, r in enumerate(rows)]
-    held = [(s.get(1, 0), r) for s, r in held if stands(s.get(1, 0), (s.get(0, 0) + 1) * share)]
-    rows = [r for _, r in sorted(held, key=lambda x: (-x[0], x[1]["gram"], x[1]["times"]))][:max_terms]
-    terms = [(r["gram"], r["times"]) for r in rows]
-    idf = np.array([np.log(1 + sum(different.values()) / (r["d0"] + r["d1"])) for r in rows])
-    empty = Index(terms, idf, *[np.zeros(0)] * 7, 0.0, block, k, power, prior)
+    lesser = F.least("docs", "settings")
+    wide = _counts(texts, stem).groupBy("term").agg(F.sum("docs").alias("docs"), *[F.coalesce(F.sum(F.when(F.col("y") == y, lesser)), F.lit(0)).alias(f"p{y}") for y in (0, 1)])
+    rows = wide.where("docs > 1").orderBy("term").toArrow()  # bounded by the sample
+    n, p0, p1 = (rows.column(c).to_numpy().astype(float) for c in ("docs", "p0", "p1"))
+    expected = (p0 + 1) * max(different.get(1, 0), 1.0) / (different.get(0, 0) + 1.0)
+    lean = floor + slope * np.maximum(0.0, (p1 - expected) / np.sqrt(expected + 1) - sure)
+    terms = {t: i for i, t in enumerate(rows.column("term").to_pylist())}
+    none = np.zeros(0)
+    model = Index(terms, np.log(1 + sum(different.values()) / np.maximum(n, 1)) * lean, stem, *[none] * 11, 0.0, 1, 1, k, power, prior)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [empty.vector(t) for t in b.column(1).to_pylist()]
+            got = [model.vector(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([g[0] for g in got], pa.list_(pa.int64())), pa.array([g[1] for g in got], pa.list_(pa.float64()))], ["doc_id", "y", "at", "w"])
 
-    vecs = arrow_map(examples.select(F.col("doc_id").cast("long"), "text", F.col("y").cast("int")), vectors, "doc_id long, y int, at array<long>, w array<double>").orderBy("doc_id", "y", "at").collect()
-    zero = [v for v in vecs if not v["at"]]
-    held = [v for v in vecs if v["at"]]
-    mass = {y: sum(scale[v["y"]] for v in zero if v["y"] == y) for y in (0, 1)}
-    base = (mass[1] + 0.5) / (mass[0] + mass[1] + 1.0) if zero else (ones * scale.get(1, 1.0) + 0.5) / (ones * scale.get(1, 1.0) + zeros * scale.get(0, 1.0) + 1.0)
-    at = np.array([t for v in held for t in v["at"]], np.int64)
-    who = np.array([i for i, v in enumerate(held) for _ in v["at"]], np.int64)
-    weight = np.array([x for v in held for x in v["w"]])
-    order = np.lexsort((who, at))
-    at, who, weight = at[order], who[order], weight[order]
-    blocks = np.zeros((len(terms), -(-len(held) // block)))
-    np.maximum.at(blocks, (at, who // block), weight)
-    start = np.searchsorted(at, np.arange(len(terms) + 1))
-    label, share = (np.array([f(v) for v in held], float) for f in (lambda v: v["y"], lambda v: scale[v["y"]]))
-    ids = np.array([v["doc_id"] for v in held], np.int64)
-    return Index(terms, idf, start, who, weight, blocks, label.astype(np.int64), share / (share.max(initial=0) or 1.0), ids, float(base), block, k, power, prior)
+    vecs = arrow_map(examples.select("doc_id", "text", "y"), vectors, "doc_id long, y int, at array<long>, w array<double>").orderBy("doc_id").toArrow()
+    held = [(np.asarray(a.values), np.asarray(w.values)) for a, w in zip(vecs.column("at"), vecs.column("w"), strict=True)]
+    ahead = np.array([[*a[np.argsort(-w / model.gain[a], kind="stable")[:2]], -1, -1][:2] for a, w in held]).reshape(-1, 2)
+    order = np.lexsort((ahead[:, 1], ahead[:, 0]))  # examples with the same commonest words, as of one language, share blocks: their bounds are tight
+    held = [held[i] for i in order]
+    y, ids = vecs.column("y").to_numpy().astype(np.int64)[order], vecs.column("doc_id").to_numpy()[order]
+    stands_for = np.array([scale[int(v)] for v in y])
+    share = stands_for / stands_for.max() if len(y) else none
+    base = (float(stands_for @ y) + 0.5) / (float(stands_for.sum()) + 1.0)
+    parts = indexed(held, block, len(terms))
+    return Index(model.terms, model.gain, stem, label=y, share=share, ids=ids, base=base, k=k, power=power, prior=prior, **parts)
 
 
 def scores(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """(doc_id, score, predicted, evidence) for every row of docs.
 
-    evidence lists the nearest examples with cosine and label. Null and empty texts hold no term and score the
-    base rate of such texts. An empty table gives no rows; without labelled rows every score is 0.5.
+    evidence lists the nearest examples with cosine and label. Null and empty texts, and those of no known term, have
+    no neighbour and score the base rate. Rows that repeat are scored each. An empty table gives no rows; without
+    labelled rows every score is 0.5.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by per_label and max_terms
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by per_label
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -264,7 +254,11 @@ def scores(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str
 
 
 def without_toxic(docs: DataFrame, index: Index, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The rows of docs, all columns, whose score is below the threshold, in one map over the table."""
+    """The rows of docs, all columns, whose score is below the threshold, in one map over the table.
+
+    Null and empty texts score the base rate, so they stay where that is below the threshold. Rows that repeat stay or
+    go together. An empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(index)
     at = docs.columns.index(text_col)
 
