@@ -24,14 +24,14 @@ _ID = ["h1", "h2"]
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(place, k1, k2, line_no, line, h1, h2): the non-blank lines of every document row."""
+    """(place <no_id, id, k1, k2, line_no>, line, h1, h2): the non-blank lines of every document row."""
     text = F.col(text_col).cast("string")
     k1, k2 = row_keys(F.col(id_col).cast("long"), text)
     cut = docs.select(F.col(id_col).cast("long").alias("id"), k1.alias("k1"), k2.alias("k2"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "raw"))
     line = cut.withColumn("line", F.trim("raw")).where("line <> ''").drop("raw")
     h1, h2 = row_keys("line")
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "k1", "line_no")
-    return line.select(place.alias("place"), "k1", "k2", "line_no", "line", h1.alias("h1"), h2.alias("h2"))
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "k1", "k2", "line_no")
+    return line.select(place.alias("place"), "line", h1.alias("h1"), h2.alias("h2"))
 
 
 def _halves(line: Column, n: Column) -> list[Column]:
@@ -58,19 +58,22 @@ def _one_edit(a: str, b: str) -> Column:
     return F.when(F.size(x) == F.size(y), rest(x, 1) == rest(y, 1)).when(F.size(long) - F.size(short) == 1, rest(short, 0) == rest(long, 1)).otherwise(False)
 
 
-def near_lines(lines: DataFrame, distinct: DataFrame, sent_rows: int = 250_000) -> DataFrame:
+def near_lines(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(h1, h2, kept): distinct lines that have an earlier line one word edit away, with that line's place.
 
-    The texts of the lines that share a half are fetched from the documents: if these are counted to be at most
-    sent_rows, their places (50 bytes each) are sent to the tasks; more of them meet all lines in a shuffle.
+    The texts of the lines that share a half are cut from the documents in which they first stand.
     """
     keyed = distinct.where("a is not null").select(*_ID, F.explode(F.array("a", "b", "c", "d")).alias("half"))
     shared = keyed.groupBy("half").count().where("count > 1").select("half")
     alive = keyed.join(shared, "half", "left_semi").select(*_ID).distinct()
-    first = written(distinct.join(alive, _ID).select("h1", "h2", F.col("first").alias("place")))
-    if first.count() <= sent_rows:
-        first = F.broadcast(first)
-    found = lines.select("place", *_ID, "line").join(first, [*_ID, "place"]).dropDuplicates(_ID).orderBy("place")  # rows that agree in id and text share their places
+    asked = distinct.join(alive, _ID).groupBy(F.col("first")["k1"].alias("k1"), F.col("first")["k2"].alias("k2")).agg(F.collect_list(F.struct(F.col("first").alias("place"), *_ID)).alias("asked"))
+    asked = written(asked)  # a list is as long as a text has lines
+    text = F.col(text_col).cast("string")
+    k1, k2 = row_keys(F.col(id_col).cast("long"), text)
+    held = docs.select(k1.alias("k1"), k2.alias("k2"), text.alias("text")).where("text is not null").join(asked, ["k1", "k2"])
+    cut = held.select(F.array(F.split("text", "\n", -1)).alias("parts"), "asked")  # splits the text once
+    cut = cut.select(F.explode(F.flatten(F.transform("parts", lambda p: F.transform("asked", lambda a: F.struct(a["place"].alias("place"), a["h1"].alias("h1"), a["h2"].alias("h2"), F.trim(F.get(p, a["place"]["line_no"])).alias("line")))))).alias("x"))
+    found = cut.select("x.*").dropDuplicates(_ID).orderBy("place")  # rows that agree in id and text share their places
     texts = written(found.select(F.monotonically_increasing_id().alias("i"), "place", *_ID, "line", F.size(_words("line")).alias("n")))  # i: in order of place
 
     each = texts.select("i", "n", F.posexplode(_words("line")).alias("p", "w"))
@@ -103,9 +106,9 @@ def removed_lines(docs: DataFrame, near_words: int = 8, id_col: str = "doc_id",
     halves = [F.when(F.col("n") >= near_words, h).alias(c) for c, h in zip("abcd", _halves(F.col("line"), F.col("n")), strict=True)]
     sized = lines.withColumn("n", n.cast("int")).select("place", *_ID, *halves)
     distinct = written(sized.groupBy(*_ID).agg(F.min("place").alias("first"), F.count("*").alias("copies"), *[F.max(c).alias(c) for c in "abcd"]))
-    near = near_lines(lines, distinct)
+    near = near_lines(docs, distinct, id_col, text_col)
     bad = written(distinct.select(*_ID, "first", "copies").join(near, _ID, "left").where("copies > 1 or kept is not null"))  # its own table: a join partition with a frequent line can be split
-    return lines.select("place", "k1", "k2", "line_no", *_ID).join(bad, _ID).where("place <> first or kept is not null").select("k1", "k2", "line_no", F.coalesce("kept", "first").alias("kept"))
+    return lines.select("place", *_ID).join(bad, _ID).where("place <> first or kept is not null").select("place.k1", "place.k2", "place.line_no", F.coalesce("kept", "first").alias("kept"))
 
 
 def dedup_lines(docs: DataFrame, near_words: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
