@@ -6,7 +6,7 @@ supply gives the document's training position, and a range sort by position give
 
 Places are running sums of sizes in a source. A source can hold a third of all rows, so no window spans a
 source: documents are hashed to buckets, bucket totals are summed up (a small table), and windows run only
-inside (source, bucket).
+inside (source, bucket). So can an id: rows that agree in source, id and size are counted before the windows.
 """
 
 from __future__ import annotations
@@ -43,15 +43,18 @@ def targets(sizes: DataFrame, cycle: tuple[float, ...] = (3.0, 1.0, 2.0), share:
     return levels.withColumn("target", F.least("cap", free)).select("source", "source_size", "weight", "target")
 
 
-def placed(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, source, size) with `before`: the words of its source that come before it, in hash order.
+def placed(docs: DataFrame, chunk: int = 100_000) -> DataFrame:
+    """(doc_id, source, size, before), a row for each row of docs: `before` is the words of its source that come
+    before it, in hash order.
 
     The order is that of md5(doc_id), then doc_id, then size: the same on every run. Rows that tie in all three
-    are interchangeable.
+    are interchangeable, so they are counted and placed as one, and spread again in chunks: an id that a third of
+    all rows share, or that they lack, is as many rows to the windows as it has different sizes.
     """
-    digits = F.substring(F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("~")), 1, 4)
-    keyed = docs.withColumn("bucket", digits).withColumn("rank", F.md5(F.col("doc_id").cast("string")))
-    sums = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("held"))
+    groups = docs.groupBy("source", "doc_id", "size").agg(F.count("*").alias("copies"))
+    rank = F.md5(F.col("doc_id").cast("string"))
+    keyed = groups.withColumn("rank", rank).withColumn("bucket", F.substring(F.coalesce("rank", F.lit("~")), 1, 4))
+    sums = keyed.groupBy("source", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("held"))
     # two levels again: buckets of the same two leading digits form a block, so that no window sees over 257 rows a source
     sums = sums.withColumn("block", F.substring("bucket", 1, 2))
     blocks = sums.groupBy("source", "block").agg(F.sum("held").alias("block_held"))
@@ -60,9 +63,12 @@ def placed(docs: DataFrame) -> DataFrame:
     starts = inside.alias("i").join(above.alias("a"), F.col("i.source").eqNullSafe(F.col("a.source")) & (F.col("i.block") == F.col("a.block")))
     starts = starts.select(F.col("i.source").alias("s_source"), F.col("i.bucket").alias("s_bucket"), (F.col("inside") + F.col("above")).alias("start"))
     order = W.partitionBy("source", "bucket").orderBy(F.col("rank").asc_nulls_last(), F.col("doc_id").asc_nulls_last(), "size").rowsBetween(W.unboundedPreceding, 0)
-    run = keyed.withColumn("within", F.sum("size").over(order) - F.col("size"))
+    run = keyed.withColumn("within", F.sum(F.col("size") * F.col("copies")).over(order) - F.col("size") * F.col("copies"))
     joined = run.join(starts, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("bucket") == F.col("s_bucket")))
-    return joined.withColumn("before", F.col("start") + F.col("within")).drop("bucket", "rank", "within", "s_source", "s_bucket", "start")
+    parts = joined.withColumn("base", F.col("start") + F.col("within")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(chunk).cast("long"))))
+    parts = parts.select("doc_id", "source", "size", "base", "part", F.least(F.lit(chunk), F.col("copies") - F.col("part")).alias("n")).repartition("source", "doc_id", "size", "part")
+    each = parts.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    return each.select("doc_id", "source", "size", (F.col("base") + (F.col("part") + F.col("i")) * F.col("size")).alias("before"))
 
 
 def mix_with_sources(docs: DataFrame, cycle: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> tuple[DataFrame, DataFrame]:

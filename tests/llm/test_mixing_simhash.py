@@ -74,6 +74,20 @@ def test_every_pass_inverts_the_demand_for_the_taken_words(spark):
             assert all(r.position == (r.positions[0] if r.taken else None) for r in got)
 
 
+def test_rows_that_tie_are_placed_one_after_another(spark):
+    """An id that many rows share, and rows without one, fill their place in the order without gaps or overlaps."""
+    rng = random.Random(6)
+    sizes = [(None if rng.random() < 0.4 else 7 if rng.random() < 0.5 else i, rng.choice(["a", None]), rng.randint(0, 3)) for i in range(300)]
+    got = mixing.placed(spark.createDataFrame(sizes, "doc_id long, source string, size long"), chunk=7).collect()
+    for s in ("a", None):
+        own = sorted((r.before, r.size) for r in got if r.source == s)
+        assert sorted(n for _, n in own) == sorted(n for _, x, n in sizes if x == s)
+        at = 0
+        for before, n in own:
+            assert before == at
+            at += n
+
+
 def test_mixing_odd_rows(odd_docs, no_docs):
     mixed, sources = mixing.mix_with_sources(odd_docs)
     rows = mixed.collect()
