@@ -21,10 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; one is made only where the session names none."""
+    """The folder that the driver and all executors share. Where the session names none, one is made for a local master, as
+    in tests; on a cluster that would be the driver's own disk, so it is an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return context.getCheckpointDir()
 
 
@@ -37,7 +41,7 @@ def written(df: DataFrame) -> DataFrame:
 
 def row_keys(*cols: Column | str) -> tuple[Column, Column]:
     """Two 64-bit hashes, never null, that name a row by its content; rows that agree in all cols are one."""
-    named = [F.col(c) if isinstance(c, str) else c for c in cols]
+    named = [x for c in (F.col(c) if isinstance(c, str) else c for c in cols) for x in (c.isNull(), c)]  # a hash passes over nulls
     return F.xxhash64(*named), F.xxhash64(F.lit(7), *reversed(named), F.lit(11))
 
 

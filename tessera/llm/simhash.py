@@ -2,25 +2,26 @@
 
 Fingerprints are made in Arrow batches (one pass over the text). Equal fingerprints are collapsed first, so a
 large group of copies is one row. Pigeonhole keys deal the distinct fingerprints out: with a budget of d
-differing bits, d + 1 bands cover the 64 bits and two linked fingerprints agree in one band at least. Each
-(band, value) group is a trie over the fingerprints; the self-join walks pairs of its nodes together,
-adds up differing bits, and drops a pair as soon as the budget is exceeded. Groups over `group_rows` are cut
-into shards and every pair of shards is a task of its own, so no group is unbounded in one task. A task
+differing bits, d + 2 bands cover the 64 bits and two linked fingerprints agree in two bands at least, so that every
+pair of bands is a key. The fingerprints of a key are a trie; the self-join walks pairs of its nodes together,
+adds up differing bits, and drops a pair as soon as the budget is exceeded. Keys of over `group_rows` are cut
+into shards and every pair of shards is a group of its own, so no group is unbounded in one task. A group
 returns a spanning forest of the links it found (at most one edge per fingerprint), never all its pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, written
+from tessera.llm.common import arrow_map, row_keys, written
 from tessera.llm.components import components
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -46,15 +47,17 @@ def fingerprint(text: bytes | None, width: int = 4, seed: int = 42) -> int:
     return int((np.left_shift(np.uint64(1), _SHIFTS)[2 * total > n]).sum(dtype=np.uint64))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp long): the fingerprint's 64 bits as a signed long, one row per input row. Null text: zero."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
+    """(id, fp long, and the long columns `more`): the fingerprint's 64 bits as a signed long, one row per input row.
+    Null text: zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(t) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            fps = np.fromiter((fingerprint(t) for t in b.column(0).to_pylist()), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fps.view(np.int64))], [*b.schema.names[1:], "fp"])
 
-    return arrow_map(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("t")), run, "id long, fp long")
+    asked = docs.select(F.col(text_col).cast("string").cast("binary").alias("t"), F.col(id_col).cast("long").alias("id"), *more)
+    return arrow_map(asked, run, ", ".join(f"{c} long" for c in [*asked.columns[1:], "fp"]))
 
 
 def _forest(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,15 +134,15 @@ def _slices(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 def _join_group(pdf: pd.DataFrame, budget: int) -> pd.DataFrame:
-    """The links among one group's fingerprints, as a forest: within each value, or between its two sides."""
-    value, side = pdf["value"].to_numpy(np.int64), pdf["side"].to_numpy()
+    """The links among one group's fingerprints, as a forest: within each key, or between its two sides."""
+    key, side = pdf["key"].to_numpy(np.int64), pdf["side"].to_numpy()
     fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-    order = np.lexsort((fp, value, side))
-    value, fp, cut = value[order], fp[order], int((side < 1).sum())
+    order = np.lexsort((fp, key, side))
+    key, fp, cut = key[order], fp[order], int((side < 1).sum())
     same = not (side == 1).any()
-    values = np.unique(value[:cut])
-    xl, xh = (np.searchsorted(value[:cut], values, s) for s in ("left", "right"))
-    yl, yh = (xl, xh) if same else (np.searchsorted(value[cut:], values, s) for s in ("left", "right"))
+    keys = np.unique(key[:cut])
+    xl, xh = (np.searchsorted(key[:cut], keys, s) for s in ("left", "right"))
+    yl, yh = (xl, xh) if same else (np.searchsorted(key[cut:], keys, s) for s in ("left", "right"))
     left, right = fp[:cut], fp[:cut] if same else fp[cut:]
     label, us, vs = np.arange(len(fp)), [], []
     for i, j in trie_pairs(left, right, (xl, xh, yl, yh), same, budget):
@@ -150,25 +153,50 @@ def _join_group(pdf: pd.DataFrame, budget: int) -> pd.DataFrame:
     return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
 
+def band_keys(fp: Column, budget: int, spare: int = 2) -> list[Column]:
+    """Keys of which two fingerprints within the budget share one at least.
+
+    The 64 bits are cut into budget + spare bands. At most budget of them differ, so `spare` bands agree, and there
+    is a key, tagged with its number, for every choice of that many bands. With a budget of 4 there are 15 keys of
+    some 21 bits: 2^21 groups share the fingerprints, so that 5 x 10^10 of them make groups of about 24,000.
+    """
+    bands = budget + spare
+    edge = [64 * k // bands for k in range(bands + 1)]
+    band = [F.shiftrightunsigned(F.shiftleft(fp, 64 - edge[k + 1]), 64 - edge[k + 1] + edge[k]) for k in range(bands)]
+    out = []
+    for number, chosen in enumerate(combinations(range(bands), spare)):
+        key = F.lit(number).cast("long")
+        for k in chosen:
+            key = F.shiftleft(key, edge[k + 1] - edge[k]).bitwiseOR(band[k])
+        out.append(key)
+    return out
+
+
 def links(distinct: DataFrame, budget: int = 4, group_rows: int = 20_000) -> DataFrame:
     """(u, v) links that span every group of fingerprints chained by pairs within budget bits.
 
-    distinct: one column fp long without repeats. Connects exactly what all pairs within the budget connect.
+    distinct: one column fp long without repeats. Connects exactly what all pairs within the budget connect. A key's
+    fingerprints that are more than group_rows are cut into shards, each pair of which is a group; keys of fewer
+    share groups of about that size.
     """
-    bands = budget + 1
-    edge = [64 * k // bands for k in range(bands + 1)]
-    band = lambda k: F.shiftrightunsigned(F.shiftleft("fp", 64 - edge[k + 1]), 64 - edge[k + 1] + edge[k])
-    keyed = distinct.select("fp", F.posexplode(F.array(*[band(k) for k in range(bands)])).alias("band", "value"))
-    sizes = keyed.groupBy("band", "value").count().where("count > 1")
-    shards = F.ceil(F.col("count") / F.lit(group_rows)).cast("int")
-    placed = keyed.join(sizes, ["band", "value"]).withColumn("s", shards).withColumn("own", F.pmod(F.xxhash64("fp"), "s").cast("int"))
-    dealt = placed.select("band", "value", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("other"))
+    keyed = distinct.select("fp", F.explode(F.array(*band_keys(F.col("fp"), budget))).alias("key"))
+    sizes = written(keyed.groupBy("key").count().where("count > 1"))
+    held = sizes.agg(F.sum("count")).first()[0] or 0
+    batch = F.pmod(F.xxhash64("key"), F.lit(-(-held // group_rows) or 1))
+    placed = keyed.join(sizes, "key").withColumn("s", F.ceil(F.col("count") / F.lit(group_rows)).cast("int")).withColumn("own", F.pmod(F.xxhash64("fp"), "s").cast("int"))
+    dealt = placed.select("key", "fp", F.when(F.col("s") > 1, F.col("key")).alias("big"), F.when(F.col("s") == 1, batch).alias("batch"), "own", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("other"))
     dealt = dealt.select(
-        "band", "value", "fp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "key", "fp", "big", "batch", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), -1).otherwise(1).alias("side"),
     )
-    groups = dealt.groupBy("band", F.shiftright("value", 5).alias("near"), "i", "j")  # 32 values in a call
-    return groups.applyInPandas(lambda pdf: _join_group(pdf, budget), "u long, v long").distinct()
+    return dealt.groupBy("big", "batch", "i", "j").applyInPandas(lambda pdf: _join_group(pdf, budget), "u long, v long").distinct()
+
+
+def _components(fps: DataFrame, budget: int) -> DataFrame:
+    """(fp, root) for every distinct fp: the fingerprint that names its component."""
+    distinct = written(fps.select("fp").distinct())
+    roots = written(components(links(distinct, budget)))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, budget: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,21 +206,20 @@ def near_duplicates(docs: DataFrame, budget: int = 4, id_col: str = "doc_id", te
     Null ids take part and get a row; a component of null ids alone has a null component_id. Empty table: no rows.
     """
     fps = written(fingerprints(docs, id_col, text_col))
-    distinct = written(fps.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = written(components(links(distinct.select("fp"), budget)))
-    placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    least = fps.groupBy("fp").agg(F.min("id").alias("least"))
+    placed = _components(fps, budget).join(least, "fp")
+    named = written(placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id"))
     return fps.join(named, "fp").select("id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, budget: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs, all columns, with one row of each near-duplicate group: that of the smallest id.
+    """docs, all columns, with one row of each near-duplicate group: that of the smallest id, nulls last.
 
-    Rows that agree in id and text count as one. Rows without an id stay only if one of them is in a
-    group without ids.
+    Of rows that share that id the one whose content has the least hash stays, and one of those that agree in all columns.
+    Empty and null texts are one group. An empty table gives no rows.
     """
-    found = near_duplicates(docs, budget, id_col, text_col)
-    keep = found.where("component_id is null or id = component_id").select(F.col("id").alias("__id")).distinct()
-    key = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    kept = docs.withColumn("__k", key).join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates([id_col, "__k"]).select(*docs.columns)
+    h1, h2 = row_keys(*docs.columns)
+    fps = written(fingerprints(docs, id_col, text_col, h1.alias("h1"), h2.alias("h2")))
+    best = fps.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h1", "h2")).alias("best"))
+    keep = _components(fps, budget).join(best, "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.h1").alias("__h1"), F.col("best.h2").alias("__h2"))
+    return docs.withColumns({"__h1": h1, "__h2": h2}).join(keep, ["__h1", "__h2"], "left_semi").dropDuplicates(["__h1", "__h2"]).select(*docs.columns)

@@ -276,7 +276,7 @@ def repeated_spans(docs: DataFrame, length: int, k: int, group_bytes: int, task_
     found = _compare(distinct(F.col("held") <= group_bytes), length, task_bytes)
     if not mixed.where(F.col("held") > group_bytes).isEmpty():
         found = found.unionByName(_count_windows(distinct(F.col("held") > group_bytes), length))
-    verdicts = counted.join(found, ["a", "p1", "p2"], "left").where("c > 1 or size(ranges) > 0").select("a", "p1", "p2", "c", "ranges")
+    verdicts = written(counted.join(found, ["a", "p1", "p2"], "left").where("c > 1 or size(ranges) > 0").select("a", "p1", "p2", "c", "ranges"))  # its own table too: a very frequent piece's partition can be split
     own = pieces.select("t1", "t2", "lo", "n", "a", "p1", "p2").join(verdicts, ["a", "p1", "p2"])
     whole = F.array(F.struct(F.col("lo").alias("s"), (F.col("lo") + F.col("n")).alias("e")))
     moved = F.transform("ranges", lambda r: F.struct((r["s"] + F.col("lo")).alias("s"), (r["e"] + F.col("lo")).alias("e")))

@@ -134,9 +134,12 @@ def _ship(spark: SparkSession, name: str, data: bytes) -> None:
 def joined_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """As verdicts, for rules of any number in a table (host, path, verdict): an equi-join on the looked-up texts.
 
-    Each url is looked up under at most its host labels times the distinct lengths of rule paths.
+    Each url is looked up under at most its host labels times the distinct lengths of rule paths. Null urls and those
+    without '://' have empty host and path and no rule; rules with a null host or path fit nothing; pages that repeat
+    get a row each; an empty table gives no rows.
     """
-    lengths = sorted(r[0] for r in rules.select(F.octet_length("path")).distinct().limit(1000).collect())
+    rules = rules.where("host is not null and path is not null")
+    lengths = sorted(r[0] for r in rules.select(F.octet_length("path")).distinct().collect())  # lengths, at most as many as the longest path has bytes
     texts = rules.groupBy(F.concat("host", "path").alias("t")).agg(F.max("verdict").alias("v"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -163,3 +163,30 @@ def test_simhash_odd_rows(odd_docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
     kept = simhash.one_of_each(odd_docs)
     assert kept.columns == odd_docs.columns and [r.doc_id for r in kept.collect() if r.doc_id in (3, 4, 5)] == [3]
+
+
+def test_near_duplicates_whole_query_brute_force(spark):
+    """Fingerprints, links and components end to end, against all pairs."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows += [(10_000 + i, " ".join((t or "").split()[: 4 + i % 40])) for i, (_, t) in enumerate(rows[:60])] + [(None, rows[0][1]), (7, ""), (8, None), (7, rows[1][1])]
+    fps = [plain_fingerprint(t) for _, t in rows]
+    part = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 4 and part[i] != part[j]:
+                old, new = part[i], part[j]
+                part = [new if p == old else p for p in part]
+    least: dict[int, int] = {}
+    for (d, _), p in zip(rows, part, strict=True):
+        if d is not None:
+            least[p] = min(d, least.get(p, d))
+    want = sorted(((d, f, least.get(p)) for (d, _), f, p in zip(rows, fps, part, strict=True)), key=str)
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.id, r.fp % (1 << 64), r.component_id) for r in got), key=str) == want
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b, c = "one two three four five six", "seven eight nine ten eleven", "twelve thirteen fourteen fifteen"
+    rows = [(1, b), (5, b), (5, a), (None, a), (None, a), (None, c), (None, c), (6, c + " more"), (6, c + " more"), (9, None), (None, "")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, b), (5, a), (None, c), (6, c + " more"), (9, None)], key=str)
