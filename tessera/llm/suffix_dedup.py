@@ -7,14 +7,17 @@ Different pieces of one hash meet in a task that builds a suffix array over them
 between neighbours, and the interval tree of those lengths by a stack scan. A node of at least `length` whose
 occurrences are preceded by different bytes is a maximal repeat group; its occurrences cover the windows.
 
-Groups over `group_bytes` are not given to a task whole: their windows are counted by 128-bit digest instead,
-which partial aggregation spreads over all tasks.
+Groups over `group_bytes` are not given to a task whole but dealt to shards. All pieces of a group hold its k-gram, so
+two that share a window share o bytes before it and the other length - k - o after it. The shard of o in [lo, hi] is
+named by the `lo` bytes before and the length - k - hi bytes after the k-gram, and pieces are cut to its windows; equal
+cuts are counted as one again. A shard that is still too large is halved, down to a single o, where all is equal.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -210,51 +213,89 @@ def _cut(texts: DataFrame, length: int, remembered: int = 200_000) -> DataFrame:
     return arrow_map(texts.select("t1", "t2", "b", "at"), run, "t1 long, t2 long, lo int, n int, a long, p1 long, p2 long, piece binary")
 
 
-def _groups(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[list, list, list, list]]:
-    """Whole groups of rows with one a, from rows sorted by a, as many at a time as make about most bytes."""
-    a: list[int] = []
-    p1: list[int] = []
-    p2: list[int] = []
-    piece: list[bytes] = []
+def _groups(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[list[tuple]]:
+    """The rows of whole groups, from rows sorted by their first column, as many groups at a time as make about most bytes."""
+    rows: list[tuple] = []
     held = 0
     for b in batches:
         for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if held >= most and row[0] != a[-1]:
-                yield a, p1, p2, piece
-                a, p1, p2, piece, held = [], [], [], [], 0
-            for col, v in zip((a, p1, p2, piece), row, strict=True):
-                col.append(v)
-            held += len(row[3])
-    if a:
-        yield a, p1, p2, piece
+            if held >= most and row[0] != rows[-1][0]:
+                yield rows
+                rows, held = [], 0
+            rows.append(row)
+            held += len(row[-1])
+    if rows:
+        yield rows
 
 
 def _compare(pieces: DataFrame, length: int, task_bytes: int) -> DataFrame:
-    """(a, p1, p2, ranges): the repeated windows of distinct pieces, by suffix arrays over groups of one a."""
+    """(a, p1, p2, ranges): the repeated windows of pieces (g, a, p1, p2, start, piece), by suffix arrays over groups of
+    one g. A piece begins at `start` of the one that a, p1, p2 name, and ranges count from there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, p1, p2, piece in _groups(batches, task_bytes):
-            ranges = [_runs(f) for f in repeated_windows(piece, length)]
+        for rows in _groups(batches, task_bytes):
+            _, a, p1, p2, start, piece = zip(*rows, strict=True)
+            ranges = [[{"s": r["s"] + at, "e": r["e"] + at} for r in _runs(f)] for f, at in zip(repeated_windows(list(piece), length), start, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(p1, pa.int64()), pa.array(p2, pa.int64()), pa.array(ranges, pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))], ["a", "p1", "p2", "ranges"])
 
-    sorted_ = pieces.select("a", "p1", "p2", "piece").repartition("a").sortWithinPartitions("a")
+    sorted_ = pieces.select("g", "a", "p1", "p2", "start", "piece").repartition("g").sortWithinPartitions("g")
     return arrow_map(sorted_, run, f"a long, p1 long, p2 long, ranges {_RANGES}")
 
 
-def _count_windows(pieces: DataFrame, length: int) -> DataFrame:
-    """As _compare, for groups of any size: every window's digest is a row, and rows that repeat are counted."""
+def gram_place(piece: bytes, a: int, length: int, k: int) -> int:
+    """Where in a piece its least k-gram begins, of hash a: in all its windows, the last such place of the first."""
+    at = np.arange(len(piece) - length, length - k + 1)
+    hashes = _range_hashes(np.frombuffer(piece, np.uint8).astype(np.uint64) + np.uint64(1), at, at + k)
+    return int(at[np.flatnonzero(hashes == np.uint64(a % (1 << 64)))[-1]])
+
+
+def _halved(pieces: DataFrame, length: int, k: int) -> DataFrame:
+    """Pieces (a, p1, p2, start, gram, lo, hi, piece) cut to both halves of [lo, hi], with the shard's key (g, g2) and the
+    cut's own (d1, d2). gram: where the k-gram begins in the piece named by a, p1, p2; negative if not yet known."""
+    ints, longs = ("start", "gram", "lo", "hi"), ("a", "p1", "p2", "g", "g2", "d1", "d2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for a, p1, p2, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                n = len(piece) - length + 1
-                w = np.frombuffer(b"".join(xxhash.xxh3_128_digest(piece[i : i + length]) for i in range(n)), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, a)), pa.array(np.full(n, p1)), pa.array(np.full(n, p2)), pa.array(np.arange(n, dtype=np.int32)), pa.array(w[:, 0]), pa.array(w[:, 1])], ["a", "p1", "p2", "s", "w1", "w2"])
-
-    each = written(arrow_map(pieces.select("a", "p1", "p2", "piece"), run, "a long, p1 long, p2 long, s int, w1 long, w2 long"))
-    often = each.groupBy("a", "w1", "w2").count().where("count > 1").drop("count")
-    hit = each.join(often, ["a", "w1", "w2"]).groupBy("a", "p1", "p2").agg(F.collect_list(F.struct("s", (F.col("s") + 1).alias("e"))).alias("ranges"))
-    return hit.select("a", "p1", "p2", F.col("ranges").cast(_RANGES).alias("ranges"))
+            out: dict[str, list] = {c: [] for c in (*longs, *ints, "piece")}
+            for a, p1, p2, start, gram, lo, hi, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                place = gram_place(piece, a, length, k) if gram < 0 else gram - start
+                least, most, middle = place + length - len(piece), place, (lo + hi + 1) // 2  # the o that the piece has
+                for first, last in ((lo, middle - 1), (middle, hi)):
+                    low, high = max(first, least), min(last, most)
+                    if low > high:
+                        continue
+                    shared = piece[place - first : place + length - last]
+                    cut = piece[place - high : place - low + length]
+                    g, g2 = np.frombuffer(xxhash.xxh3_128_digest(b"%d %d %d " % (a, first, last) + shared), np.int64).tolist()
+                    d1, d2 = np.frombuffer(xxhash.xxh3_128_digest(cut), np.int64).tolist()
+                    for c, v in zip(out, (a, p1, p2, g, g2, d1, d2, start + place - high, start + place, first, last, cut), strict=True):
+                        out[c].append(v)
+            kinds = [pa.int64()] * len(longs) + [pa.int32()] * len(ints) + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out.values(), kinds, strict=True)], list(out))
+
+    asked = pieces.select("a", "p1", "p2", *ints, "piece")
+    return arrow_map(asked, run, ", ".join([*(f"{c} long" for c in longs), *(f"{c} int" for c in ints), "piece binary"]))
+
+
+def _compare_sharded(pieces: DataFrame, length: int, k: int, group_bytes: int, task_bytes: int) -> DataFrame:
+    """As _compare, for groups of any size (a, p1, p2, piece), one row per piece: halves the shards of a group until they
+    are of at most group_bytes; each halving is a pass over what is still too large, log2(length) passes at most."""
+    found = []
+    large = pieces.select("a", "p1", "p2", F.lit(0).alias("start"), F.lit(-1).alias("gram"), F.lit(0).alias("lo"), F.lit(length - k).alias("hi"), "piece")
+    while True:
+        cut = written(_halved(large, length, k))
+        own = F.struct("a", "p1", "p2", "start", "gram", "lo", "hi")
+        kinds = written(cut.groupBy("g", "g2", "d1", "d2").agg(F.count("*").alias("c"), F.min(own).alias("x"), F.first("piece").alias("piece")))
+        again = cut.drop("piece").join(kinds.where("c > 1").select("g", "g2", "d1", "d2", F.length("piece").alias("bytes")), ["g", "g2", "d1", "d2"])
+        found.append(again.select("a", "p1", "p2", F.array(F.struct(F.col("start").alias("s"), (F.col("start") + F.col("bytes") - length + 1).alias("e"))).alias("ranges")))
+        sizes = written(kinds.groupBy("g", "g2").agg(F.count("*").alias("n"), F.sum(F.length("piece")).alias("held")).where("n > 1"))
+        different = lambda size: kinds.select("g", "g2", "x.*", "piece").join(sizes.where(size).select("g", "g2"), ["g", "g2"])  # noqa: B023, E731
+        found.append(_compare(different(F.col("held") <= group_bytes), length, task_bytes))
+        if sizes.where(F.col("held") > group_bytes).isEmpty():
+            break
+        large = different(F.col("held") > group_bytes).where("lo < hi")
+    each = reduce(DataFrame.unionByName, [f.select("a", "p1", "p2", F.col("ranges").cast(_RANGES).alias("ranges")) for f in found])
+    return each.where("size(ranges) > 0").groupBy("a", "p1", "p2").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
 
 def repeated_spans(docs: DataFrame, length: int, k: int, group_bytes: int, task_bytes: int) -> DataFrame:
@@ -273,9 +314,9 @@ def repeated_spans(docs: DataFrame, length: int, k: int, group_bytes: int, task_
     counted = written(pieces.groupBy("a", "p1", "p2").agg(F.count("*").alias("c"), F.first("piece", ignorenulls=True).alias("piece")))
     mixed = written(counted.groupBy("a").agg(F.count("*").alias("kinds"), F.sum(F.length("piece")).alias("held")).where("kinds > 1"))
     distinct = lambda size: counted.join(mixed.where(size), "a").select("a", "p1", "p2", "piece")
-    found = _compare(distinct(F.col("held") <= group_bytes), length, task_bytes)
+    found = _compare(distinct(F.col("held") <= group_bytes).select(F.col("a").alias("g"), "a", "p1", "p2", F.lit(0).alias("start"), "piece"), length, task_bytes)
     if not mixed.where(F.col("held") > group_bytes).isEmpty():
-        found = found.unionByName(_count_windows(distinct(F.col("held") > group_bytes), length))
+        found = found.unionByName(_compare_sharded(distinct(F.col("held") > group_bytes), length, k, group_bytes, task_bytes))
     verdicts = written(counted.join(found, ["a", "p1", "p2"], "left").where("c > 1 or size(ranges) > 0").select("a", "p1", "p2", "c", "ranges"))  # its own table too: a very frequent piece's partition can be split
     own = pieces.select("t1", "t2", "lo", "n", "a", "p1", "p2").join(verdicts, ["a", "p1", "p2"])
     whole = F.array(F.struct(F.col("lo").alias("s"), (F.col("lo") + F.col("n")).alias("e")))

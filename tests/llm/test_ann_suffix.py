@@ -68,7 +68,7 @@ def brute(rows: list[tuple[int | None, str | None]], length: int) -> list[tuple]
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("group_bytes", [1 << 20, 60])
+@pytest.mark.parametrize("group_bytes", [1 << 20, 300, 60])
 def test_repeats_brute_force(spark, group_bytes):
     rng = np.random.default_rng(2)
     part = ["".join(rng.choice(list("abä"), 40)) for _ in range(8)]
