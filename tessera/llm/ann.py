@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by a permutation index.
 
-A bounded sample of vectors serves as pivots. Every vector is represented by its pivots in order of nearness
-(its permutation, cut to a prefix) and posted in the inverted files of its nearest few pivots. A query reads
-the files of more of its own nearest pivots, ranks what it finds there by footrule distance between
-permutations (a pivot missing from a prefix counts as standing at its end), and reranks the best part of it by
-cosine on the original vectors in double precision.
+A sample of vectors serves as pivots: `spread` x sqrt(N) of N vectors, at most `most_pivots`. Every vector is
+represented by its pivots in order of nearness (its permutation, cut to a prefix) and posted in the inverted files of
+its nearest few pivots. A query reads the files of more of its own nearest pivots, ranks what it finds there by
+footrule distance between permutations (a pivot missing from a prefix counts as standing at its end), and reranks the
+best part of it by cosine on the original vectors in double precision. With P pivots a query reads `reach` x sqrt(P)
+files of posts x N / P vectors each, so what it reads grows as the 0.75th power of N.
 
 A pivot's file can hold a third of all vectors (many copies of one), and so can its readers: files are cut
 into shards of `file_rows` vectors by `query_rows` queries, each a task group of bounded size.
@@ -61,30 +62,39 @@ def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def _permutations(packed: DataFrame, pivots: np.ndarray, prefix: int) -> DataFrame:
     """(id, v, perm array<int>): each vector with its nearest pivots in order, ties to the smaller number."""
+    shared = packed.sparkSession.sparkContext.broadcast(pivots)  # at most most_pivots vectors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                sims = _unit(_matrix(b.column(1).to_pandas())) @ pivots.T
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                sims = _unit(_matrix(part.column(1).to_pandas())) @ shared.value.T
                 perm = np.argsort(-sims, axis=1, kind="stable")[:, :prefix].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(perm), pa.list_(pa.int32()))], ["id", "v", "perm"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(perm), pa.list_(pa.int32()))], ["id", "v", "perm"])
 
     return arrow_map(packed, run, "id long, v binary, perm array<int>")
 
 
-def _rerank(found: pd.DataFrame, asked: pd.DataFrame, n_pivots: int, prefix: int, share: float, k: int) -> pd.DataFrame:
+def footrule(perms: np.ndarray, query: np.ndarray, n_pivots: int) -> np.ndarray:
+    """Sum over all pivots of the difference in place between each of perms and query; past a prefix all stand at its end."""
+    prefix = perms.shape[1]
+    place = np.full(n_pivots, prefix, np.int32)
+    place[query] = np.arange(prefix, dtype=np.int32)
+    there = place[perms]
+    return (np.abs(np.arange(prefix, dtype=np.int32) - there) + there).sum(axis=1, dtype=np.int64) + prefix * (prefix + 1) // 2 - prefix * prefix
+
+
+def _rerank(found: pd.DataFrame, asked: pd.DataFrame, n_pivots: int, share: float, k: int) -> pd.DataFrame:
     """The k nearest (query, vec, score) in one file shard for each of its readers."""
     out: list[tuple[int, int, float]] = []
     if len(found) and len(asked):
         x, q = _matrix(found["v"]), _matrix(asked["qv"])
-        unit = _unit(x)
-        place = np.full((len(x) + len(q), n_pivots), prefix, np.int16)
-        np.put_along_axis(place, np.stack([*found["perm"], *asked["qperm"]]).astype(np.int64), np.arange(prefix, dtype=np.int16)[None, :], 1)
+        unit, perms = _unit(x), np.stack(found["perm"].tolist())
         ids, keep = found["id"].to_numpy(), max(k + 1, 64, int(np.ceil(share * len(x))))
-        for i, query in enumerate(asked["qid"].tolist()):
+        for i, (query, perm) in enumerate(zip(asked["qid"].tolist(), asked["qperm"], strict=True)):
             near = np.arange(len(x))
             if keep < len(x):
-                foot = np.abs(place[: len(x)] - place[len(x) + i]).sum(axis=1, dtype=np.int64)
+                foot = footrule(perms, perm, n_pivots)
                 near = np.flatnonzero(foot <= np.partition(foot, keep - 1)[keep - 1])
             near = near[ids[near] != query]
             if len(near) > 4 * k:  # the exact measure is taken where it can matter
@@ -98,19 +108,20 @@ def _rerank(found: pd.DataFrame, asked: pd.DataFrame, n_pivots: int, prefix: int
 
 
 def search(
-    vectors: DataFrame, is_query: str, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", n_pivots: int = 256, prefix: int = 96,
-    posts: int = 5, reads: int = 48, share: float = 0.2, file_rows: int = 8192, query_rows: int = 2048,
+    vectors: DataFrame, is_query: str, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", spread: float = 2.0, most_pivots: int = 1 << 16, prefix: int = 96,
+    posts: int = 4, reach: float = 2.6, share: float = 0.2, file_rows: int = 8192, query_rows: int = 2048,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for every vector whose id satisfies is_query (SQL on id).
 
-    Pivots are the n_pivots vectors with the least id hash. Ties go to the smaller vec_id. A query that found
+    Pivots are the vectors with the least id hash. Ties go to the smaller vec_id. A query that found
     fewer than k, with more to find, reads all files. No vectors, or a single one, give no rows.
     """
     packed = usable(vectors, id_col, vector_col)
-    chosen = packed.orderBy(F.xxhash64("id"), "id").limit(n_pivots).collect()  # at most n_pivots rows
     total = packed.count()
+    chosen = packed.orderBy(F.xxhash64("id"), "id").limit(max(16, min(most_pivots, round(spread * total**0.5)))).collect()  # at most most_pivots rows
     pivots = _unit(np.stack([np.frombuffer(bytes(r["v"]), np.float64) for r in chosen])) if chosen else np.zeros((0, 1))
     n, cut = len(pivots), min(prefix, len(pivots))
+    reads = min(n, max(1, round(reach * n**0.5)))
     index = written(_permutations(packed, pivots, cut))
 
     def read(queries: DataFrame, reads: int, share: float) -> DataFrame:
@@ -125,13 +136,13 @@ def search(
         left = file.join(grid, "pivot").select("id", "v", "perm", "pivot", F.pmod(F.xxhash64("id"), "a").alias("s"), F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("t"))
         right = asked.join(grid, "pivot").select("qid", "qv", "qperm", "pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("a").cast("long") - 1)).alias("s"), F.pmod(F.xxhash64("qid"), "b").cast("int").alias("t"))
         keys = ["pivot", "s", "t"]
-        run = lambda l, r: _rerank(l, r, n, cut, share, k)  # noqa: E731, E741
+        run = lambda l, r: _rerank(l, r, n, share, k)  # noqa: E731, E741
         return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(run, "query_id long, vec_id long, score double").distinct()
 
     queries = index.where(is_query).select(F.col("id").alias("qid"), F.col("v").alias("qv"), F.col("perm").alias("qperm"))
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     top = lambda df: df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-    found = written(top(read(queries, min(reads, n), share)))
+    found = written(top(read(queries, reads, share)))
     enough = found.groupBy("query_id").count().where(F.col("count") >= min(k, total - 1)).select(F.col("query_id").alias("qid"))
     short = written(queries.join(enough, "qid", "left_anti"))
     if total > 1 and not short.isEmpty():

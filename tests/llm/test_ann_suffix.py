@@ -22,8 +22,17 @@ def nearest(rows: list[tuple[int, np.ndarray]], k: int) -> dict[int, list[int]]:
     return out
 
 
-def test_recall(spark):
+@pytest.mark.parametrize("copies", [1, 4])
+def test_recall(spark, copies):
+    """At two sizes, so that pivots and reads that follow the number of vectors are tested too."""
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    if copies > 1:  # more vectors like these: mixtures of two
+        from pyspark.sql import functions as F
+
+        a, b = vectors.select("vec_id", F.col("embedding").alias("a")), vectors.select(F.col("vec_id").alias("o"), F.col("embedding").alias("b"))
+        each = a.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).withColumn("o", F.pmod(F.col("vec_id") * (7 + 2 * F.col("c")) + F.col("c"), F.lit(vectors.count())))
+        mixed = each.join(b, "o").select((F.col("vec_id") * copies + F.col("c")).alias("vec_id"), F.zip_with("a", "b", lambda x, y: x + 0.7 * y).alias("embedding"))
+        vectors = mixed
     rows = [(r.vec_id, np.array(r.embedding, float)) for r in vectors.collect()]
     want = nearest(rows, 5)
     got: dict[int, list[int]] = {}
@@ -39,13 +48,21 @@ def test_shards_change_nothing_that_is_exact(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     want = nearest([(i, np.array(v)) for i, v in rows], 5)
     for size in (8192, 20):
-        found = ann.search(df, "id % 50 = 0", n_pivots=16, prefix=16, reads=16, posts=3, share=1.0, file_rows=size, query_rows=2)
+        found = ann.search(df, "id % 50 = 0", spread=1.0, prefix=16, reach=9.0, posts=3, share=1.0, file_rows=size, query_rows=2)
         got: dict[int, list[int]] = {}
         for r in found.orderBy("query_id", "rank").collect():
             got.setdefault(r.query_id, []).append(r.vec_id)
         assert got == want
 
 
+def test_footrule_by_definition():
+    rng = np.random.default_rng(4)
+    perms = np.stack([rng.permutation(20)[:6] for _ in range(30)])
+    place = lambda p: [list(p).index(i) if i in p else 6 for i in range(20)]
+    want = [sum(abs(x - y) for x, y in zip(place(p), place(perms[0]), strict=True)) for p in perms]
+    assert ann.footrule(perms, perms[0], 20).tolist() == want
+
+
 def test_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (50, [2.0, 0.0]), (1, [0.0, 0.0]), (2, None), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [1.0, 1.0]), (6, [1.0, 1.0]), (None, [1.0, 0.0]), (7, [1.0]), (8, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as id", "2 as v", "3 as pivot")
