@@ -101,26 +101,36 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 OP4_SQL = r"""
-WITH t(license, notice) AS (VALUES {notices}),
-u AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS unit, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents
-  UNION ALL SELECT doc_id, text, -1 FROM documents WHERE contains(text, chr(10))),
-b AS (
-  SELECT *, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b
-  FROM (SELECT doc_id, line_no, regexp_extract_all(lower(unit), '[a-z0-9]+') AS w FROM u)),
-n AS (
-  SELECT license, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
-  FROM (SELECT license, regexp_extract_all(lower(notice), '[a-z0-9]+') AS w FROM t)),
+WITH t AS (
+  SELECT license, row_number() OVER () AS k, regexp_extract_all(lower(notice), '[a-z0-9]+') AS w FROM (VALUES {notices}) AS v(license, notice)),
+g AS (SELECT k, license, len(w) AS n, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM t),
+tb AS (SELECT k, unnest(b) AS b FROM g),
+l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents),
+x AS (
+  SELECT doc_id, line_no, unnest(w) AS word, unnest(range(len(w))) AS j FROM (
+    SELECT *, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS w FROM l)),
+y AS (SELECT doc_id, line_no, word, row_number() OVER (PARTITION BY doc_id ORDER BY line_no, j) - 1 AS i, count(*) OVER (PARTITION BY doc_id) AS total FROM x),
+p AS (SELECT * FROM (SELECT doc_id, line_no, i, total, word || ' ' || lead(word) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM y) WHERE b IS NOT NULL),
+h AS (
+  SELECT doc_id, k, i, least(n, total) AS m, total, ceil(len(g.b) * 0.8 / 1.2 - 1e-9) AS need FROM p JOIN tb USING (b) JOIN g USING (k)
+  QUALIFY count(*) OVER (PARTITION BY doc_id, k) >= ceil(len(g.b) * 0.8 / 1.2 - 1e-9)),
+c AS (
+  SELECT doc_id, k, s, m FROM (SELECT doc_id, k, m, need, unnest(range(greatest(0, i - m + 2), least(i, total - m) + 1)) AS s FROM h)
+  GROUP BY doc_id, k, s, m, need HAVING count(*) >= need),
 d AS (
-  SELECT doc_id, line_no, license, 2.0 * len(list_intersect(b, g)) / (len(b) + len(g)) AS dice
-  FROM b JOIN n ON len(b) BETWEEN 0.6 * len(g) AND 1.6 * len(g))
-SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, license, CAST(dice AS DOUBLE) AS dice FROM d WHERE dice >= 0.8
-QUALIFY row_number() OVER (PARTITION BY doc_id, line_no ORDER BY dice DESC, license) = 1
+  SELECT c.doc_id, c.k, s, m, min(p.line_no) AS line_no, count(DISTINCT p.b) AS held, count(DISTINCT tb.b) AS own
+  FROM c JOIN p ON p.doc_id = c.doc_id AND p.i BETWEEN s AND s + m - 2 LEFT JOIN tb ON tb.k = c.k AND tb.b = p.b GROUP BY c.doc_id, c.k, s, m),
+f AS (SELECT DISTINCT doc_id, line_no, s, m, license, 2.0 * own / (held + len(g.b)) AS dice FROM d JOIN g USING (k) WHERE 2.0 * own / (held + len(g.b)) >= 0.8),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, m DESC, license, s) AS place FROM f)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, s AS word, m AS n_words, license, CAST(dice AS DOUBLE) AS dice FROM r
+WHERE NOT EXISTS (SELECT 1 FROM r AS o WHERE o.doc_id = r.doc_id AND o.place < r.place AND o.s < r.s + r.m AND r.s < o.s + o.m)
 """
 
 
 def _op4_sql() -> str:
-    return OP4_SQL.replace("{notices}", ", ".join(f"('{k}', '{v}')" for k, v in licenses.NOTICES.items()))
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    return OP4_SQL.replace("{notices}", ", ".join(f"({quoted(k)}, {quoted(t)})" for k, texts in licenses.TEMPLATES.items() for t in texts))
 
 
 OP5_SQL = r"""
