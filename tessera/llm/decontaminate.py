@@ -6,8 +6,8 @@ matched with those of the benchmark, every match is extended to the windows of `
 these join the benchmark's windows as text, so that no hash decides alone. Benchmark items shorter than
 `span` are windows of their own length: the hashes of all document k-grams of such a length are matched.
 
-The benchmark is the stated query set. Its kept hashes go to the tasks as a sorted array of at most
-`block_hashes` entries; a larger benchmark is taken in blocks of that size, one pass over the documents each.
+The benchmark is the stated query set. Its kept hashes go to the tasks as a sorted array if they are counted to be at
+most `sent_hashes` (8 MB); the hashes of a larger benchmark meet those of the documents in a join, with the same result.
 """
 
 from __future__ import annotations
@@ -102,12 +102,12 @@ def windows_of(items: DataFrame, span: int, id_col: str, text_col: str) -> DataF
                     continue
                 words = data.split()
                 if n < span:
-                    out.append((item, n, b" ".join(words).decode(), gram_hashes(data, starts, ends, n).view(np.int64).tolist()))
+                    out.append((item, n, _text(b" ".join(words)), gram_hashes(data, starts, ends, n).view(np.int64).tolist()))
                     continue
                 hashes = gram_hashes(data, starts, ends, k)
                 for s in range(len(words) - span + 1):
                     part = hashes[s : s + span - k + 1]
-                    out.append((item, n, b" ".join(words[s : s + span]).decode(), part[winnow(part, span - k + 1)].view(np.int64).tolist()))
+                    out.append((item, n, _text(b" ".join(words[s : s + span])), part[winnow(part, span - k + 1)].view(np.int64).tolist()))
             cols = list(zip(*out, strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int64())), strict=True)], ["item_id", "n", "w", "hashes"])
 
@@ -115,15 +115,40 @@ def windows_of(items: DataFrame, span: int, id_col: str, text_col: str) -> DataF
     return arrow_map(source, run, "item_id long, n int, w string, hashes array<long>").distinct()
 
 
+def _kept(data: bytes, starts: np.ndarray, ends: np.ndarray, n: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) by which windows of n words are looked up: winnowed k-grams for n = span, else all n-grams."""
+    k = max(1, span // 2 - 1)
+    hashes = gram_hashes(data, starts, ends, k if n == span else n)
+    if len(starts) < n:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    at = winnow(hashes, span - k + 1) if n == span else np.arange(len(hashes))
+    return at, hashes[at]
+
+
+def _around(data: bytes, starts: np.ndarray, ends: np.ndarray, n: int, at: np.ndarray, span: int) -> list[dict]:
+    """The windows of n words that hold one of the k-grams at `at`, with their text."""
+    if n == span and len(at):
+        at = np.unique((at[:, None] - np.arange(span - max(1, span // 2 - 1) + 1)[None, :]).ravel())
+        at = at[(at >= 0) & (at <= len(starts) - span)]
+    return [{"s": s, "n": n, "w": _text(re.sub(rb" +", b" ", data[a:e]))} for s, a, e in zip(at.tolist(), starts[at].tolist(), ends[at + n - 1].tolist(), strict=True)]
+
+
+def _text(words: bytes) -> str:
+    """Words as a string; bytes that are no UTF-8 become replacement characters, on both sides alike."""
+    return words.decode(errors="replace")
+
+
+_HITS = pa.list_(pa.struct([("s", pa.int64()), ("n", pa.int32()), ("w", pa.string())]))
+_KEYS = "doc_id long, k1 long, k2 long"
+
+
 def _candidates(docs: DataFrame, known: dict[int, np.ndarray], span: int) -> DataFrame:
     """(doc_id, k1, k2, n_words, hits array<struct<s, n, w>>): windows of docs around each kept hash that is known.
 
     known: by window length, the sorted hashes of the benchmark's windows of that length.
     """
-    k = max(1, span // 2 - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shape = pa.list_(pa.struct([("s", pa.int64()), ("n", pa.int32()), ("w", pa.string())]))
         for b in batches:
             counts, found = [], []
             for text in b.column(3).to_pylist():
@@ -132,50 +157,74 @@ def _candidates(docs: DataFrame, known: dict[int, np.ndarray], span: int) -> Dat
                 counts.append(len(starts))
                 hits = []
                 for n, hashes in known.items():
-                    own = gram_hashes(data, starts, ends, k if n == span else n)
-                    if len(starts) < n or not len(hashes):
-                        continue
-                    at = winnow(own, span - k + 1) if n == span else np.arange(len(own))
-                    place = np.minimum(np.searchsorted(hashes, own[at]), len(hashes) - 1)
-                    at = at[hashes[place] == own[at]]
-                    if n == span and len(at):
-                        at = np.unique((at[:, None] - np.arange(span - k + 1)[None, :]).ravel())
-                        at = at[(at >= 0) & (at <= len(starts) - span)]
-                    hits += [{"s": s, "n": n, "w": re.sub(rb" +", b" ", data[a:e]).decode()} for s, a, e in zip(at.tolist(), starts[at].tolist(), ends[at + n - 1].tolist(), strict=True)]
+                    at, own = _kept(data, starts, ends, n, span)
+                    if len(at) and len(hashes):
+                        hits += _around(data, starts, ends, n, at[hashes[np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)] == own], span)
+                found.append(hits)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(counts, pa.int64()), pa.array(found, _HITS)], ["doc_id", "k1", "k2", "n_words", "hits"])
+
+    return arrow_map(docs.select("doc_id", "k1", "k2", F.col("text").cast("binary")), run, f"{_KEYS}, n_words long, hits array<struct<s: long, n: int, w: string>>")
+
+
+def _joined_candidates(docs: DataFrame, hashes: DataFrame, lengths: list[int], span: int) -> DataFrame:
+    """As _candidates, for a benchmark of any size: kept hashes of docs meet those of the benchmark (n, h) in a join."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shape = pa.list_(pa.struct([("n", pa.int32()), ("s", pa.int64()), ("h", pa.int64())]))
+        for b in batches:
+            counts, found = [], []
+            for text in b.column(3).to_pylist():
+                data = folded(text)
+                starts, ends = word_spans(data)
+                counts.append(len(starts))
+                found.append([{"n": n, "s": s, "h": h} for n in lengths for s, h in zip(*(x.tolist() for x in (lambda at, own: (at, own.view(np.int64)))(*_kept(data, starts, ends, n, span))), strict=True)])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(counts, pa.int64()), pa.array(found, shape)], ["doc_id", "k1", "k2", "n_words", "kept"])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for text, places in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True):
+                data, hits = folded(text), []
+                starts, ends = word_spans(data)
+                for n in sorted({p["n"] for p in places or ()}):
+                    hits += _around(data, starts, ends, n, np.array(sorted({p["s"] for p in places if p["n"] == n})), span)
                 found.append(hits)
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(counts, pa.int64()), pa.array(found, shape)], ["doc_id", "k1", "k2", "n_words", "hits"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(found, _HITS)], ["doc_id", "k1", "k2", "n_words", "hits"])
 
-    return arrow_map(docs.select("doc_id", "k1", "k2", F.col("text").cast("binary")), run, "doc_id long, k1 long, k2 long, n_words long, hits array<struct<s: long, n: int, w: string>>")
+    source = docs.select("doc_id", "k1", "k2", F.col("text").cast("binary").alias("text"))
+    scanned = written(arrow_map(source, kept, f"{_KEYS}, n_words long, kept array<struct<n: int, s: long, h: long>>"))
+    places = scanned.select("k1", "k2", F.explode("kept").alias("x")).select("k1", "k2", "x.n", "x.s", "x.h").join(hashes, ["n", "h"])
+    listed = places.groupBy("k1", "k2").agg(F.collect_set(F.struct("n", "s")).alias("places"))  # as long as a text has words
+    counted = scanned.select("k1", "k2", "n_words").dropDuplicates(["k1", "k2"])
+    asked = source.join(counted, ["k1", "k2"]).join(listed, ["k1", "k2"], "left").select("doc_id", "k1", "k2", "n_words", "text", "places")
+    return arrow_map(asked, windows, f"{_KEYS}, n_words long, hits array<struct<s: long, n: int, w: string>>")
 
 
-def _matched(docs: DataFrame, benchmark: DataFrame, span: int, id_col: str, text_col: str, block_hashes: int) -> tuple[DataFrame, DataFrame]:
+def _matched(docs: DataFrame, benchmark: DataFrame, span: int, id_col: str, text_col: str, sent_hashes: int) -> tuple[DataFrame, DataFrame]:
     """(scanned, matched): (doc_id, k1, k2, n_words) by row, and (k1, k2, s, n, item_id) by occurrence of a window."""
     k1, k2 = row_keys(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), k1.alias("k1"), k2.alias("k2"))
     windows = written(windows_of(benchmark, span, "item_id", "text"))
     hashes = written(windows.select("n", F.explode("hashes").alias("h")).distinct())
-    blocks = max(1, -(-hashes.count() // block_hashes))
-    hits = None
-    for block in range(blocks):
-        part = hashes.where(F.pmod("h", F.lit(blocks)) == block).toArrow() if blocks > 1 else hashes.toArrow()
-        n, h = part.column("n").to_numpy(), part.column("h").to_numpy().view(np.uint64)
-        found = _candidates(keyed, {int(v): np.sort(h[n == v]) for v in np.unique(n)}, span)
-        found = found.withColumn("block", F.lit(block))
-        hits = found if hits is None else hits.unionByName(found)
+    if hashes.count() <= sent_hashes:
+        n, h = (hashes.toArrow().column(c).to_numpy() for c in ("n", "h"))
+        hits = _candidates(keyed, {int(v): np.sort(h[n == v].view(np.uint64)) for v in np.unique(n)}, span)
+    else:
+        hits = _joined_candidates(keyed, hashes, sorted(r["n"] for r in hashes.select("n").distinct().collect()), span)  # lengths up to span
     scanned = written(hits)
     spans = scanned.where(F.size("hits") > 0).select("k1", "k2", F.explode("hits").alias("x")).select("k1", "k2", "x.s", "x.n", "x.w").distinct()
     matched = written(spans.join(windows.select("item_id", "n", "w"), ["n", "w"]).select("k1", "k2", "s", "n", "item_id"))
-    return scanned.where("block = 0").select("doc_id", "k1", "k2", "n_words"), matched
+    return scanned.select("doc_id", "k1", "k2", "n_words"), matched
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text", block_hashes: int = 1 << 20) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text", sent_hashes: int = 1 << 20) -> DataFrame:
     """One row per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A window is `span` consecutive words of an item, or the whole of a shorter item. A document word inside any
     occurrence of a window is hit. Null and empty texts have no words and no hits; rows that repeat an id each
     get a row, and those that agree in id and text the same one; an empty benchmark hits nothing.
     """
-    scanned, matched = _matched(docs, benchmark, span, id_col, text_col, block_hashes)
+    scanned, matched = _matched(docs, benchmark, span, id_col, text_col, sent_hashes)
     upto = W.partitionBy("k1", "k2").orderBy("s", "n").rowsBetween(W.unboundedPreceding, -1)
     runs = matched.select("k1", "k2", "s", "n").distinct().withColumn("till", F.coalesce(F.max(F.col("s") + F.col("n")).over(upto), F.lit(0)))
     covered = runs.groupBy("k1", "k2").agg(F.sum(F.greatest(F.lit(0), F.col("s") + F.col("n") - F.greatest("s", "till"))).alias("n_hit"))
@@ -186,9 +235,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col:
     return rows.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text", block_hashes: int = 1 << 20) -> DataFrame:
-    """The rows of docs, all columns, in which no window of the benchmark occurs."""
-    _, matched = _matched(docs, benchmark, span, id_col, text_col, block_hashes)
+def decontaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text", sent_hashes: int = 1 << 20) -> DataFrame:
+    """The rows of docs, all columns, in which no window of the benchmark occurs.
+
+    Null and empty texts stay. Rows that repeat stay or go together. An empty benchmark takes nothing; an empty table
+    gives no rows.
+    """
+    _, matched = _matched(docs, benchmark, span, id_col, text_col, sent_hashes)
     k1, k2 = row_keys(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     bad = matched.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
     return docs.withColumns({"__k1": k1, "__k2": k2}).join(bad, ["__k1", "__k2"], "left_anti").select(*docs.columns)

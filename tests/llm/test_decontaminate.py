@@ -37,8 +37,8 @@ def test_brute_force(spark):
     text = lambda n: "".join(rng.choice(vocab) + rng.choice([" ", "-", "  ", ", "]) for _ in range(n))
     items = [(i, text(rng.choice([0, 1, 2, 4, 6, 9]))) for i in range(12)] + [(99, None)]
     docs = [(i, text(rng.randint(0, 60))) for i in range(40)] + [(5, "a b"), (None, text(30)), (41, None)]
-    for block in (1 << 20, 7):
-        got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), span=5, block_hashes=block)
+    for sent in (1 << 20, 7):
+        got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), span=5, sent_hashes=sent)
         rows = sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got.collect()), key=str)
         assert rows == brute(docs, items, 5)
 
