@@ -173,6 +173,10 @@ def _counts(texts: DataFrame, stem: int) -> DataFrame:
     """(term, y, docs, settings): in how many different texts of each label a term stands, and beside how many different
     pairs of neighbours; copies of a text, near ones too, hardly add to the second."""
 
+    def rows(held: Counter, beside: set) -> pa.RecordBatch:
+        cols = list(zip(*[(t, y, None, n) for (t, y), n in held.items()], *[(t, y, s, 0) for t, y, s in beside], strict=True)) or [[], [], [], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["term", "y", "setting", "docs"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held: Counter[tuple[str, int]] = Counter()
@@ -182,9 +186,10 @@ def _counts(texts: DataFrame, stem: int) -> DataFrame:
                 held.update((t, y) for t in set(words))
                 for before, t, after in zip(["", *words], words, [*words[1:], ""], strict=False):
                     beside.add((t, y, xxhash.xxh64_intdigest(f"{before} {after}") >> 1))
-            rows = [(t, y, None, n) for (t, y), n in held.items()] + [(t, y, s, 0) for t, y, s in beside]
-            cols = list(zip(*rows, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["term", "y", "setting", "docs"])
+                if len(beside) > 50_000:  # what is held stays small; equal rows meet in the aggregate
+                    yield rows(held, beside)
+                    held, beside = Counter(), set()
+            yield rows(held, beside)
 
     each = arrow_map(texts.select("text", "y"), run, "term string, y int, setting long, docs long").groupBy("term", "y", "setting").agg(F.sum("docs").alias("docs"))
     return each.groupBy("term", "y").agg(F.sum("docs").alias("docs"), F.count("setting").alias("settings"))
