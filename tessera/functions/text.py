@@ -207,12 +207,26 @@ def list_items(c: Column | str) -> Column:
     return F.filter(F.transform(F.concat(marked, tagged), lambda t: collapsed(F.regexp_replace(t, r"<[^>]*>", " "))), lambda t: t != "")
 
 
-def with_particle(c: Column | str, after_consonant: str, after_vowel: str) -> Column:
-    """A Korean noun with the particle that its last syllable asks for; other endings take the vowel form."""
-    text = as_col(c)
-    code = F.ascii(F.right(F.rtrim(text), F.lit(1)))
-    closed = code.between(0xAC00, 0xD7A3) & ((code - 0xAC00) % 28 != 0)
-    return F.concat(text, F.when(closed, F.lit(after_consonant)).otherwise(F.lit(after_vowel)))
+# Digits whose Korean reading ends in a consonant, and marks that do not count as a word's end.
+CLOSED_DIGITS = "013678"
+_END_MARKS = " \t\u00a0.,:;!?()[]{}'\"“”‘’*"
+
+
+def ends_closed(c: Column | str, readings: dict[str, bool] | None = None) -> Column:
+    """Whether a text is read with a consonant at its end in Korean: by its last syllable or digit, or for the last word in
+    Latin letters by `readings` (lower case); null where that is not known."""
+    bare = F.rtrim(as_col(c), F.lit(_END_MARKS))
+    last = F.right(bare, F.lit(1))
+    code = F.ascii(last)
+    word = F.lower(F.ltrim(F.element_at(F.split(bare, r"\s+"), -1), F.lit(_END_MARKS)))
+    known = [F.when(word == w, F.lit(closed)) for w, closed in (readings or {}).items()]
+    return F.when(code.between(0xAC00, 0xD7A3), (code - 0xAC00) % 28 != 0).when(last.rlike("^[0-9]$"), F.contains(F.lit(CLOSED_DIGITS), last)).otherwise(F.coalesce(*known, F.lit(None).cast("boolean")))
+
+
+def with_particle(c: Column | str, after_consonant: str, after_vowel: str, readings: dict[str, bool] | None = None) -> Column:
+    """A Korean noun with the particle that its reading asks for; null where the reading is not known."""
+    closed = ends_closed(c, readings)
+    return F.when(closed.isNotNull(), F.concat(as_col(c), F.when(closed, F.lit(after_consonant)).otherwise(F.lit(after_vowel))))
 
 
 _ESCAPES = {

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
 import json
 import unicodedata
 
@@ -93,22 +92,37 @@ cell_text = _reader(cell)
 choice_text = _reader(choice)
 
 
-def partial_ratio_of(needle: str | None, hay: str | None) -> float:
-    """The best similarity (0 to 1) of the shorter text to a stretch of the longer one of the same length.
+def stretch_distance(needle: str, hay: str) -> int:
+    """The least number of edits (replace, insert, delete a character) that turn needle into some stretch of hay.
 
-    Stretches are laid where the texts have common blocks; a near-perfect one ends the search.
+    One column of the edit-distance table is a pair of bit vectors of needle's length, moved on character by character,
+    so that the cost is one pass over hay.
     """
+    size = len(needle)
+    high, full = 1 << (size - 1), (1 << size) - 1
+    where: dict[str, int] = {}
+    for i, ch in enumerate(needle):
+        where[ch] = where.get(ch, 0) | (1 << i)
+    more, less, now, best = full, 0, size, size
+    for ch in hay:
+        same = where.get(ch, 0)
+        down = same | less
+        across = (((same & more) + more) ^ more) | same
+        up, drop = less | ~(across | more), more & across
+        now += 1 if up & high else -1 if drop & high else 0
+        best = min(best, now)
+        up, drop = up << 1, drop << 1  # a stretch may begin anywhere: no cost comes in at the top
+        more, less = (drop | ~(down | up)) & full, up & down & full
+    return best
+
+
+def partial_ratio_of(needle: str | None, hay: str | None) -> float:
+    """How close (0 to 1) the shorter text is to the stretch of the longer one that is nearest to it: 1 less the edits a
+    character of the shorter. One replaced, lacking or added character of n costs 1 / n."""
     if not needle or not hay:
         return 0.0
-    short, long = sorted((needle, hay), key=len) if len(needle) != len(hay) else (needle, hay)
-    best = 0.0
-    for block in difflib.SequenceMatcher(None, short, long, autojunk=False).get_matching_blocks():
-        at = max(0, block.b - block.a)
-        if stretch := long[at : at + len(short)]:
-            best = max(best, difflib.SequenceMatcher(None, short, stretch, autojunk=False).ratio())
-        if best >= 0.995:
-            break
-    return best
+    short, long = (needle, hay) if len(needle) <= len(hay) else (hay, needle)
+    return 1.0 if short in long else 1.0 - stretch_distance(short, long) / len(short)
 
 
 @pandas_udf(T.DoubleType())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -96,21 +97,17 @@ def result_status(c: Column | str) -> Column:
 
 def freshness(result: Column | str, started: Column | str, since: Column | str) -> Column:
     """(status, is_fresh, built_at) of a queue result against the time a fresh one was asked for."""
-    said = result_status(result)
-    built, begun, asked = time_of(result_value(result, "built_at")), time_of(started), time_of(since)
-    fresh, none = built >= asked, F.coalesce(as_col(result), F.lit("")) == ""
-    status = (
-        F.when(asked.isNull(), "not_requested")
-        .when(built.isNotNull() & fresh & said.startswith("success"), "fresh_success")
-        .when(built.isNotNull() & fresh & said.rlike("^(failed|failure)"), "fresh_failure")
-        .when(built.isNotNull() & fresh, "fresh_result")
-        .when(built.isNotNull(), "stale_result")
-        .when(begun >= asked, "writeback_pending")
-        .when(none, "pending")
-        .otherwise("stale_result")
-    )
-    is_fresh = F.when(asked.isNull(), F.lit(None).cast("boolean")).when(built.isNotNull(), fresh).when((begun >= asked) | none, F.lit(None).cast("boolean")).otherwise(False)
-    return F.struct(status.alias("status"), is_fresh.alias("is_fresh"), built.alias("built_at"))
+    read = F.struct(result_status(result).alias("said"), time_of(result_value(result, "built_at")).alias("built"), time_of(started).alias("begun"), time_of(since).alias("asked"))
+    none = F.coalesce(as_col(result), F.lit("")) == ""
+
+    def judged(x: Column) -> Column:
+        fresh, waiting = x["built"] >= x["asked"], F.coalesce(x["begun"] >= x["asked"], F.lit(False))
+        done = F.when(x["said"].startswith("success"), "fresh_success").when(x["said"].rlike("^(failed|failure)"), "fresh_failure").otherwise("fresh_result")
+        status = F.when(x["asked"].isNull(), "not_requested").when(fresh, done).when(x["built"].isNotNull(), "stale_result").when(waiting, "writeback_pending").when(none, "pending").otherwise("stale_result")
+        is_fresh = F.when(x["asked"].isNotNull(), F.coalesce(fresh, F.when(~waiting & ~none, F.lit(False))))
+        return F.struct(status.alias("status"), is_fresh.alias("is_fresh"), x["built"].alias("built_at"))
+
+    return F.get(F.transform(F.array(read), judged), F.lit(0))  # each time is read once
 
 
 def claim(c: Column | str) -> Column:
@@ -149,6 +146,19 @@ def _digits(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
 
 
+# The texts that named transforms give, with the places of their parts.
+_CAPACITY, _CYCLES, _DIRECT = "%s Wh (%s Ah / %s V DC)", "%s cycles to 70%%+ capacity", "%s V⎓%s A max."
+_KILOS, _POUNDS = "About %s kg", "About %s lbs/%s kg"
+_UNITS = ("Wh", "Ah", "Kg", "mm", "cycles", "V", "A")
+_RANGE = r"(-?\d+)\s*[~\-–]\s*(-?\d+)\s*℃"
+
+
+def amounts(text: Column) -> Column:
+    """All (number, unit) of a text in order, units of _UNITS in lower case."""
+    pattern = F.lit(rf"(?i)(\d[\d.]*)\s*({'|'.join(_UNITS)})")
+    return F.zip_with(F.regexp_extract_all(text, pattern, 1), F.regexp_extract_all(text, pattern, 2), lambda n, u: F.struct(n.alias("n"), F.lower(u).alias("u")))
+
+
 def converted(op: Column | str, raw: Column | str, default: Column | str, region: Column | str) -> Column:
     """(value, status) of a raw specification value under a named transform.
 
@@ -156,29 +166,30 @@ def converted(op: Column | str, raw: Column | str, default: Column | str, region
     the status needs_review; so does every temperature, whose parts a person has to tell apart.
     """
     kind, text, spare, us = F.lower(as_col(op)), collapsed(raw), filled(default), F.upper(F.coalesce(as_col(region), F.lit(""))) == "US"
-    group = lambda pattern, i=1: F.nullif(F.regexp_extract(text, pattern, i), F.lit(""))
-    wh, volt, ah, kg, cycles = group(r"([\d.]+)\s*Wh"), group(r"([\d.]+)\s*V"), group(r"([\d.]+)\s*Ah"), group(r"(?i)([\d.]+)\s*Kg"), group(r"(?i)(\d+)\s*Cycles")
-    mm = F.transform(F.slice(F.regexp_extract_all(text, F.lit(r"(\d+)\s*mm"), 1), 1, 3), lambda x: x.cast("double"))
-    cm = F.concat(F.array_join(F.transform(mm, lambda x: _digits(F.round(x / 10, 1))), " × "), F.lit(" cm"))
-    inch = F.concat(F.array_join(F.transform(mm, lambda x: F.format_string("%.1f", x / 25.4)), " × "), F.lit(" in"))
-    span = r"(-?\d+)\s*[~\-–]\s*(-?\d+)\s*℃"
-    low, high = group(span, 1), group(span, 2)
-    warm = lambda x: F.bround(x.cast("double") * 9 / 5 + 32).cast("int").cast("string")
-    celsius = F.concat(low, F.lit(" °C to "), high, F.lit(" °C"))
-    direct = r"(\d+)\s*V.*?(\d+)\s*A"
-    weight = F.concat(F.lit("About "), _digits(F.round(kg.cast("double") * 2.20462, 2)), F.lit(" lbs/"), kg, F.lit(" kg"))
-    made = (
-        F.when(kind == "capacity", F.concat(wh, F.lit(" Wh ("), ah, F.lit(" Ah / "), volt, F.lit(" V DC)")))
-        .when(kind == "weight", F.when(us, weight).otherwise(F.concat(F.lit("About "), kg, F.lit(" kg"))))
-        .when((kind == "dims_mm_to_cm") & (F.size(mm) == 3), F.when(us, F.concat(inch, F.lit(" / "), cm)).otherwise(cm))
-        .when(kind == "cycle_life", F.concat(cycles, F.lit(" cycles to 70%+ capacity")))
-        .when(kind == "dc12", F.concat(group(direct, 1), F.lit(" V⎓"), group(direct, 2), F.lit(" A max.")))
-    )
-    heat = F.when(kind == "temp", F.when(us, F.concat(warm(low), F.lit(" °F to "), warm(high), F.lit(" °F / "), celsius)).otherwise(celsius))
-    value = F.when(kind == "exclude", F.lit(None)).when((kind == "default") | (text == ""), spare).otherwise(F.coalesce(made, heat, text))
-    status = (
-        F.when(kind == "exclude", "excluded").when(kind == "default", "direct")
-        .when(text == "", F.when(spare.isNotNull(), "direct").otherwise("needs_review"))
-        .when(kind == "passthrough", "direct").when(made.isNotNull(), "transformed").otherwise("needs_review")
-    )
+
+    def made_of(read: Column) -> Column:
+        all_of = lambda unit: F.transform(F.filter(read, lambda x: x["u"] == unit), lambda x: x["n"])
+        one = lambda unit: F.get(all_of(unit), F.lit(0))
+        put = lambda shape, *parts: F.when(reduce(lambda p, q: p & q, [x.isNotNull() for x in parts]), F.format_string(shape, *parts))
+        sides = F.transform(F.slice(all_of("mm"), 1, 3), lambda x: x.cast("double"))
+        laid = lambda each, unit: F.concat(F.array_join(F.transform(sides, each), " × "), F.lit(unit))
+        cm, inch = laid(lambda x: _digits(F.round(x / 10, 1)), " cm"), laid(lambda x: F.format_string("%.1f", x / 25.4), " in")
+        kilos = one("kg")
+        return (
+            F.when(kind == "weight", F.when(us, put(_POUNDS, _digits(F.round(kilos.cast("double") * 2.20462, 2)), kilos)).otherwise(put(_KILOS, kilos)))
+            .when(kind == "dc12", put(_DIRECT, one("v"), one("a"))).when(kind == "cycle_life", put(_CYCLES, one("cycles")))
+            .when((kind == "dims_mm_to_cm") & (F.size(sides) == 3), F.when(us, F.concat(inch, F.lit(" / "), cm)).otherwise(cm))
+            .when(kind == "capacity", put(_CAPACITY, one("wh"), one("ah"), one("v")))
+        )
+
+    made = F.get(F.transform(F.array(amounts(text)), made_of), F.lit(0))  # the text is read once
+    ends = [F.nullif(F.regexp_extract(text, _RANGE, i), F.lit("")) for i in (1, 2)]
+    between = lambda parts, unit: F.concat(parts[0], F.lit(f" {unit} to "), parts[1], F.lit(f" {unit}"))
+    celsius = between(ends, "°C")
+    warmer = between([F.bround(x.cast("double") * 9 / 5 + 32).cast("int").cast("string") for x in ends], "°F")
+    heat = F.when(kind == "temp", F.when(us, F.concat(warmer, F.lit(" / "), celsius)).otherwise(celsius))
+    bare, plain = text == "", kind.isin("default", "passthrough")
+    value = F.when(kind != "exclude", F.when((kind == "default") | bare, spare).otherwise(F.coalesce(made, heat, text)))
+    known = F.when(bare & (kind != "default"), F.when(spare.isNotNull(), "direct")).when(plain, "direct").when(made.isNotNull(), "transformed")
+    status = F.when(kind == "exclude", "excluded").otherwise(F.coalesce(known, F.lit("needs_review")))
     return F.struct(value.cast("string").alias("value"), status.alias("status"))

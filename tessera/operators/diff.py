@@ -226,7 +226,14 @@ def block_diff(old: DataFrame, new: DataFrame, key: str, text: str, pos: str) ->
 
 
 def tree_paths(df: DataFrame, key: str, tree: str) -> DataFrame:
-    """(key, path, value): a JSON tree's leaves by JSON Pointer; empty objects and arrays are leaves."""
+    """(key, path, value): a JSON tree's leaves by JSON Pointer; empty objects and arrays are leaves. A text that is no
+    JSON is one leaf at the root, a string; a null tree has no leaves."""
+
+    def read(text: str) -> object:
+        try:
+            return json.loads(text)
+        except ValueError:
+            return text
 
     def walk(node: object, path: str) -> Iterator[tuple[str, str]]:
         if node and isinstance(node, (dict, list)):
@@ -237,7 +244,7 @@ def tree_paths(df: DataFrame, key: str, tree: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, p, v) for k, t in zip(b["key"], b["tree"], strict=True) if t is not None for p, v in walk(json.loads(t), "")]
+            rows = [(k, p, v) for k, t in zip(b["key"], b["tree"], strict=True) if t is not None for p, v in walk(read(t), "")]
             yield pd.DataFrame(rows, columns=["key", "path", "value"])
 
     return df.select(F.col(key).cast("string").alias("key"), F.col(tree).alias("tree")).mapInPandas(run, "key string, path string, value string")

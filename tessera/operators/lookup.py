@@ -7,11 +7,14 @@ only where every rank is asked for.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.text import collapsed, filled, tokens
 from tessera.functions.values import flag, version_key
@@ -180,25 +183,32 @@ def translated(rows: DataFrame, text: str, source_lang: str, index: DataFrame, l
     return joined.withColumn("localized", F.when(own, F.col(text)).otherwise(F.coalesce("__t", F.col(text)))).withColumn("missing", ~F.coalesce(own, F.lit(False)) & F.col("__t").isNull()).drop("__t", "norm")
 
 
-def containment(hay: DataFrame, text: str, needles: DataFrame, needle_id: str, needle: str, block: int = 2000, most: int = 20_000) -> DataFrame:
+def containment(hay: DataFrame, text: str, needles: DataFrame, needle_id: str, needle: str, most_bytes: int = 32 << 20) -> DataFrame:
     """hay with needle_id for every needle that stands in its text; blank needles match nothing.
 
-    Needles are a query set: they are counted first and taken to the tasks as an array in blocks, each block one
-    map over hay. More than `most` go by an equi-join on their first characters instead.
+    Needles are a query set: their bytes are counted first, and up to most_bytes go to the tasks as one automaton, which
+    finds all of them in one pass over each text. More of them go by an equi-join on their first characters.
     """
     known = needles.select(F.col(needle_id).alias("__id"), F.col(needle).alias("__n")).where(filled("__n").isNotNull())
-    found = known.limit(most + 1).collect()
-    if len(found) > most:
+    if (known.agg(F.sum(F.octet_length("__n") + 64)).first()[0] or 0) > most_bytes:
         return _containment_by_grams(hay, text, known, needle_id)
-    out = None
-    kind = needles.schema[needle_id].dataType
-    for lo in range(0, max(1, len(found)), block):
-        rows = [F.struct(F.lit(r["__id"]).cast(kind).alias("id"), F.lit(r["__n"]).alias("n")) for r in found[lo : lo + block]]
-        table = F.array(*rows) if rows else F.array().cast(f"array<struct<id: {kind.simpleString()}, n: string>>")
-        hits = F.filter(table, lambda x: F.contains(F.col(text), x["n"]))
-        part = hay.select("*", F.explode(hits).alias("__hit")).select(*hay.columns, F.col("__hit.id").alias(needle_id))
-        out = part if out is None else out.unionByName(part)
-    return out
+    held = known.select("__n").distinct().withColumn("__k", F.xxhash64("__n"))
+    shared = [r["__n"] for r in held.collect()]  # at most most_bytes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = ahocorasick.Automaton()
+        for n in shared:
+            automaton.add_word(n, n)
+        if shared:
+            automaton.make_automaton()
+        for b in batches:
+            found = [sorted({n for _, n in automaton.iter(t)}) if t and shared else [] for t in b.column(b.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.list_(pa.string()))], [*b.schema.names[:-1], "__found"])
+
+    asked = hay.select("*", F.col(text).cast("string").alias("__t"))
+    hits = asked.mapInArrow(run, T.StructType([*hay.schema.fields, T.StructField("__found", T.ArrayType(T.StringType()))]))
+    each = hits.select(*hay.columns, F.explode("__found").alias("__n"))
+    return each.join(known.select("__n", F.col("__id").alias(needle_id)), "__n").select(*hay.columns, needle_id)
 
 
 def _containment_by_grams(hay: DataFrame, text: str, known: DataFrame, needle_id: str) -> DataFrame:

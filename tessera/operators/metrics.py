@@ -83,7 +83,8 @@ def duplicate_keys(df: DataFrame, key: Column, member: str) -> DataFrame:
 
 def exact_repeats(df: DataFrame, cols: Sequence[str], line: str) -> DataFrame:
     """(line, first_line): rows that repeat an earlier row in all cols, with the first one's line."""
-    marked = df.select(F.xxhash64(*cols).alias("h1"), F.xxhash64(F.lit(1), *cols).alias("h2"), F.col(line).alias("line"))
+    told = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]  # a hash passes over nulls
+    marked = df.select(F.xxhash64(*told).alias("h1"), F.xxhash64(F.lit(1), *told).alias("h2"), F.col(line).alias("line"))
     first = marked.groupBy("h1", "h2").agg(F.min("line").alias("first_line"), F.count("*").alias("n")).where("n > 1")
     return marked.join(first, ["h1", "h2"]).where("line > first_line").select("line", "first_line")
 

@@ -47,13 +47,14 @@ def severity_counts(findings: DataFrame) -> DataFrame:
 
 
 def status_prefixes(rows: DataFrame, ref: str, text: str, words: Sequence[str], longest: int = 24) -> DataFrame:
-    """Lines that begin like 'Label: ...' with a short label that is no known status word (letter case aside)."""
+    """Lines that begin like 'Label: ...' with a short label that is no known status word (letter case aside).
+
+    The whole label has to be a known word, but for white space before the colon.
+    """
     lines = rows.select(ref, F.explode(F.split(F.coalesce(F.col(text), F.lit("")), r"\r?\n")).alias("line"))
-    prefix = F.trim(F.regexp_extract("line", r"^([^:：]*)[:：]", 1))
-    odd = lines.withColumn("prefix", prefix).where((F.length("prefix") > 0) & (F.length("prefix") <= longest))
-    if words:
-        known = [w.strip().lower() for w in sorted(words, key=lambda w: -len(w)) if w.strip()]
-        odd = odd.where(~reduce(lambda a, b: a | b, [F.lower("line").startswith(w) for w in known]))
+    prefix = F.regexp_replace(F.regexp_extract("line", r"^([^:：]*)[:：]", 1), r"^[\s\u00a0\u2009\u202f]+|[\s\u00a0\u2009\u202f]+$", "")
+    known = [w.strip().lower() for w in words if w.strip()]
+    odd = lines.withColumn("prefix", prefix).where((F.length("prefix") > 0) & (F.length("prefix") <= longest) & ~F.lower("prefix").isin(*known))
     return finding(odd, "status_word_consistency", "FAIL", ref, "line starts with an unknown status word", field=F.lit(text), evidence={"prefix": F.col("prefix")})
 
 

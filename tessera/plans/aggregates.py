@@ -80,13 +80,13 @@ def exact_duplicates_removed(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH v AS (SELECT DISTINCT conv_id, CASE role WHEN 'user' THEN 'a' WHEN 'assistant' THEN 'b' END AS s, lower(string_split(text, ' ')[1]) AS v FROM conversations WHERE role IN ('user', 'assistant')),
+WITH v AS (SELECT DISTINCT conv_id, CASE role WHEN 'user' THEN 'a' WHEN 'assistant' THEN 'b' END AS s, lower(text) AS v FROM conversations WHERE role IN ('user', 'assistant')),
 g AS (SELECT conv_id, v, min(s) AS lo, max(s) AS hi FROM v WHERE v IS NOT NULL GROUP BY ALL)
 SELECT conv_id, count(*) FILTER (lo = 'a') AS n_a, count(*) FILTER (hi = 'b') AS n_b FROM g GROUP BY conv_id
 HAVING count(*) FILTER (lo = 'a') > 0 AND count(*) FILTER (hi = 'b') > 0 AND count(*) FILTER (lo <> hi) = 0""")
 def value_set_disjoint(t: Tables) -> DataFrame:
     side = F.when(F.col("role") == "user", "a").when(F.col("role") == "assistant", "b")
-    return metrics.disjoint_value_sets(t.conversations, ["conv_id"], side, F.lower(F.substring_index("text", " ", 1)))
+    return metrics.disjoint_value_sets(t.conversations, ["conv_id"], side, F.lower("text"))
 
 
 @query("""

@@ -34,8 +34,8 @@ def missing_pairs(t: Tables) -> DataFrame:
 
 
 _DIFF_SQL = """
-WITH o AS (SELECT conv_id // 2 AS pair, turn AS p, role AS k, CASE WHEN turn % 3 = 1 THEN 'r' || turn ELSE '' END AS s, substr(text, 1, 20) AS v FROM conversations WHERE conv_id % 2 = 0),
-n AS (SELECT conv_id // 2 AS pair, turn AS p, CASE WHEN turn % 4 = 3 THEN role || '2' ELSE role END AS k, CASE WHEN turn % 3 = 1 THEN 'r' || turn ELSE '' END AS s, substr(text, 1, 20) AS v FROM conversations WHERE conv_id % 2 = 1),
+WITH o AS (SELECT conv_id // 2 AS pair, turn AS p, role AS k, CASE WHEN turn % 3 = 1 THEN 'r' || turn ELSE '' END AS s, text AS v FROM conversations WHERE conv_id % 2 = 0),
+n AS (SELECT conv_id // 2 AS pair, turn AS p, CASE WHEN turn % 4 = 3 THEN role || '2' ELSE role END AS k, CASE WHEN turn % 3 = 1 THEN 'r' || turn ELSE '' END AS s, text AS v FROM conversations WHERE conv_id % 2 = 1),
 p1 AS (SELECT a.pair, a.p AS op, b.p AS np FROM (SELECT *, row_number() OVER (PARTITION BY pair, k ORDER BY p) AS i FROM o) a JOIN (SELECT *, row_number() OVER (PARTITION BY pair, k ORDER BY p) AS i FROM n) b ON a.pair = b.pair AND a.k = b.k AND a.i = b.i),
 o1 AS (SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM p1 WHERE p1.pair = o.pair AND p1.op = o.p)), n1 AS (SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM p1 WHERE p1.pair = n.pair AND p1.np = n.p)),
 p2 AS (SELECT a.pair, a.p AS op, b.p AS np FROM (SELECT *, row_number() OVER (PARTITION BY pair, s ORDER BY p) AS i FROM o1 WHERE s <> '') a JOIN (SELECT *, row_number() OVER (PARTITION BY pair, s ORDER BY p) AS i FROM n1 WHERE s <> '') b ON a.pair = b.pair AND a.s = b.s AND a.i = b.i),
@@ -51,7 +51,7 @@ UNION ALL SELECT pair, 'A', k, NULL, v, 'left' FROM n2 WHERE pair NOT IN (SELECT
 
 @query(_DIFF_SQL)
 def keyed_diff_amd(t: Tables) -> DataFrame:
-    base = t.conversations.select(F.floor(F.col("conv_id") / 2).alias("pair"), F.col("conv_id") % 2 == 1, "role", "turn", F.when(F.col("turn") % 3 == 1, F.concat(F.lit("r"), F.col("turn"))).otherwise("").alias("s"), F.substring("text", 1, 20).alias("v")).toDF("pair", "new", "k", "pos", "s", "v")
+    base = t.conversations.select(F.floor(F.col("conv_id") / 2).alias("pair"), F.col("conv_id") % 2 == 1, "role", "turn", F.when(F.col("turn") % 3 == 1, F.concat(F.lit("r"), F.col("turn"))).otherwise("").alias("s"), F.col("text").alias("v")).toDF("pair", "new", "k", "pos", "s", "v")
     new = base.where("new").withColumn("k", F.when(F.col("pos") % 4 == 3, F.concat("k", F.lit("2"))).otherwise(F.col("k")))
     return diff.keyed_diff(base.where("not new"), new, ["pair"], "k", "s", "v")
 
@@ -175,9 +175,9 @@ def block_diff(t: Tables) -> DataFrame:
 
 @query()
 def partial_ratios(t: Tables) -> DataFrame:
-    """How close the first words of neighbouring turns are."""
-    c = t.conversations.select("conv_id", "turn", F.substring("text", 1, 60).alias("a"))
-    after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.substring("a", 1, 30).alias("b"))
+    """How close neighbouring turns are."""
+    c = t.conversations.select("conv_id", "turn", F.col("text").alias("a"))
+    after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("a").alias("b"))
     return c.join(after, ["conv_id", "turn"]).select("conv_id", "turn", F.round(partial_ratio("a", "b"), 6).alias("ratio"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
@@ -51,7 +52,7 @@ def identity_drift(t: Tables) -> DataFrame:
 
 @query("""
 WITH l AS (SELECT p_partkey, unnest([p_type || ': ' || p_name, p_name, 'On: ' || p_name]) AS line FROM part)
-SELECT CAST(p_partkey AS VARCHAR) AS ref, string_split(line, ':')[1] AS prefix FROM l WHERE contains(line, ':') AND NOT starts_with(lower(line), 'on') AND NOT starts_with(lower(line), 'standard')""")
+SELECT CAST(p_partkey AS VARCHAR) AS ref, string_split(line, ':')[1] AS prefix FROM l WHERE contains(line, ':') AND lower(trim(string_split(line, ':')[1])) NOT IN ('on', 'standard') AND length(string_split(line, ':')[1]) <= 24""")
 def status_prefixes(t: Tables) -> DataFrame:
     rows = t.part.select("p_partkey", F.concat_ws("\n", F.concat_ws(": ", "p_type", "p_name"), "p_name", F.concat_ws(": ", F.lit("On"), "p_name")).alias("icons"))
     found = quality.status_prefixes(rows, "p_partkey", "icons", ["ON", "Standard"])
@@ -130,7 +131,9 @@ def document_sync(t: Tables) -> DataFrame:
 @query()
 def revision_verdicts(t: Tables) -> DataFrame:
     """What landed of a proposed text: containment first, then the fuzzy stage."""
-    c = t.conversations.select("conv_id", "turn", F.substring("text", 1, 40).alias("machine_text"), F.substring("text", 50, 40).alias("reviewer_text"), F.when(F.col("turn") % 5 == 4, None).when(F.col("turn") % 2 == 0, F.substring("text", 45, 200)).otherwise(F.substring("text", 3, 60)).alias("haystack"))
+    said = F.regexp_replace("text", "e", "ee")
+    hay = F.when(F.col("turn") % 5 == 4, None).when(F.col("turn") % 5 == 3, F.concat(said, F.lit(" and more"))).when(F.col("turn") % 5 == 2, F.concat(F.lit("so "), "text")).when(F.col("turn") % 5 == 1, F.regexp_replace(said, "ee$|x", "")).otherwise(F.reverse("text"))
+    c = t.conversations.select("conv_id", "turn", F.col("text").alias("machine_text"), said.alias("reviewer_text"), hay.alias("haystack"))
     return quality.verdicts(c).select("conv_id", "turn", "verdict")
 
 
@@ -220,14 +223,14 @@ def matching_runs(t: Tables) -> DataFrame:
 
 @query("SELECT event_id, event_type, 1::BIGINT AS n FROM events WHERE event_type IN ('click', 'purchase')")
 def stream_dedup(t: Tables) -> DataFrame:
-    """events twice over as a stream of files, each id kept once, into a memory sink; then read back."""
+    """events twice over as a stream of files, each id kept once, into files; then read back."""
     from pyspark.sql import types as T
 
     raw = t.events
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in raw.schema])
     lines = t.spark.readStream.schema(schema).parquet(f"{t.sf_dir}/events.parquet*")
     twice = lines.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("at", F.col("ts").cast("timestamp")).where("event_type in ('click', 'purchase')")
-    name = f"stream_{uuid.uuid4().hex}"
+    out = f"{t.spark.sparkContext.getCheckpointDir() or t.spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/streams/{uuid.uuid4().hex}"
     once = streams.deduplicated(twice.select("event_id", "event_type", "at"), "event_id", "at", "60 days")
-    once.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return t.spark.table(name).groupBy("event_id", "event_type").agg(F.count("*").alias("n"))
+    once.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.schema(once.schema).parquet(f"{out}/rows").groupBy("event_id", "event_type").agg(F.count("*").alias("n"))

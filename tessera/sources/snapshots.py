@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -50,40 +51,50 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, formats: str = "parquet") -> str:
+def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, formats: str = "parquet", stale_s: int = 7200) -> str:
     """Write all tables and the manifest to a new folder under root, then name it current; returns its path.
 
-    All is written before anything is visible: `CURRENT` is one small file that is replaced by a rename, so a reader
-    sees the last snapshot or this one. An exclusive lock file keeps a second writer out.
+    All is written before anything is visible. Each snapshot has a small file of its own, CURRENT-<number>, that is
+    renamed into place, and the greatest number counts: at any moment a reader finds the last snapshot or this one. An
+    exclusive lock file keeps a second writer out; one that a writer left behind counts for stale_s seconds.
     """
     fs, lock = _fs(spark, f"{root}/LOCK")
     fs.mkdirs(lock.getParent())
+    if fs.exists(lock) and time.time() - fs.getFileStatus(lock).getModificationTime() / 1000 > stale_s:
+        fs.delete(lock, False)
     if not fs.createNewFile(lock):
         raise RuntimeError(f"{root} is being written: {lock} exists")
     try:
-        last = spark.read.parquet(f"{now}/_manifest") if (now := current(spark, root)) else None
+        number, now = max(_pointers(spark, root), default=(0, None))
+        last = spark.read.parquet(f"{spark.read.text(now).first()[0]}/_manifest") if now else None
         path = f"{root}/{uuid.uuid4().hex}"
         for name, df in tables.items():
             out = in_order(df, TABLES[name]) if name in TABLES and set(TABLES[name].columns) == set(df.columns) else df
             (out.write.option("header", True).csv(f"{path}/{name}") if formats == "csv" else out.write.parquet(f"{path}/{name}"))
         manifest(spark, tables, last).write.parquet(f"{path}/_manifest")
-        _, fresh = _fs(spark, f"{root}/CURRENT.new")
-        _, name_file = _fs(spark, f"{root}/CURRENT")
+        _, fresh = _fs(spark, f"{path}/_pointer")
+        _, pointer = _fs(spark, f"{root}/CURRENT-{number + 1:012d}")
         stream = fs.create(fresh, True)
         stream.write(bytearray(path.encode()))
         stream.close()
-        fs.delete(name_file, False)
-        fs.rename(fresh, name_file)
+        if not fs.rename(fresh, pointer):
+            raise RuntimeError(f"{pointer} could not be written")
         return path
     finally:
         fs.delete(lock, False)
 
 
+def _pointers(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, file) of the snapshots that were named current."""
+    fs, p = _fs(spark, root)
+    found = [s.getPath() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return [(int(f.getName().removeprefix("CURRENT-")), f.toString()) for f in found if f.getName().startswith("CURRENT-")]
+
+
 def current(spark: SparkSession, root: str) -> str | None:
     """The folder of the published snapshot, or None."""
-    if not exists(spark, f"{root}/CURRENT"):
-        return None
-    return spark.read.text(f"{root}/CURRENT").first()[0]
+    _, now = max(_pointers(spark, root), default=(0, None))
+    return spark.read.text(now).first()[0] if now else None
 
 
 def inspect(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +132,22 @@ def test_search_form_and_partial_ratio(spark):
     got = one(spark, a=udfs.search_form(F.lit("ＡＢ－ｃ  Straße!")), r=udfs.partial_ratio(F.lit("abcd"), F.lit("xxabcdxx")), none=udfs.partial_ratio(F.lit(""), F.lit("x")))
     assert got == {"a": "ab c strasse", "r": 1.0, "none": 0.0}
     assert udfs.partial_ratio_of("kitten sitting", "the kitten sittin there") > 0.9
+
+
+def test_stretch_distance_by_definition():
+    rng = random.Random(3)
+    for _ in range(200):
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randint(1, n))) for n in (9, 20))
+        row = [0] * (len(b) + 1)  # the table of edits, a stretch may begin anywhere
+        for i, x in enumerate(a):
+            new = [i + 1]
+            for j, y in enumerate(b):
+                new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+            row = new
+        assert udfs.stretch_distance(a, b) == min(row)
+    assert udfs.partial_ratio_of("abcd", "xxabcdxx") == 1.0 and udfs.partial_ratio_of("xabed", "abcd") == 0.75
+
+
+def test_korean_endings(spark):
+    got = one(spark, **{f"c{i}": text.ends_closed(F.lit(t), {"acme": False}) for i, t in enumerate(["제품", "배터리", "Box 3", "Box 2.", "The Acme", "Box", " ", "(제품)"])})
+    assert list(got.values()) == [True, False, True, False, False, None, None, True]

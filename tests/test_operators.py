@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -30,8 +32,8 @@ def test_one_id_twice_is_unique_two_ids_are_not(spark):
 def test_containment_by_characters_agrees(spark):
     hay = spark.createDataFrame([(1, "the quick brown fox"), (2, "ab"), (3, None), (4, "quick brown foxes quick"), (4, "quick brown foxes quick")], "id int, t string")
     needles = spark.createDataFrame([("n1", "quick brown fox"), ("n2", "ab"), ("n3", ""), ("n4", "zzz"), ("n5", "fox")], "n string, v string")
-    a = rows(lookup.containment(hay, "t", needles, "n", "v", block=2).select("id", "n"))
-    assert a == rows(lookup.containment(hay, "t", needles, "n", "v", most=0).select("id", "n")) == [(1, "n1"), (1, "n5"), (2, "n2"), (4, "n1"), (4, "n1"), (4, "n5"), (4, "n5")]
+    a = rows(lookup.containment(hay, "t", needles, "n", "v").select("id", "n"))
+    assert a == rows(lookup.containment(hay, "t", needles, "n", "v", most_bytes=0).select("id", "n")) == [(1, "n1"), (1, "n5"), (2, "n2"), (4, "n1"), (4, "n1"), (4, "n5"), (4, "n5")]
 
 
 def test_variables(spark):
@@ -180,3 +182,20 @@ def test_queue_claims_and_delivery(spark):
     assert [tuple(r.d) for r in d.select(queue.delivery("a", "u", "r", F.col("b")).alias("d")).collect()] == [("pdf", "u", True, False), ("cloud_doc", "u", True, True), ("pdf", "", False, False), ("none", "u", False, False)]
     first = queue.with_first_in_group(spark.createDataFrame([("g", 2), ("g", 1)], "g string, pos int"), ["g"])
     assert rows(first.select("pos", "leads")) == [(1, True), (2, False)]
+
+
+def test_exact_repeats_tell_nulls_apart(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, "a"), (3, "a", None), (4, None, None), (5, None, None)], "line int, x string, y string")
+    assert sorted(r.line for r in metrics.without_repeats(df, ["x", "y"], "line").collect()) == [1, 2, 4]
+    assert sorted((r.line, r.first_line) for r in metrics.exact_repeats(df, ["x", "y"], "line").collect()) == [(3, 1), (5, 4)]
+
+
+def test_status_prefix_is_the_whole_label(spark):
+    df = spark.createDataFrame([(1, "Online: yes\nON: no\non : x\nBlinking\u00a0: y\nno colon")], "k int, t string")
+    assert [json.loads(r.evidence)["prefix"] for r in quality.status_prefixes(df, "k", "t", ["ON", "Blinking"]).collect()] == ["Online"]
+
+
+def test_broken_json_is_a_leaf(spark):
+    df = lambda t: spark.createDataFrame([(1, t), (2, '{"a": 1}')], "k int, t string")
+    got = diff.tree_diff(df("{broken"), df("[1]"), "k", "t").collect()
+    assert sorted((r.key, r.op, r.path, r.value) for r in got) == [("1", "add", "/0", "1"), ("1", "remove", "", None)]
