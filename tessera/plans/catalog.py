@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.plans import aggregates, diffs, lookups, rules  # noqa: F401  each registers its queries
+from tessera.plans import aggregates, diffs, lookups, records, rules  # noqa: F401  each registers its queries
 from tessera.plans.registry import QUERIES, SQL, Query
 
 
