@@ -183,13 +183,13 @@ def named_fields(t: Tables) -> DataFrame:
 @query("""
 WITH x AS (SELECT p_partkey, p_size % 20 + 1 AS n, p_name, p_type, p_brand FROM part)
 SELECT p_partkey, chr(9311 + n::INT) AS circled, 2 * length(p_brand) AS wide, p_name || CASE WHEN n % 10 IN (0, 1, 3, 6, 7, 8) THEN ' ' || n || '은' ELSE ' ' || n || '는' END AS particle,
-  '&lt;' || p_name || ' &amp; ' || p_brand || '&gt;' AS html, p_name || ' to http' AS link, p_name || ' x ' || p_brand AS filled, round(100.0 * n / 20, 1)::DECIMAL(5, 1) || '%' AS percent, '2024-01-' || lpad(n::VARCHAR, 2, '0') || 'T00:00:00+00:00' AS iso FROM x""")
+  '&lt;' || p_name || ' &amp; ' || p_brand || '&gt;' AS html, p_name AS link, p_name || ' x ' || p_brand AS filled, round(100.0 * n / 20, 1)::DECIMAL(5, 1) || '%' AS percent, '2024-01-' || lpad(n::VARCHAR, 2, '0') || 'T00:00:00+00:00' AS iso FROM x""")
 def text_helpers(t: Tables) -> DataFrame:
     p = t.part.withColumn("n", F.col("p_size") % 20 + 1)
     n = F.col("n").cast("string")
     return p.select(
         "p_partkey", text.circled(F.col("n")).alias("circled"), text.display_width(F.regexp_replace("p_brand", "(?s).", "漢")).cast("long").alias("wide"), text.with_particle(F.concat_ws(" ", "p_name", n), "은", "는").alias("particle"),
-        text.escaped(F.concat(F.lit("<"), "p_name", F.lit(" & "), "p_brand", F.lit(">")), "html").alias("html"), text.unlinked(F.concat(F.lit("["), "p_name", F.lit("](http://x.y/z) to http")))["text"].alias("link"),
+        text.escaped(F.concat(F.lit("<"), "p_name", F.lit(" & "), "p_brand", F.lit(">")), "html").alias("html"), text.unlinked(F.concat(F.lit("["), "p_name", F.lit("](http://x.y/z)")))["text"].alias("link"),
         text.substituted(F.lit("{{a}} x {{b}}"), F.create_map(F.lit("a"), F.col("p_name"), F.lit("b"), F.col("p_brand"))).alias("filled"), values.percent_text(F.col("n"), F.lit(20)).alias("percent"),
         values.iso_seconds(F.concat(F.lit("2024-01-"), F.lpad(n, 2, "0")).cast("timestamp")).alias("iso"),
     )
