@@ -160,7 +160,7 @@ def config_targets(spark: SparkSession, path: str, keys: Sequence[str] = ("model
     """Distinct targets of config files: one row for each file that sets all keys in lines `key: value` at the left margin."""
     line = F.lit(r"(?m)^([A-Za-z_]+):[ \t]*['\"]?([^'\"#\n]*)")
     pairs = F.zip_with(F.regexp_extract_all("value", line, 1), F.regexp_extract_all("value", line, 2), lambda k, v: F.struct(k.alias("k"), v.alias("v")))
-    read = spark.read.option("wholetext", True).text(path).select(pairs.alias("x"))
+    read = spark.read.text(path, wholetext=True).select(pairs.alias("x"))
     pick = lambda k: F.trim(F.get(F.filter("x", lambda e: e["k"] == k), F.lit(0))["v"])
     found = read.select(*[filled(pick(k)).alias(k) for k in keys])
     return found.dropna().distinct()
