@@ -327,7 +327,7 @@ def repeated_spans(docs: DataFrame, length: int, k: int, group_bytes: int, task_
     return joined.select("t1", "t2", F.coalesce("all", "starts").alias("starts"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = 1 << 20, task_bytes: int = 2 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = 1 << 20, task_bytes: int = 1 << 18) -> DataFrame:
     """(doc_id, kept binary, n_bytes, n_removed, n_spans, kept_sha256), one row per row of docs.
 
     A byte goes if a `length`-byte string that covers it starts anywhere else too, in the same row or another;
