@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,14 @@ class Tables:
         """A small inline table."""
         return self.spark.createDataFrame(data, schema)
 
+    def folder(self) -> str:
+        """A new folder that the driver and all executors share; one of this machine only for a local master."""
+        context = self.spark.sparkContext
+        shared = context.getCheckpointDir() or self.spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        return f"{shared or tempfile.mkdtemp(prefix='spark-')}/queries/{uuid.uuid4().hex}"
+
 
 def query(sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
     """Register a function of Tables under its own name."""

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -230,7 +227,7 @@ def stream_dedup(t: Tables) -> DataFrame:
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in raw.schema])
     lines = t.spark.readStream.schema(schema).parquet(f"{t.sf_dir}/events.parquet*")
     twice = lines.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("at", F.col("ts").cast("timestamp")).where("event_type in ('click', 'purchase')")
-    out = f"{t.spark.sparkContext.getCheckpointDir() or t.spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/streams/{uuid.uuid4().hex}"
+    out = t.folder()
     once = streams.deduplicated(twice.select("event_id", "event_type", "at"), "event_id", "at", "60 days")
     once.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return t.spark.read.schema(once.schema).parquet(f"{out}/rows").groupBy("event_id", "event_type").agg(F.count("*").alias("n"))
