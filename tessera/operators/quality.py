@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import SCRIPTS, collapsed, display_width, filled, inline_norm, masked, outside, script_count, tokens
+from tessera.functions.text import SCRIPTS, collapsed, display_width, filled, inline_norm, outside, script_count, tokens
 from tessera.functions.udfs import content_hash, partial_ratio
+from tessera.operators.lookup import containment, small
 
 #: The columns of a finding.
 FINDING = ("rule", "severity", "ref", "field", "lang", "message", "evidence")
@@ -68,21 +69,12 @@ def residue(rows: DataFrame, ref: str, columns: dict[str, str], words: Sequence[
 def terminology(rows: DataFrame, ref: str, text: str, lang: str, rules: DataFrame) -> DataFrame:
     """Deprecated terms by rule (rule_id, lang, deprecated_regex, allow_regex, preferred), outside what is allowed.
 
-    Rules are a short list: they are collected, at most 1000, and each is one expression over the rows of its language.
+    Rules of any number, met by language; each text is read once for each rule of its language.
     """
-    listed = rules.limit(1001).collect()
-    if len(listed) > 1000:
-        raise ValueError("at most 1000 terminology rules")
-
-    def hits_of(r: Row) -> Column:
-        found = F.transform(outside(text, F.lit(r["deprecated_regex"]), F.lit(r["allow_regex"])), lambda h: F.struct(F.lit(r["rule_id"]).alias("rule_id"), h.alias("hit"), F.lit(r["preferred"]).alias("preferred")))
-        return F.when(F.lower(F.col(lang)) == r["lang"].lower(), found)
-
-    hits = [F.coalesce(hits_of(r), F.array().cast("array<struct<rule_id: string, hit: string, preferred: string>>")) for r in listed]
-    if not hits:
-        return finding(rows.where("false"), "terminology", "WARN", ref, "")
-    each = rows.select(ref, lang, F.explode(F.concat(*hits)).alias("x")).select(ref, lang, "x.*")
-    return finding(each, "terminology", "WARN", ref, F.concat(F.lit("use "), F.col("preferred")), F.lit(text), lang, {"rule_id": F.col("rule_id"), "hit": F.col("hit")})
+    listed = rules.select(F.lower("lang").alias("__lang"), "rule_id", "deprecated_regex", "allow_regex", "preferred")
+    met = rows.select(F.col(ref).alias("__ref"), F.col(lang).alias("__said"), F.col(text).alias("__text")).join(small(listed), F.lower("__said") == F.col("__lang"))
+    each = met.select("__ref", F.col("__said").alias("__lang"), "rule_id", "preferred", F.explode(outside("__text", F.col("deprecated_regex"), F.col("allow_regex"))).alias("hit"))
+    return finding(each, "terminology", "WARN", "__ref", F.concat(F.lit("use "), F.col("preferred")), F.lit(text), "__lang", {"rule_id": F.col("rule_id"), "hit": F.col("hit")})
 
 
 def script_mismatch(rows: DataFrame, ref: str, text: str, lang: str, scripts: dict[str, str], least: float = 0.5) -> DataFrame:
@@ -98,20 +90,16 @@ def script_mismatch(rows: DataFrame, ref: str, text: str, lang: str, scripts: di
 def foreign_identity(rows: DataFrame, ref: str, text: str, owner: str, names: DataFrame) -> DataFrame:
     """Names of other products in a text, its own product's names masked first, the longest first.
 
-    names: owner, name. Few by nature; collected, at most 5000."""
-    known = names.where(filled("name").isNotNull()).distinct().limit(5001).collect()
-    if len(known) > 5000:
-        raise ValueError("at most 5000 names")
-    by: dict[str, list[str]] = {}
-    for r in known:
-        by.setdefault(r["owner"], []).append(r["name"])
-    left = F.col(text)
-    for o, own in by.items():
-        left = F.when(F.col(owner) == o, masked(text, own)).otherwise(left)
-    all_names = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(n).alias("n")) for o, own in by.items() for n in own]) if by else F.array().cast("array<struct<o: string, n: string>>")
-    marked = rows.withColumn("__left", left)
-    hits = marked.withColumn("hit", F.explode(F.array_distinct(F.transform(F.filter(all_names, lambda x: (x["o"] != F.col(owner)) & F.contains(F.col("__left"), x["n"])), lambda x: x["n"]))))
-    return finding(hits, "identity_drift", "FAIL", ref, "name of another product", F.lit(text), evidence={"name": F.col("hit")})
+    names: owner, name, of any number; those of one owner are few. A row without an owner has no findings."""
+    known = names.select("owner", "name").where(filled("name").isNotNull()).distinct()
+    own = known.groupBy(F.col("owner").alias("__owner")).agg(F.array_sort(F.collect_list(F.struct((-F.length("name")).alias("n"), "name"))).alias("__own"))
+    asked = rows.select(F.col(ref).alias("__ref"), F.col(owner).alias("__owner"), F.col(text).alias("__text")).where("__owner is not null")
+    left = F.aggregate(F.coalesce("__own", F.array().cast("array<struct<n: int, name: string>>")), F.col("__text"), lambda t, x: F.replace(t, x["name"], F.lit(" ")))
+    masked_rows = asked.join(small(own), "__owner", "left").select("__ref", "__owner", left.alias("__left"))
+    owners = known.groupBy("name").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi"))
+    found = containment(masked_rows, "__left", owners.select(F.col("name").alias("hit"), "name"), "hit", "name")
+    hits = found.join(small(owners), F.col("hit") == F.col("name")).where("lo <> __owner or hi <> __owner")
+    return finding(hits, "identity_drift", "FAIL", "__ref", "name of another product", F.lit(text), evidence={"name": F.col("hit")})
 
 
 def repeated_renderings(rows: DataFrame, ref: str, left: Column, right: Column) -> DataFrame:
