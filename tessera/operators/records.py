@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import SCRIPTS, filled, script_count
-from tessera.operators.lookup import unique_or_abstain
+from tessera.operators.lookup import small, unique_or_abstain
 from tessera.operators.quality import finding, order_collisions
 
 
@@ -231,11 +231,12 @@ def config_issues(config: DataFrame, rules: DataFrame) -> DataFrame:
     """(target, key, code) for settings (target, key, value) under rules (key, kind, least, most, required).
 
     Codes: unknown_key, missing, not_a_number, out_of_range; kind is number or text."""
-    seen = config.join(F.broadcast(rules.select("key", "kind", "least", "most").withColumn("known", F.lit(True))), "key", "left")
+    seen = config.join(small(rules.select("key", "kind", "least", "most").withColumn("known", F.lit(True))), "key", "left")
     number = F.col("value").try_cast("double")
     code = F.when(F.col("known").isNull(), "unknown_key").when((F.col("kind") == "number") & number.isNull(), "not_a_number").when((F.col("kind") == "number") & ((number < F.col("least")) | (number > F.col("most"))), "out_of_range")
     bad = seen.select("target", "key", code.alias("code")).where("code is not null")
-    want = config.select("target").distinct().crossJoin(F.broadcast(rules.where("required").select("key")))  # rules are few
+    needed = rules.where("required").agg(F.collect_set("key")).scalar()  # one list of the keys that every target has to have
+    want = config.select("target").distinct().withColumn("__needed", needed).select("target", F.explode("__needed").alias("key"))
     return bad.unionByName(want.join(config.where(filled("value").isNotNull()).select("target", "key"), ["target", "key"], "left_anti").withColumn("code", F.lit("missing")))
 
 

@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.operators import diff, lookup, quality, requests
+from tessera.operators import diff, lookup, pages, quality, requests
 from tessera.sources import schema
 
 
@@ -78,3 +79,32 @@ def test_schema_is_applied_once(spark):
         assert schema.apply_schema(spark, spec, name) == [] and spark.table(name).columns == ["a", "b"]
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_page_blocks_fail_on_another_page(spark):
+    rows = spark.createDataFrame([(1, "lcd"), (2, "symbols")], "n int, page_id string")
+    with pytest.raises(Exception, match="names another page"):
+        pages.page_blocks(rows, "lcd").collect()
+    assert [r["page_id"] for r in pages.page_blocks(rows.drop("page_id"), "lcd").collect()] == ["lcd", "lcd"]
+
+
+def test_queue_rows_fail_without_an_id(spark):
+    rows = spark.createDataFrame([(" ", {"Doc": '"x"'})], "record_id string, fields map<string,string>")
+    with pytest.raises(Exception, match="no record_id"):
+        pages.queue_rows(rows, {"document": ["Doc"]}).collect()
+
+
+def test_names_that_two_owners_share(spark):
+    rows = spark.createDataFrame([(1, "a", "Bolt X Bolt"), (2, "c", "Bolt"), (3, None, "Bolt"), (4, "a", None)], "id int, owner string, text string")
+    names = spark.createDataFrame([("a", "Bolt"), ("b", "Bolt"), ("b", "X"), ("b", " ")], "owner string, name string")
+    found = quality.foreign_identity(rows, "id", "text", "owner", names)
+    assert sorted((r["ref"], r["evidence"]) for r in found.collect()) == [("1", '{"name":"X"}'), ("2", '{"name":"Bolt"}')]
+    assert quality.foreign_identity(rows, "id", "text", "owner", names.where("false")).count() == 0
+
+
+def test_terminology_rules_of_any_number(spark):
+    rows = spark.createDataFrame([(1, "EN", "foo12 foo7"), (2, "fr", "foo7"), (3, None, "foo7"), (4, "en", None)], "id int, lang string, text string")
+    rules = spark.range(3000).selectExpr("concat('r', id) AS rule_id", "'en' AS lang", r"concat('\\bfoo', id, '\\b') AS deprecated_regex", "'' AS allow_regex", "'bar' AS preferred")
+    found = quality.terminology(rows, "id", "text", "lang", rules)
+    assert sorted((r["ref"], r["evidence"]) for r in found.collect()) == [("1", '{"hit":"foo12","rule_id":"r12"}'), ("1", '{"hit":"foo7","rule_id":"r7"}')]
+    assert quality.terminology(rows, "id", "text", "lang", rules.where("false")).count() == 0
