@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chat, decontaminate, licenses, line_dedup, mixing, simhash, suffix_dedup, toxicity, urls
-from tessera.llm.common import table
+from tessera.llm import ann, chat, decontaminate, licenses, line_dedup, merkle, mixing, simhash, suffix_dedup, token_files, toxicity, urls, vector_codes
+from tessera.llm.common import shared_dir, table, tokenizer_path
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,20 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/tokens/{uuid.uuid4().hex}"
+    token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"))
+    return token_files.checksums(spark, folder)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digests(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+
+
 OP1_SQL = r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
@@ -199,9 +214,81 @@ SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
 """
 
 
+OP12_SQL = r"""
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT max(len(x)) // 4 AS m FROM v),
+x AS (SELECT vec_id, label, p, x[p * m + 1 : p * m + m] AS x FROM v, w, range(4) AS r(p)),
+b0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, x AS e FROM x QUALIFY k < 256)
+"""
+
+#: One round: assign every part, then move the entries.
+OP12_ROUND = r"""
+, a{r} AS MATERIALIZED (
+  SELECT vec_id, p, any_value(x) AS x, min({{'d': d, 'k': k}}) AS best FROM (
+    SELECT vec_id, x.p, k, x, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - e[i]) * (x[i] - e[i])))::BIGINT AS d FROM x JOIN b{r} USING (p))
+  GROUP BY vec_id, p),
+s{r} AS (
+  SELECT p, k, list(t ORDER BY j) AS t FROM (
+    SELECT p, k, j, (s - ((s % c) + c) % c) // c AS t FROM (
+      SELECT p, best.k AS k, j, sum(x[j])::BIGINT AS s, count(*) AS c FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS j FROM a{r}) GROUP BY p, best.k, j))
+  GROUP BY p, k),
+b{n} AS MATERIALIZED (SELECT p, k, coalesce(t, e) AS e FROM b{r} LEFT JOIN s{r} USING (p, k))
+"""
+
+
+def _op12_sql(rounds: int = 4) -> str:
+    last = OP12_ROUND.format(r=rounds, n=rounds + 1).split(f"s{rounds} AS")[0].rstrip().removesuffix(",")
+    return OP12_SQL + "".join(OP12_ROUND.format(r=r, n=r + 1) for r in range(rounds)) + last + rf"""
+, c AS (SELECT vec_id, string_agg(printf('%02x', best.k), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id),
+g AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM c JOIN v USING (vec_id), g
+"""
+
+
+def _op13_sql(levels: int = 14) -> str:
+    """Up to 3 ** levels rows a source, and as many sources."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    step = "list_reduce([4294967295] || flatten(list_transform(range(1, strlen(d) + 1), lambda i: [ascii(d[i]), 0, 0, 0, 0, 0, 0, 0])), lambda c, v: CASE WHEN xor(c, v) & 1 = 1 THEN xor(xor(c, v) >> 1, 3988292384) ELSE xor(c, v) >> 1 END)"
+
+    def tree(t: str, first: str, asked: str) -> str:
+        """CTEs {t}0, {t}1, ...: the nodes (g, i, h, n) of each level; {t}f0, ...: what each asked row (doc_id, g, i, acc, proof) has folded."""
+        out = f"{t}0 AS ({first}), {t}f0 AS ({asked})"
+        for k in range(levels):
+            out += f""",
+{t}r{k} AS (SELECT g, i // 3 AS i, list(h ORDER BY i) AS hs, any_value(n) AS n FROM {t}{k} GROUP BY g, i // 3),
+{t}{k + 1} AS MATERIALIZED (SELECT g, i, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h, (n + 2) // 3 AS n FROM {t}r{k}),
+{t}f{k + 1} AS MATERIALIZED (
+  SELECT doc_id, g, i, CASE WHEN n > 1 THEN sha256(l || acc || r) ELSE acc END AS acc, CASE WHEN n > 1 THEN proof || l || r ELSE proof END AS proof FROM (
+    SELECT f.*, n, array_to_string(hs[1 : f.i // {3**k} % 3], '') AS l, array_to_string(hs[f.i // {3**k} % 3 + 2 :], '') AS r
+    FROM {t}f{k} f JOIN {t}r{k} x ON x.g IS NOT DISTINCT FROM f.g AND x.i = f.i // {3 ** (k + 1)}))"""
+        return out
+
+    rows = tree(
+        "t",
+        "SELECT doc_id, source AS g, row_number() OVER w - 1 AS i, h, seen, count(*) OVER (PARTITION BY source) AS n FROM c WINDOW w AS (PARTITION BY source ORDER BY doc_id)",
+        "SELECT doc_id, g, i, seen AS acc, '' AS proof FROM t0",
+    )
+    sources = tree(
+        "u",
+        f"SELECT g AS source, 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, h, count(*) OVER () AS n FROM t{levels}",
+        f"SELECT doc_id, 0 AS g, u0.i, acc, proof FROM tf{levels} f JOIN u0 ON u0.source IS NOT DISTINCT FROM f.g",
+    )
+    return f"""
+WITH d AS (SELECT doc_id, source, {leaf("text")} AS h, {leaf("replace(text, chr(10), '')")} AS th, doc_id::VARCHAR AS d FROM documents),
+c AS (SELECT doc_id, source, h, CASE WHEN xor({step}, 4294967295) % 2 = 0 THEN th ELSE h END AS seen FROM d),
+{rows},
+{sources}
+SELECT doc_id, t0.h AS leaf, u0.h AS subroot, u{levels}.h AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = u{levels}.h AS verified
+FROM t0 JOIN uf{levels} f USING (doc_id) JOIN u0 ON u0.source IS NOT DISTINCT FROM t0.g, u{levels}
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_toxicity, op4_licenses, op5_chat, op6_mixing, op7_simhash, op8_urls, op9_neighbours, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_toxicity, op4_licenses, op5_chat, op6_mixing, op7_simhash, op8_urls, op9_neighbours, op10_suffix_dedup, op11_token_files, op12_vector_codes, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op4_licenses": _op4_sql(), "op5_chat": OP5_SQL, "op6_mixing": OP6_SQL, "op8_urls": OP8_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op4_licenses": _op4_sql(), "op5_chat": OP5_SQL, "op6_mixing": OP6_SQL, "op8_urls": OP8_SQL, "op12_vector_codes": _op12_sql(), "op13_merkle": _op13_sql()}

@@ -20,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str, folder: str | None = None) -> str:
+    """A public tokenizer's file: in folder, or where the installed vocabulary package has it."""
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share. Where the session names none, one is made for a local master, as
     in tests; on a cluster that would be the driver's own disk, so it is an error."""
@@ -39,6 +48,11 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, most_bytes: int = 8 << 20) -> bool:
+    """Whether df, measured as text, is small enough to broadcast."""
+    return (df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0) <= most_bytes
+
+
 def row_keys(*cols: Column | str) -> tuple[Column, Column]:
     """Two 64-bit hashes, never null, that name a row by its content; rows that agree in all cols are one."""
     named = [x for c in (F.col(c) if isinstance(c, str) else c for c in cols) for x in (c.isNull(), c)]  # a hash passes over nulls
