@@ -3,7 +3,6 @@ approval gates, guarded writes, overlays, parity, trees."""
 
 from __future__ import annotations
 
-import difflib
 import json
 from collections.abc import Iterator, Sequence
 from functools import reduce
@@ -14,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions.text import collapsed, filled, inline_norm
+from tessera.operators import align
 
 
 def ratchet(now: DataFrame, before: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -190,61 +190,37 @@ def token_symmetric_difference(df: DataFrame, keys: Sequence[str], side: Column,
     return seen.where("lo = hi").select(*keys, "token", F.col("lo").alias("only_in"))
 
 
-_CHANGE = "key string, kind string, old_pos int, new_pos int, old_text string, new_text string, before string, after string"
-
-
-def opcodes(old: list[str], new: list[str]) -> Iterator[tuple[str, int | None, int | None]]:
-    """(kind, old index, new index): replaced runs pair by position, what is over is deleted or inserted."""
-    for tag, a, b, c, d in difflib.SequenceMatcher(None, old, new, autojunk=False).get_opcodes():
-        if tag == "equal":
-            continue
-        both = min(b - a, d - c)
-        yield from (("replace", a + i, c + i) for i in range(both))
-        yield from (("delete", i, None) for i in range(a + both, b))
-        yield from (("insert", None, j) for j in range(c + both, d))
-
-
 def block_diff(old: DataFrame, new: DataFrame, key: str, text: str, pos: str) -> DataFrame:
-    """The sequence diff of two versions of a document's blocks, per key, with the neighbouring new blocks.
+    """The sequence diff of two versions of a document's blocks by a minimal edit script, per key, with the neighbouring new blocks.
 
-    Blocks compare by inline_norm, so that markup alone is no change. A key's blocks are one document and go to one
-    task; keys only on one side are all inserts or all deletes.
+    Blocks compare by inline_norm, so that markup alone is no change. Keys only on one side are all inserts or all deletes.
     """
-    cut = lambda df, side: df.select(F.col(key).cast("string").alias("key"), F.lit(side).alias("side"), F.col(pos).cast("int").alias("pos"), F.col(text).alias("text"), inline_norm(text).alias("norm"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos", kind="stable")
-        a, b = (pdf[pdf["side"] == s] for s in ("old", "new"))
-        at, bt = a["text"].tolist(), b["text"].tolist()
-        rows = []
-        for kind, i, j in opcodes(a["norm"].tolist(), b["norm"].tolist()):
-            near, where = (bt, j) if j is not None else (at, i)
-            rows.append((pdf["key"].iloc[0], kind, None if i is None else a["pos"].iloc[i], None if j is None else b["pos"].iloc[j], None if i is None else at[i], None if j is None else bt[j], near[where - 1] if where else "", near[where + 1] if where + 1 < len(near) else ""))
-        return pd.DataFrame(rows, columns=["key", "kind", "old_pos", "new_pos", "old_text", "new_text", "before", "after"]).astype({"old_pos": "Int32", "new_pos": "Int32"})
-
-    return cut(old, "old").unionByName(cut(new, "new")).groupBy("key").applyInPandas(run, _CHANGE)
+    return align.block_diff(old, new, key, text, pos, inline_norm(text))
 
 
 def tree_paths(df: DataFrame, key: str, tree: str) -> DataFrame:
     """(key, path, value): a JSON tree's leaves by JSON Pointer; empty objects and arrays are leaves. A text that is no
-    JSON is one leaf at the root, a string; a null tree has no leaves."""
+    JSON, or is nested too deep for the parser, is one leaf at the root, a string; a null tree has no leaves."""
 
     def read(text: str) -> object:
         try:
             return json.loads(text)
-        except ValueError:
+        except (ValueError, RecursionError):
             return text
 
-    def walk(node: object, path: str) -> Iterator[tuple[str, str]]:
-        if node and isinstance(node, (dict, list)):
-            for k, v in node.items() if isinstance(node, dict) else enumerate(node):
-                yield from walk(v, f"{path}/{str(k).replace('~', '~0').replace('/', '~1')}")
-        else:
-            yield path, json.dumps(node, ensure_ascii=False, sort_keys=True)
+    def leaves(node: object) -> Iterator[tuple[str, str]]:
+        open_ = [(node, "")]
+        while open_:
+            node, path = open_.pop()
+            if node and isinstance(node, (dict, list)):
+                below = node.items() if isinstance(node, dict) else enumerate(node)
+                open_ += [(v, f"{path}/{str(k).replace('~', '~0').replace('/', '~1')}") for k, v in below]
+            else:
+                yield path, json.dumps(node, ensure_ascii=False, sort_keys=True)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, p, v) for k, t in zip(b["key"], b["tree"], strict=True) if t is not None for p, v in walk(read(t), "")]
+            rows = [(k, p, v) for k, t in zip(b["key"], b["tree"], strict=True) if t is not None for p, v in leaves(read(t))]
             yield pd.DataFrame(rows, columns=["key", "path", "value"])
 
     return df.select(F.col(key).cast("string").alias("key"), F.col(tree).alias("tree")).mapInPandas(run, "key string, path string, value string")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import filled, tokens
-from tessera.functions.udfs import choice_text
+from tessera.functions.variants import choice_text
 from tessera.operators.lookup import small, strict
 from tessera.operators.quality import finding
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import text, udfs, values
+from tessera.functions import text, udfs, values, variants
 from tessera.operators import lookup, predicates
 from tessera.plans.registry import Tables, query
 from tessera.sources import files, schema
@@ -84,7 +84,7 @@ def json_cells(t: Tables) -> DataFrame:
     raw = F.when(_n() % 5 == 0, "true").when(_n() % 5 == 1, _text(_size(), ".0")).when(_n() % 5 == 2, "0.50").when(_n() % 5 == 3, _text('["', F.col("p_name"), '", ', _size(), "]"))
     return t.part.select(
         "p_partkey", udfs.content_hash(_text('{"b": ', _size(), ', "a": ["', F.col("p_name"), '", null]}')).alias("digest"),
-        udfs.choice_text(_text("[", quoted("p_name"), ', {"text": " ", "name": "', F.col("p_brand"), '"}, {}]')).alias("choices"), udfs.cell_text(raw).alias("cell"),
+        variants.choice_text(_text("[", quoted("p_name"), ', {"text": " ", "name": "', F.col("p_brand"), '"}, {}]')).alias("choices"), variants.cell_text(raw).alias("cell"),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.align import line_counts
 from tessera.functions.text import filled
 
 
@@ -105,13 +106,12 @@ def inventory_hash(inventory: DataFrame) -> DataFrame:
 
 
 def tree_changes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(path, status, added, removed): files of two versions of a tree: A, D or M with changed line counts."""
-    lines = lambda c: F.split(F.coalesce(F.col(c), F.lit("")), "\n")
-    both = old.select("path", F.col("text").alias("o")).join(new.select("path", F.col("text").alias("n")), "path", "full").where(~F.col("o").eqNullSafe(F.col("n")))
+    """(path, status, added, removed): files of two versions of a tree that differ: A, D or M with the numbers of lines that a minimal
+    edit script adds and removes. Paths are unique and not null; a null text is an empty file."""
+    both = old.select("path", F.coalesce("text", F.lit("")).alias("o")).join(new.select("path", F.coalesce("text", F.lit("")).alias("n")), "path", "full").where(~F.col("o").eqNullSafe(F.col("n")))
+    counts = line_counts(both.where("o is not null").select("path", "o"), both.where("n is not null").select("path", F.col("n").alias("o")), "path", "o")
     status = F.when(F.col("o").isNull(), "A").when(F.col("n").isNull(), "D").otherwise("M")
-    added = F.when(F.col("n").isNull(), 0).otherwise(F.size(F.array_except(lines("n"), F.when(F.col("o").isNull(), F.array().cast("array<string>")).otherwise(lines("o")))))
-    removed = F.when(F.col("o").isNull(), 0).otherwise(F.size(F.array_except(lines("o"), F.when(F.col("n").isNull(), F.array().cast("array<string>")).otherwise(lines("n")))))
-    return both.select("path", status.alias("status"), added.alias("added"), removed.alias("removed"))
+    return both.select("path", status.alias("status")).join(counts.withColumnRenamed("key", "path"), "path")
 
 
 def path_dims(path: Column | str, root: str = "_review") -> Column:

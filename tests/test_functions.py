@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import text, udfs, values
+from tessera.functions import text, udfs, values, variants
 
 
 def one(spark, **cols):
@@ -116,10 +116,10 @@ def test_sort_tokens(spark):
 def test_cells_of_json(spark):
     raw = ["null", "true", "3", "3.0", "0.1234567", '["a", 1, null]', '{"b": 1, "a": "é"}', '"x"', None, "not json"]
     df = spark.createDataFrame(list(enumerate(raw)), "i int, j string")
-    got = [r.t for r in df.select("i", udfs.cell_text("j").alias("t")).orderBy("i").collect()]
+    got = [r.t for r in df.select("i", variants.cell_text("j").alias("t")).orderBy("i").collect()]
     assert got == ["", "TRUE", "3", "3", "0.123457", "a, 1, ", '{"a":"é","b":1}', "x", "", "not json"]
     pick = spark.createDataFrame([('[{"text": " "}, {"name": "n"}, "s"]',), ('{"text": "t", "value": "v"}',)], "j string")
-    assert [r.t for r in pick.select(udfs.choice_text("j").alias("t")).collect()] == ["n, s", "t"]
+    assert [r.t for r in pick.select(variants.choice_text("j").alias("t")).collect()] == ["n, s", "t"]
 
 
 def test_hashes_do_not_depend_on_key_order(spark):
@@ -151,3 +151,14 @@ def test_stretch_distance_by_definition():
 def test_korean_endings(spark):
     got = one(spark, **{f"c{i}": text.ends_closed(F.lit(t), {"acme": False}) for i, t in enumerate(["제품", "배터리", "Box 3", "Box 2.", "The Acme", "Box", " ", "(제품)"])})
     assert list(got.values()) == [True, False, True, False, False, None, None, True]
+
+
+def test_cells_of_any_json(spark):
+    rows = {"[1, [], [\"a\", null, true]]": "1, , a, , TRUE", '{"b": 1.0, "a": {"x": []}}': '{"a":{"x":[]},"b":1}', "1e6": "1000000", "1234567.5": "1.23457e+06", "-0.00001234567": "-1.23457e-05", "0.0001": "0.0001", "123456.7": "123457", "100.25": "100.25", "-7": "-7", "1.5e300": None, '"\\u00e9"': "é", "[" * 3000 + "]" * 3000: "[" * 3000 + "]" * 3000, '{"a": 1, "a": 2}': '{"a": 1, "a": 2}', "[[[[[[1]]]]]]": "[[1]]"}
+    df = spark.createDataFrame([(k,) for k in rows], "j string")
+    got = {r.j: r.t for r in df.select("j", variants.cell_text("j").alias("t")).collect()}
+    assert {k: got[k] for k, want in rows.items() if want is not None} == {k: want for k, want in rows.items() if want is not None} and got["1.5e300"].startswith("15")
+    picks = {'[{"text": " "}, {"name": ["p", "q"]}, [], 3]': "p, q, 3", "null": "", '{"value": 2.50}': "2.5", "plain words": "plain words", '{"text": {"k": 1}}': '{"k":1}'}
+    df = spark.createDataFrame([(k,) for k in picks], "j string")
+    assert {r.j: r.t for r in df.select("j", variants.choice_text("j").alias("t")).collect()} == picks
+    assert spark.createDataFrame([("[" * 100_000,), ("[" * 100_000 + "]" * 100_000,)], "j string").where(udfs.canonical_json("j").isNull()).count() == 2
