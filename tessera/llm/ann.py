@@ -51,12 +51,16 @@ def _matrix(column: pd.Series | pa.Array) -> np.ndarray:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosine of one vector with each row of x, the same number for the same vector wherever it stands."""
+    """Cosine of one vector with each row of x, the same number for the same vector wherever it stands.
+
+    Vectors are scaled by a power of two to a largest component between a half and one: exact, and no square leaves the range of doubles.
+    """
+    x, q = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=-1, keepdims=True))[1]) for v in (x, q))
     return (x * q).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
 
 

@@ -243,5 +243,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col
     """
     _, matched = _matched(docs, benchmark, span, id_col, text_col, sent_hashes)
     k1, k2 = row_keys(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    bad = matched.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
-    return docs.withColumns({"__k1": k1, "__k2": k2}).join(bad, ["__k1", "__k2"], "left_anti").select(*docs.columns)
+    keyed = docs.select(F.struct("*").alias("row"), k1.alias("k1"), k2.alias("k2"))  # a struct: names of docs meet no key
+    return keyed.join(matched.select("k1", "k2").distinct(), ["k1", "k2"], "left_anti").select("row.*")

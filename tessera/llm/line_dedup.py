@@ -119,14 +119,14 @@ def dedup_lines(docs: DataFrame, near_words: int = 8, id_col: str = "doc_id", te
     come last in the order. An empty table gives no rows. Other columns of docs pass through, but
     for a `lines_removed` of its own.
     """
-    text = F.col(text_col).cast("string")
     gone = removed_lines(docs, near_words, id_col, text_col).select("k1", "k2", "line_no").distinct()
-    lists = gone.groupBy("k1", "k2").agg(F.collect_list("line_no").alias("__gone")).withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
-    k1, k2 = row_keys(F.col(id_col).cast("long"), text)
-    joined = docs.withColumns({"__k1": k1, "__k2": k2}).join(lists, ["__k1", "__k2"], "left")
+    lists = gone.groupBy("k1", "k2").agg(F.collect_list("line_no").alias("gone"))
+    k1, k2 = row_keys(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    joined = docs.select(F.struct("*").alias("row"), k1.alias("k1"), k2.alias("k2")).join(lists, ["k1", "k2"], "left")  # a struct: names of docs meet none of these
+    text = F.col("row")[text_col].cast("string")
     parts = F.split(text, "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
     picked = F.transform(F.array(parts), lambda lines: F.transform(stay, lambda i: F.get(lines, i)))[0]  # splits the text once
-    kept = F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(picked, "\n"))
-    removed = F.coalesce(F.size("__gone"), F.lit(0)).cast("long")
-    return joined.withColumns({text_col: kept, "lines_removed": F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(removed).cast("long")}).select(*[c for c in docs.columns if c != "lines_removed"], "lines_removed")
+    kept = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(picked, "\n"))
+    removed = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long")
+    return joined.select(*[(kept if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns if c.lower() != "lines_removed"], removed.alias("lines_removed"))

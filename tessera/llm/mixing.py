@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import small, written
 
 
 def words_in(text: Column) -> Column:
@@ -82,7 +82,7 @@ def mix_with_sources(docs: DataFrame, cycle: tuple[float, ...] = (3.0, 1.0, 2.0)
     sized = written(docs.select(F.col("doc_id"), F.col("source"), words_in(F.col("text")).alias("size")))
     sources = written(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, share, most))
     goals = sources.select(F.col("source").alias("t_source"), "source_size", "target")
-    joined = placed(sized).join(F.broadcast(goals) if few(goals) else goals, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
+    joined = placed(sized).join(F.broadcast(goals) if small(goals) else goals, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
     goal = F.round("target").cast("long")
     whole = F.floor(goal / F.greatest("source_size", F.lit(1))).cast("long")
     rest = goal - whole * F.col("source_size") - F.col("before")
@@ -90,11 +90,6 @@ def mix_with_sources(docs: DataFrame, cycle: tuple[float, ...] = (3.0, 1.0, 2.0)
     return joined.withColumn("taken", taken.cast("long")).select("doc_id", "source", "size", "source_size", "target", "before", "taken"), sources
 
 
-def few(df: DataFrame, most: int = 100_000) -> bool:
-    """Whether df, a row for each source, is small enough to broadcast."""
-    return df.limit(most + 1).count() <= most
-
-
 def curriculum(mixed: DataFrame, schedules: DataFrame) -> DataFrame:
     """Training positions for the rows of mix(): adds `position` (0 to 1) and sorts by it.
 
@@ -110,7 +105,7 @@ def curriculum(mixed: DataFrame, schedules: DataFrame) -> DataFrame:
     share = F.when(F.col("source_size") > 0, F.col("before") / F.col("source_size"))
     asked = mixed.withColumn("q", share)
     met = F.col("source").eqNullSafe(F.col("p_source")) & (F.col("q") >= F.col("q0")) & (F.col("q") < F.col("q1"))
-    found = asked.join(F.broadcast(part) if few(schedules) else part, met, "left")
+    found = asked.join(F.broadcast(part) if small(schedules) else part, met, "left")
     need = (F.col("q") - F.col("q0")) * F.col("p_all")  # area to gather after t0: w0 x + slope x^2 / 2
     slope = (F.col("w1") - F.col("w0")) / (F.col("t1") - F.col("t0"))
     step = F.when(F.abs(slope) < 1e-12, need / F.col("w0")).otherwise((F.sqrt(F.greatest(F.lit(0.0), F.col("w0") * F.col("w0") + 2 * slope * need)) - F.col("w0")) / slope)
@@ -130,7 +125,7 @@ def curriculum_by_pass(mixed: DataFrame, schedules: DataFrame) -> DataFrame:
     part = area.withColumn("till", F.sum("area").over(by)).withColumn("all", F.sum("area").over(W.partitionBy("source"))).where("area > 0")
     piece = F.struct("t0", "t1", "w0", "w1", ((F.col("till") - F.col("area")) / F.col("all")).alias("q0"), (F.col("till") / F.col("all")).alias("q1"), F.col("all").alias("p_all"))
     part = part.groupBy(F.col("source").alias("p_source")).agg(F.array_sort(F.collect_list(piece)).alias("pieces"), F.lit(True).alias("planned"))
-    joined = mixed.join(F.broadcast(part) if few(schedules) else part, F.col("source").eqNullSafe(F.col("p_source")), "left")
+    joined = mixed.join(F.broadcast(part) if small(schedules) else part, F.col("source").eqNullSafe(F.col("p_source")), "left")
 
     goal = F.round("target").cast("long")
     whole = F.floor(goal / F.greatest("source_size", F.lit(1))).cast("long")

@@ -221,5 +221,6 @@ def one_of_each(docs: DataFrame, budget: int = 4, id_col: str = "doc_id", text_c
     h1, h2 = row_keys(*docs.columns)
     fps = written(fingerprints(docs, id_col, text_col, h1.alias("h1"), h2.alias("h2")))
     best = fps.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h1", "h2")).alias("best"))
-    keep = _components(fps, budget).join(best, "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.h1").alias("__h1"), F.col("best.h2").alias("__h2"))
-    return docs.withColumns({"__h1": h1, "__h2": h2}).join(keep, ["__h1", "__h2"], "left_semi").dropDuplicates(["__h1", "__h2"]).select(*docs.columns)
+    keep = _components(fps, budget).join(best, "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.h1", "best.h2")
+    keyed = docs.select(F.struct("*").alias("row"), h1.alias("h1"), h2.alias("h2"))  # a struct: names of docs meet no key
+    return keyed.join(keep, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"]).select("row.*")

@@ -120,3 +120,20 @@ def test_suffix_odd_rows(odd_docs, no_docs):
     plain = brute([(r.doc_id, r.text) for r in odd_docs.collect()], 200)
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows), key=str) == plain
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
+
+
+def test_cosine_of_vectors_of_any_size(spark):
+    vectors = [(0, [1e200, 1.0]), (1, [1.0, 1.0]), (2, [1e200, 2.0]), (3, [5e-324, 5e-324]), (4, [1e308, -1e308]), (5, [3e-320, 0.0])]
+    rows = ann.search(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"), "id >= 0").collect()
+    score = {(r.query_id, r.vec_id): r.score for r in rows}
+    assert len(score) == 30
+    half = 2**-0.5
+    for pair, want in {(0, 1): half, (0, 2): 1.0, (1, 3): 1.0, (3, 5): half, (1, 4): 0.0, (0, 4): half}.items():
+        assert abs(score[pair] - want) < 1e-15 and score[pair] == score[pair[::-1]]
+
+
+def test_scaling_by_a_power_of_two_changes_no_score():
+    rng = np.random.default_rng(2)
+    x, q = rng.normal(size=(50, 16)), rng.normal(size=16)
+    plain = (x * q).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
+    assert np.array_equal(ann.cosines(q, x), plain)

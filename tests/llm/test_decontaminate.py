@@ -59,3 +59,8 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert decontaminate.contamination(no_docs, bench).count() == 0
     assert not any(r.contaminated for r in decontaminate.contamination(odd_docs, bench.where("false")).collect())
     assert decontaminate.decontaminated(odd_docs, bench).columns == odd_docs.columns
+
+
+def test_clashing_columns_keep_their_values(spark, odd_docs, clashing):
+    items = spark.createDataFrame([(1, "some other words that no document of these has in it at all")], "item_id long, text string")
+    clashing(decontaminate.decontaminated(odd_docs, items), odd_docs)

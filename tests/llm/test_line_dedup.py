@@ -63,3 +63,7 @@ def test_a_repeated_row_keeps_its_earliest_line(odd_docs):
     line = next(r.text for r in odd_docs.where("doc_id = 1 and source = 'a'").collect())
     assert [(r.text, r.lines_removed) for r in rows if r.doc_id == 1 and r.source == "a"] == [(line, 0)] * 2
     assert [(r.text, r.lines_removed) for r in rows if r.doc_id == 2] == [("", 2)]
+
+
+def test_clashing_columns_keep_their_values(odd_docs, clashing):
+    clashing(line_dedup.dedup_lines(odd_docs), odd_docs, but=("lines_removed",))

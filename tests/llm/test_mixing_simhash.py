@@ -190,3 +190,7 @@ def test_one_row_of_each_group_stays(spark):
     rows = [(1, b), (5, b), (5, a), (None, a), (None, a), (None, c), (None, c), (6, c + " more"), (6, c + " more"), (9, None), (None, "")]
     kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, b), (5, a), (None, c), (6, c + " more"), (9, None)], key=str)
+
+
+def test_clashing_columns_keep_their_values(odd_docs, clashing):
+    clashing(simhash.one_of_each(odd_docs), odd_docs)
