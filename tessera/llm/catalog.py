@@ -38,7 +38,9 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, sources = mixing.mix_with_sources(table(spark, sf_dir, "documents"))
-    return mixing.curriculum(mixed, mixing.tilted(sources)).select("doc_id", "size", "source_size", "target", "taken", "position")
+    plan = mixing.tilted(sources)
+    both = mixing.curriculum_by_pass(mixing.curriculum(mixed, plan).withColumnRenamed("position", "by_size"), plan)
+    return both.select("doc_id", "size", "source_size", "target", "taken", F.col("by_size").alias("position"), F.col("position").alias("position_taken"))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,10 +209,11 @@ p AS (
   FROM z JOIN t ON z.source IS NOT DISTINCT FROM t.source),
 r AS (
   SELECT *, goal // greatest(source_size, 1) * size + greatest(0, least(size, goal - goal // greatest(source_size, 1) * source_size - before)) AS taken,
-    CASE WHEN source_size > 0 THEN before / source_size END AS q,
+    CASE WHEN source_size > 0 THEN before / source_size END AS q, CASE WHEN goal > 0 THEN before / goal END AS qt,
     CASE WHEN k % 2 = 1 THEN 0.5 ELSE 1.5 END AS a, CASE WHEN k % 2 = 1 THEN 1.5 ELSE 0.5 END AS b FROM p)
 SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target, taken::BIGINT AS taken,
-  CASE WHEN taken > 0 THEN (sqrt(a * a + 2 * (b - a) * q) - a) / (b - a) END AS position FROM r
+  CASE WHEN taken > 0 THEN (sqrt(a * a + 2 * (b - a) * q) - a) / (b - a) END AS position,
+  CASE WHEN taken > 0 THEN (sqrt(a * a + 2 * (b - a) * qt) - a) / (b - a) END AS position_taken FROM r
 """
 
 
