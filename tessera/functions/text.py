@@ -25,6 +25,10 @@ _WIDE = r"[\x{1100}-\x{115F}\x{2E80}-\x{303E}\x{3041}-\x{33FF}\x{3400}-\x{4DBF}\
 SCRIPTS = {"latin": r"\p{IsLatin}", "han": r"\p{IsHan}", "kana": r"[\p{IsHiragana}\p{IsKatakana}]", "hangul": r"\p{IsHangul}", "cyrillic": r"\p{IsCyrillic}"}
 
 
+#: Languages that a source text may be in.
+SOURCE_LANGUAGES = ("en", "zh", "ja", "fr", "es", "pt-br", "de", "it", "uk", "ko")
+
+
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -176,7 +176,7 @@ def converted(op: Column | str, raw: Column | str, default: Column | str, region
         cm, inch = laid(lambda x: _digits(F.round(x / 10, 1)), " cm"), laid(lambda x: F.format_string("%.1f", x / 25.4), " in")
         kilos = one("kg")
         return (
-            F.when(kind == "weight", F.when(us, put(_POUNDS, _digits(F.round(kilos.cast("double") * 2.20462, 2)), kilos)).otherwise(put(_KILOS, kilos)))
+            F.when(kind == "weight", F.when(us, put(_POUNDS, F.round(kilos.cast("double") * 2.20462, 2).cast("string"), kilos)).otherwise(put(_KILOS, kilos)))
             .when(kind == "dc12", put(_DIRECT, one("v"), one("a"))).when(kind == "cycle_life", put(_CYCLES, one("cycles")))
             .when((kind == "dims_mm_to_cm") & (F.size(sides) == 3), F.when(us, F.concat(inch, F.lit(" / "), cm)).otherwise(cm))
             .when(kind == "capacity", put(_CAPACITY, one("wh"), one("ah"), one("v")))

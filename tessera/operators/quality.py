@@ -133,8 +133,6 @@ SPEC_CHECKS: dict[str, tuple[Callable[[], Column], str]] = {
     "invalid_slot_key": (lambda: filled("slot_key").isNull() | F.trim("slot_key").rlike(r"^[A-Za-z0-9_-]+(\.[A-Za-z0-9_-]+){0,2}$"), "FAIL"),
     "invalid_section_order": (lambda: filled("section_order").isNull() | F.trim("section_order").rlike(r"^\d+(\.\d+)?$"), "WARN"),
     "invalid_line_order": (lambda: filled("line_order").isNull() | F.trim("line_order").rlike(r"^[1-9]\d*(\.0)?$"), "WARN"),
-    "value_with_placeholder": (lambda: ~F.coalesce("value", F.lit("")).rlike(r"\{\{.*?\}\}|TBD|TODO|XXX"), "WARN"),
-    "label_too_wide": (lambda: display_width(F.coalesce("label", F.lit(""))) <= 60, "WARN"),
 }
 
 

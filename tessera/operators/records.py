@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions.text import SCRIPTS, filled, script_count
@@ -220,7 +221,11 @@ def selector_issues(rows: DataFrame, required: DataFrame) -> DataFrame:
     code = lambda df, name: df.select("scope", "row_key", F.lit(name).alias("code")).distinct()
     need = required.select("row_key").distinct()
     held = per.join(need, "row_key")
-    wanted = rows.select("scope").distinct().crossJoin(F.broadcast(need))  # a row for each document and required key, the rule's own size
+    # only documents that lack some required key are set against all of them, by the keys' numbers
+    listed = need.withColumn("no", F.row_number().over(W.orderBy("row_key")).cast("long"))
+    full = held.groupBy("scope").agg(F.count("*").alias("have"))
+    short = rows.select("scope").distinct().join(full, "scope", "left").withColumn("all", listed.agg(F.count("*")).scalar()).where(F.coalesce("have", F.lit(0)) < F.col("all"))
+    wanted = short.select("scope", F.explode(F.sequence(F.lit(1).cast("long"), "all")).alias("no")).join(listed, "no").select("scope", "row_key")
     return reduce(DataFrame.unionByName, [
         code(slots.where("n > 1"), "duplicate_latest_spec_row"), code(held.where("blank = n"), "empty_required_spec_value"), code(held.where("blank > 0 and blank < n"), "partial_empty_spec_value"),
         code(slots.where("s = '' and lo <> hi"), "ambiguous_spec_selector"), code(wanted.join(per, ["scope", "row_key"], "left_anti"), "missing_required_spec_row"),

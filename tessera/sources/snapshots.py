@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,50 +51,63 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, formats: str = "parquet", stale_s: int = 7200) -> str:
+def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, formats: str = "parquet", tries: int = 20) -> str:
     """Write all tables and the manifest to a new folder under root, then name it current; returns its path.
 
-    All is written before anything is visible. Each snapshot has a small file of its own, CURRENT-<number>, that is
-    renamed into place, and the greatest number counts: at any moment a reader finds the last snapshot or this one. An
-    exclusive lock file keeps a second writer out; one that a writer left behind counts for stale_s seconds.
+    All is written before anything is visible. Each snapshot has a small file of its own, CURRENT-<number>, and the greatest finished one
+    counts. There is no lock to break: whoever creates the next number first has it, and a writer that finds it taken
+    compares its tables with the snapshot that came in between and tries the number after. A writer that stalls or dies, at whatever point,
+    holds nobody up, and one that comes back late takes a number of its own or finishes one that newer snapshots have passed.
     """
-    fs, lock = _fs(spark, f"{root}/LOCK")
-    fs.mkdirs(lock.getParent())
-    if fs.exists(lock) and time.time() - fs.getFileStatus(lock).getModificationTime() / 1000 > stale_s:
-        fs.delete(lock, False)
-    if not fs.createNewFile(lock):
-        raise RuntimeError(f"{root} is being written: {lock} exists")
-    try:
-        number, now = max(_pointers(spark, root), default=(0, None))
-        last = spark.read.parquet(f"{spark.read.text(now).first()[0]}/_manifest") if now else None
-        path = f"{root}/{uuid.uuid4().hex}"
-        for name, df in tables.items():
-            out = in_order(df, TABLES[name]) if name in TABLES and set(TABLES[name].columns) == set(df.columns) else df
-            (out.write.option("header", True).csv(f"{path}/{name}") if formats == "csv" else out.write.parquet(f"{path}/{name}"))
-        manifest(spark, tables, last).write.parquet(f"{path}/_manifest")
-        _, fresh = _fs(spark, f"{path}/_pointer")
-        _, pointer = _fs(spark, f"{root}/CURRENT-{number + 1:012d}")
-        stream = fs.create(fresh, True)
-        stream.write(bytearray(path.encode()))
-        stream.close()
-        if not fs.rename(fresh, pointer):
-            raise RuntimeError(f"{pointer} could not be written")
-        return path
-    finally:
-        fs.delete(lock, False)
+    path = f"{root}/{uuid.uuid4().hex}"
+    for name, df in tables.items():
+        out = in_order(df, TABLES[name]) if name in TABLES and set(TABLES[name].columns) == set(df.columns) else df
+        (out.write.option("header", True).csv(f"{path}/{name}") if formats == "csv" else out.write.parquet(f"{path}/{name}"))
+    manifest(spark, tables).write.parquet(f"{path}/_digests")
+    digests = spark.read.parquet(f"{path}/_digests").drop("changed")
+    for _ in range(tries):
+        taken = [n for n, _ in _pointers(spark, root)]
+        base = current(spark, root)
+        was = spark.read.parquet(f"{base}/_manifest").select("table", F.col("digest").alias("was")) if base else digests.select("table", F.lit(None).cast("string").alias("was"))
+        digests.join(was, "table", "left").withColumn("changed", ~F.col("digest").eqNullSafe(F.col("was"))).drop("was").write.mode("overwrite").parquet(f"{path}/_manifest")
+        if _claimed(spark, f"{root}/CURRENT-{max(taken, default=0) + 1:012d}", path):
+            return path
+    raise RuntimeError(f"{root}: other writers were first {tries} times")
+
+
+def _claimed(spark: SparkSession, pointer: str, content: str) -> bool:
+    """Create a pointer file unless it is there, by the file system's exclusive create, and fill it; whether it was created here."""
+    fs, at = _fs(spark, pointer)
+    fs.mkdirs(at.getParent())
+    if fs.getUri().getScheme() == "file":  # its create() looks first and creates then, which two writers can do at once
+        if not spark.sparkContext._jvm.java.io.File(at.toUri().getPath()).createNewFile():
+            return False
+        stream = fs.create(at, True)
+    else:
+        try:
+            stream = fs.create(at, False)
+        except Py4JJavaError:
+            if fs.exists(at):
+                return False
+            raise
+    stream.write(bytearray(f"{content}\n".encode()))
+    stream.close()
+    return True
 
 
 def _pointers(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(number, file) of the snapshots that were named current."""
+    """(number, file) of the pointers that were created, finished or not."""
     fs, p = _fs(spark, root)
     found = [s.getPath() for s in fs.listStatus(p)] if fs.exists(p) else []
     return [(int(f.getName().removeprefix("CURRENT-")), f.toString()) for f in found if f.getName().startswith("CURRENT-")]
 
 
 def current(spark: SparkSession, root: str) -> str | None:
-    """The folder of the published snapshot, or None."""
-    _, now = max(_pointers(spark, root), default=(0, None))
-    return spark.read.text(now).first()[0] if now else None
+    """The folder of the published snapshot, or None. A pointer without a line, as a writer leaves it that stopped in between, does not count."""
+    for _, file in sorted(_pointers(spark, root), reverse=True):
+        if (line := spark.read.text(file).first()) is not None and line[0]:
+            return line[0]
+    return None
 
 
 def inspect(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:

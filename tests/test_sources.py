@@ -153,9 +153,37 @@ def test_snapshots(spark, tmp_path):
     got = {r["table"]: (r["row_count"], r["changed"]) for r in spark.read.parquet(f"{second}/_manifest").collect()}
     assert got == {"variable_defaults": (3, False), "other": (2, True)}
     assert sorted(map(tuple, snapshots.inspect(spark, second, ["other", "variable_defaults", "third"]).collect())) == [("other", "ok"), ("third", "missing"), ("variable_defaults", "ok")]
-    put(tmp_path / "snap" / "LOCK", "")
-    with pytest.raises(RuntimeError, match="being written"):
-        snapshots.publish(spark, {}, root)
+
+
+def test_of_two_writers_the_first_to_claim_wins_and_the_other_follows(spark, tmp_path, monkeypatch):
+    """One writer stalls between writing its tables and its claim; another publishes in between; nothing is lost or held up."""
+    root = os.fspath(tmp_path / "snap")
+    one, two = spark.range(3).selectExpr("cast(id as string) as k"), spark.range(5).selectExpr("cast(id as string) as k")
+    base = snapshots.publish(spark, {"t": one}, root)
+    claim, between = snapshots._claimed, []
+
+    def stalled(spark, pointer, content):
+        if not between:
+            monkeypatch.setattr(snapshots, "_claimed", claim)
+            between.append(snapshots.publish(spark, {"t": two}, root))
+            monkeypatch.setattr(snapshots, "_claimed", stalled)
+        return claim(spark, pointer, content)
+
+    monkeypatch.setattr(snapshots, "_claimed", stalled)
+    late = snapshots.publish(spark, {"t": two}, root)
+    assert snapshots.current(spark, root) == late and [n for n, _ in sorted(snapshots._pointers(spark, root))] == [1, 2, 3]
+    changed = lambda path: spark.read.parquet(f"{path}/_manifest").first()["changed"]
+    assert (changed(base), changed(between[0]), changed(late)) == (True, True, False)  # late is compared with what came in between
+
+
+def test_a_pointer_that_was_never_finished_does_not_count(spark, tmp_path):
+    root = os.fspath(tmp_path / "snap")
+    first = snapshots.publish(spark, {"t": spark.range(1)}, root)
+    put(tmp_path / "snap" / "CURRENT-000000000002", "")
+    assert snapshots.current(spark, root) == first
+    third = snapshots.publish(spark, {"t": spark.range(2)}, root)
+    assert snapshots.current(spark, root) == third and third != first
+    assert not snapshots._claimed(spark, f"{root}/CURRENT-000000000003", "x")
 
 
 def test_appending_twice_adds_nothing(spark, tmp_path):
