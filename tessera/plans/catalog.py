@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.plans import aggregates, diffs, flows, lookups, pages, records, rules, texts  # noqa: F401  each registers its queries
+from tessera.plans import aggregates, diffs, flows, lookups, pages, records, rules, texts, versions  # noqa: F401  each registers its queries
 from tessera.plans.registry import QUERIES, SQL, Query
 
 
