@@ -4,8 +4,8 @@ A sample of vectors serves as pivots: `spread` x sqrt(N) of N vectors, at most `
 represented by its pivots in order of nearness (its permutation, cut to a prefix) and posted in the inverted files of
 its nearest few pivots. A query reads the files of more of its own nearest pivots, ranks what it finds there by
 footrule distance between permutations (a pivot missing from a prefix counts as standing at its end), and reranks the
-best part of it by cosine on the original vectors in double precision. With P pivots a query reads `reach` x sqrt(P)
-files of posts x N / P vectors each, so what it reads grows as the 0.75th power of N.
+best part of it by cosine on the original vectors in double precision. How many files a query reads follows from the recall that is
+asked for: it is measured on a bounded number of queries, whose true neighbours one pass over all vectors finds.
 
 A pivot's file can hold a third of all vectors (many copies of one), and so can its readers: files are cut
 into shards of `file_rows` vectors by `query_rows` queries, each a task group of bounded size.
@@ -111,22 +111,63 @@ def _rerank(found: pd.DataFrame, asked: pd.DataFrame, n_pivots: int, share: floa
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
 
+def needed_reads(index: DataFrame, is_query: str, pivots: np.ndarray, posts: int, k: int, target: float, probes: int) -> int:
+    """How many files a query has to read so that the share `target` of nearest neighbours stands in one of them.
+
+    Measured on at most `probes` queries, those of least id hash, by an exact pass over all vectors: each task keeps its k nearest a
+    probe. Without queries or neighbours, one file.
+    """
+    asked = index.where(is_query).orderBy(F.xxhash64("id", F.lit(1)), "id").limit(probes).select("id", "v").collect()  # at most probes rows
+    if not asked:
+        return 1
+    ids, units = np.array([r["id"] for r in asked]), _unit(np.stack([np.frombuffer(bytes(r["v"]), np.float64) for r in asked]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[tuple] = []
+        for b in batches:
+            for at in range(0, b.num_rows, 2048):
+                part = b.slice(at, 2048)
+                own = part.column(0).to_numpy()
+                sims = _unit(_matrix(part.column(1).to_pandas())) @ units.T
+                sims[own[:, None] == ids[None, :]] = -np.inf
+                top = np.argsort(-sims, axis=0, kind="stable")[:k]
+                files = part.column(2).to_pylist()
+                best += [(q, float(sims[r, q]), int(own[r]), files[r]) for rows in top for q, r in enumerate(rows) if np.isfinite(sims[r, q])]
+            best.sort(key=lambda x: (x[0], -x[1], x[2]))
+            best = [x for i, x in enumerate(best) if i < k or best[i - k][0] != x[0]]
+        if best:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*best, strict=True)], ["q", "s", "id", "files"])
+
+    near = arrow_map(index.select("id", "v", F.slice("perm", 1, posts).alias("files")), run, "q long, s double, id long, files array<long>")
+    order = W.partitionBy("q").orderBy(F.desc("s"), "id")
+    rows = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("q", "files").collect()  # at most k rows a probe
+    place = np.argsort(np.argsort(-(units @ pivots.T), axis=1, kind="stable"), axis=1)
+    need = sorted(int(place[r["q"], r["files"]].min()) + 1 for r in rows)
+    return need[min(len(need) - 1, int(np.ceil(target * len(need))))] if need else 1
+
+
 def search(
     vectors: DataFrame, is_query: str, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", spread: float = 2.0, most_pivots: int = 1 << 16, prefix: int = 96,
-    posts: int = 4, reach: float = 2.6, share: float = 0.2, file_rows: int = 8192, query_rows: int = 2048,
+    posts: int = 4, target: float = 0.98, probes: int = 256, reach: float | None = None, share: float = 0.2, file_rows: int = 8192, query_rows: int = 2048,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for every vector whose id satisfies is_query (SQL on id).
 
-    Pivots are the vectors with the least id hash. Ties go to the smaller vec_id. A query that found
-    fewer than k, with more to find, reads all files. No vectors, or a single one, give no rows.
+    Pivots are the vectors with the least id hash. How many files a query reads is measured: as many as hold the share `target` of the
+    true neighbours of `probes` queries; reach sets it to reach x sqrt(pivots) instead. target = 1 is the exact way: all files are read and all vectors in them compared. Ties go to the
+    smaller vec_id. A query that found fewer than k, with more to find, reads all files. No vectors, or a single one, give no rows.
     """
     packed = usable(vectors, id_col, vector_col)
     total = packed.count()
     chosen = packed.orderBy(F.xxhash64("id"), "id").limit(max(16, min(most_pivots, round(spread * total**0.5)))).collect()  # at most most_pivots rows
     pivots = _unit(np.stack([np.frombuffer(bytes(r["v"]), np.float64) for r in chosen])) if chosen else np.zeros((0, 1))
     n, cut = len(pivots), min(prefix, len(pivots))
-    reads = min(n, max(1, round(reach * n**0.5)))
     index = written(_permutations(packed, pivots, cut))
+    if target >= 1:
+        reads, share = n, 1.0
+    elif reach is not None:
+        reads = min(n, max(1, round(reach * n**0.5)))
+    else:
+        reads = min(n, needed_reads(index, is_query, pivots, min(posts, cut), k, target, probes)) if n else 0
 
     def read(queries: DataFrame, reads: int, share: float) -> DataFrame:
         file = index.select("id", "v", "perm", F.explode(F.slice("perm", 1, posts)).alias("pivot"))
@@ -134,7 +175,7 @@ def search(
             file = index.select("id", "v", "perm", F.col("perm")[0].alias("pivot"))
             asked = queries.select("qid", "qv", "qperm", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("pivot"))
         else:
-            asked = queries.select("qid", "qv", "qperm", F.explode(F.slice("qperm", 1, reads)).alias("pivot"))
+            asked = queries.select("qid", "qv", "qperm", F.explode(F.slice("qfiles", 1, reads)).alias("pivot"))
         shards = lambda df, rows, name: df.groupBy("pivot").agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
         grid = F.broadcast(shards(file, file_rows, "a").join(shards(asked, query_rows, "b"), "pivot"))  # a row per pivot
         left = file.join(grid, "pivot").select("id", "v", "perm", "pivot", F.pmod(F.xxhash64("id"), "a").alias("s"), F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("t"))
@@ -143,7 +184,8 @@ def search(
         run = lambda l, r: _rerank(l, r, n, share, k)  # noqa: E731, E741
         return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(run, "query_id long, vec_id long, score double").distinct()
 
-    queries = index.where(is_query).select(F.col("id").alias("qid"), F.col("v").alias("qv"), F.col("perm").alias("qperm"))
+    asked = _permutations(packed.where(is_query), pivots, max(cut, reads))  # a query's order of files may have to go on past the prefix
+    queries = written(asked.select(F.col("id").alias("qid"), F.col("v").alias("qv"), F.slice("perm", 1, cut).alias("qperm"), F.col("perm").alias("qfiles")))
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     top = lambda df: df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     found = written(top(read(queries, reads, share)))

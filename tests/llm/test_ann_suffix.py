@@ -137,3 +137,21 @@ def test_scaling_by_a_power_of_two_changes_no_score():
     x, q = rng.normal(size=(50, 16)), rng.normal(size=16)
     plain = (x * q).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
     assert np.array_equal(ann.cosines(q, x), plain)
+
+
+def test_a_target_of_one_is_exact_and_less_is_met(spark):
+    """Points in far more directions than there are pivots, so that few files hold too little."""
+    rng = np.random.default_rng(9)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 24)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    want = nearest([(i, np.array(v)) for i, v in rows], 5)
+
+    def recall(**settings) -> float:
+        got: dict[int, set] = {}
+        for r in ann.search(df, "id % 50 = 0", **settings).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        return sum(len(set(w) & got.get(q, set())) for q, w in want.items()) / sum(map(len, want.values()))
+
+    assert recall(target=1.0) == 1.0
+    assert recall(target=0.98, share=1.0) >= 0.95  # what the files hold; the footrule rank takes its part besides
+    assert recall(reach=0.3, share=1.0) < 0.9
