@@ -1,4 +1,4 @@
-"""Versions of texts, rules by target and keyed state over streams, on the supplied tables."""
+"""Versions of texts, rules by target, searches of many questions and keyed state over streams, on the supplied tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import values
-from tessera.operators import align, checks
+from tessera.operators import align, checks, postings
 from tessera.plans.registry import Tables, query
 from tessera.streaming import claims
 
@@ -103,6 +103,28 @@ def unit_transforms_all(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", made["value"].alias("value"), made["status"].alias("status"))
 
 
+@query("""
+WITH q AS (SELECT DISTINCT string_split(p_name, ' ')[1] || ' ' || (p_size % 30) AS text, p_type AS kind FROM part),
+m AS (SELECT p_partkey AS key, p_type AS kind, list_concat([replace(lower(p_brand), '#', ' ')], string_split(p_name, ' ')) AS p, p_name AS t FROM part),
+s AS (
+  SELECT text, q.kind, key, list_sum(list_transform(string_split(text, ' '), lambda w:
+    list_sum(list_transform(p, lambda v: CASE WHEN v = w THEN 90 WHEN contains(v, w) OR contains(w, v) THEN 60 ELSE 0 END))
+    + CASE WHEN t = w THEN 60 WHEN contains(t, w) THEN 30 WHEN length(t) >= 4 AND contains(text, t) THEN 30 ELSE 0 END
+    + CASE WHEN contains(array_to_string(list_append(p, t), ' '), w) THEN 10 ELSE 0 END)) AS score FROM q JOIN m USING (kind))
+SELECT text, kind, key, score::INTEGER AS score, row_number() OVER (PARTITION BY text, kind ORDER BY score DESC, key)::INTEGER AS rank FROM s WHERE score > 0 QUALIFY rank <= 5""")
+def many_searches(t: Tables) -> DataFrame:
+    """The five best manuals of each of many questions with a facet, by postings, in one job."""
+    rows = t.part.select("p_partkey", "p_brand", F.split("p_name", " ").alias("models"), "p_name", F.array("p_type").alias("kind"))
+    out = t.folder()
+    postings.prepared(rows, "p_partkey", ["p_brand", "models"], ["p_name"], ["kind"]).write.parquet(f"{out}/manuals")
+    manuals = t.spark.read.parquet(f"{out}/manuals")
+    postings.postings(manuals).write.parquet(f"{out}/grams")
+    said = t.part.select(F.concat_ws(" ", F.get(F.split("p_name", " "), F.lit(0)), (F.col("p_size") % 30).cast("string")).alias("text"), F.col("p_type").alias("kind")).distinct()
+    questions = said.select(F.struct("text", "kind").alias("question"), "text", F.create_map(F.lit("kind"), F.array("kind")).alias("facets"))
+    found = postings.search_many(manuals, t.spark.read.parquet(f"{out}/grams"), questions, ["kind"], 5)
+    return found.select("question.text", "question.kind", "key", "score", "rank")
+
+
 @contextmanager
 def _state_store(t: Tables):  # noqa: ANN202
     """The session with the state store that stateful processors need, and as it was afterwards."""
