@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import values
-from tessera.operators import align, checks, postings
+from tessera.operators import align, checks, postings, quality, records
 from tessera.plans.registry import Tables, query
+from tessera.sources import files
 from tessera.streaming import claims
 
 
@@ -125,6 +126,53 @@ def many_searches(t: Tables) -> DataFrame:
     return found.select("question.text", "question.kind", "key", "score", "rank")
 
 
+def _brand_files(t: Tables) -> str:
+    """A text file a brand, of its names in order on one line; the folder."""
+    out = t.folder()
+    t.part.groupBy(F.col("p_brand").alias("brand")).agg(F.array_join(F.array_sort(F.collect_list("p_name")), ",").alias("value")).write.partitionBy("brand").text(out)
+    return out
+
+
+def _brand_of(path: str) -> F.Column:
+    return F.url_decode(F.url_decode(F.regexp_extract(path, "brand=([^/]+)", 1))).alias("brand")  # a path in a path
+
+
+@query("SELECT p_brand AS brand, string_agg(p_name, ',' ORDER BY p_name) || chr(10) AS text FROM part GROUP BY 1")
+def text_tree(t: Tables) -> DataFrame:
+    """The files of a folder, each whole."""
+    return files.read_tree(t.spark, _brand_files(t), "*.txt").select(_brand_of("path"), "text")
+
+
+@query("""
+WITH f AS (SELECT p_brand AS brand, string_agg(p_name, ',' ORDER BY p_name) || chr(10) AS text FROM part GROUP BY 1)
+SELECT brand, strlen(text) AS size, sha256(text) AS sha256 FROM f""")
+def release_files(t: Tables) -> DataFrame:
+    """Sizes and hashes of the files of a release."""
+    return files.file_inventory(t.spark, _brand_files(t), "*.txt").select(_brand_of("path"), "size", "sha256")
+
+
+@query("""
+WITH r AS (SELECT p_partkey, p_brand, p_type, p_size % 5 AS o, CASE WHEN p_partkey % 10 = 0 THEN 'Value TBD' ELSE p_name END AS txt FROM part)
+SELECT 'order_collision' AS rule, count(*) AS n FROM (SELECT p_brand, o FROM r GROUP BY 1, 2 HAVING count(DISTINCT p_type) > 1)
+UNION ALL SELECT 'exact_repeat', sum(c - 1)::BIGINT FROM (SELECT count(*) AS c FROM r GROUP BY p_brand, p_type, o, txt HAVING count(*) > 1)
+UNION ALL SELECT 'script_mismatch', count(*) FROM r WHERE p_partkey % 3 = 0 UNION ALL SELECT 'bad_slot_key', count(*) FROM r WHERE p_partkey % 7 = 0 UNION ALL SELECT 'suspect_value', count(*) FROM r WHERE p_partkey % 10 = 0""")
+def section_audit(t: Tables) -> DataFrame:
+    """Findings on sections, counted by rule: shared orders, repeats, text in the wrong script, malformed slots, unfinished values."""
+    k = F.col("p_partkey")
+    rows = t.part.select(
+        k.alias("line"), F.col("p_brand").alias("doc"), F.col("p_type").alias("section"), (F.col("p_size") % 5).cast("string").alias("ord"), F.when(k % 10 == 0, "Value TBD").otherwise(F.col("p_name")).alias("txt"),
+        F.when(k % 7 == 0, "bad slot!").otherwise("a.b").alias("slot"), F.when(k % 3 == 0, "zh").otherwise("en").alias("lang"),
+    )
+    return records.section_audit(rows, ["doc"], "section", "ord", "txt", "slot", "lang", "line").groupBy("rule").agg(F.count("*").alias("n"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'new ' || p_brand ELSE p_name END AS v FROM part")
+def repaired_cells(t: Tables) -> DataFrame:
+    """Cells replaced from a repair list by brand and size, which lists some of them twice; the least replacement wins."""
+    listed = t.part.where("p_size % 4 = 0").select("p_brand", "p_size", F.explode(F.array(F.concat(F.lit("new "), "p_brand"), F.concat(F.lit("newer "), "p_brand"))).alias("replacement"))
+    return quality.repaired(t.part.select("p_partkey", "p_brand", "p_size", F.col("p_name").alias("v")), listed, ["p_brand", "p_size"], "v").select("p_partkey", "v")
+
+
 @contextmanager
 def _state_store(t: Tables):  # noqa: ANN202
     """The session with the state store that stateful processors need, and as it was afterwards."""
