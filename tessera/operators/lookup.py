@@ -8,6 +8,7 @@ only where every rank is asked for.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -21,12 +22,14 @@ from tessera.functions.values import flag, version_key
 from tessera.operators.predicates import applies, page_applies
 
 
-def small(df: DataFrame, most: int = 50_000) -> DataFrame:
-    """df, marked for broadcast if it is counted to have at most `most` rows; a larger one is left to the planner.
+def small(df: DataFrame, most: int = 50_000, most_bytes: int = 64 << 20) -> DataFrame:
+    """df, marked for broadcast if it is measured to have at most `most` rows and most_bytes of text; a larger one is left to the planner.
 
     For rule and copy tables that join on few keys: without it, all rows of a fact table meet in those keys' partitions.
     """
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    size = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns])
+    n, held = df.limit(most + 1).agg(F.count("*"), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
+    return F.broadcast(df) if n <= most and held <= most_bytes else df
 
 
 def best_per_key(df: DataFrame, keys: Sequence[str], better: Sequence[Column], pos: str, found_at: str | None = None) -> DataFrame:

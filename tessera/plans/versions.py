@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import values
-from tessera.operators import align, checks, postings, quality, records
+from tessera.operators import align, checks, lineage, postings, quality, records
 from tessera.plans.registry import Tables, query
 from tessera.sources import files
 from tessera.streaming import claims
@@ -173,6 +173,18 @@ def repaired_cells(t: Tables) -> DataFrame:
     return quality.repaired(t.part.select("p_partkey", "p_brand", "p_size", F.col("p_name").alias("v")), listed, ["p_brand", "p_size"], "v").select("p_partkey", "v")
 
 
+@query("""
+WITH RECURSIVE l AS (SELECT DISTINCT 'p' || p_partkey AS node, 's' || p_size AS source FROM part UNION SELECT DISTINCT 's' || p_size, 's' || (p_size // 2) FROM part WHERE p_size > 1),
+w(root, node) AS (SELECT 'p' || p_partkey, 'p' || p_partkey FROM part UNION SELECT root, source FROM w JOIN l USING (node))
+SELECT root, node FROM w""")
+def file_lineage(t: Tables) -> DataFrame:
+    """All that a release's files were made from: each part from its size's sheet, each sheet from that of half the size."""
+    name = lambda mark, c: F.concat(F.lit(mark), c.cast("string"))
+    parts = t.part.select(name("p", F.col("p_partkey")).alias("node"), name("s", F.col("p_size")).alias("source"))
+    sheets = t.part.where("p_size > 1").select(name("s", F.col("p_size")).alias("node"), name("s", F.floor(F.col("p_size") / 2)).alias("source"))
+    return lineage.sources_of(parts.select(F.col("node").alias("root")), parts.unionByName(sheets), t.folder()).select("root", "node")
+
+
 @contextmanager
 def _state_store(t: Tables):  # noqa: ANN202
     """The session with the state store that stateful processors need, and as it was afterwards."""
