@@ -173,6 +173,6 @@ def test_refreshed_texts_keep_what_a_reviewer_wrote(spark):
     side = lambda **docs: spark.createDataFrame(list(docs.items()), "k string, t string")
     template = side(p="Title\n\nPower |WATTS| W\nMass |KG| kg\nEnd\n", q="|AA|\n")
     built = side(p="Title\n\nPower 300 W\nMass 9 kg\nEnd\n", q="one\n", fresh="all new\n")
-    review = side(p="Title, edited\n\nPower 200 W\nA note\nMass about 8 kg\nEnd", own="mine\n")
+    review = side(p="Title, edited\n\nPower 200 W\nA note\nA mass of 8 kg\nEnd", own="mine\n")
     got = {r.key: r.text for r in align.refreshed(template, built, review, "k", "t").collect()}
-    assert got == {"p": "Title, edited\n\nPower 300 W\nA note\nMass about 8 kg\nEnd", "q": "one\n", "fresh": "all new\n", "own": "mine\n"}
+    assert got == {"p": "Title, edited\n\nPower 300 W\nA note\nA mass of 8 kg\nEnd", "q": "one\n", "fresh": "all new\n", "own": "mine\n"}
