@@ -117,7 +117,7 @@ def many_searches(t: Tables) -> DataFrame:
     """The five best manuals of each of many questions with a facet, by postings, in one job."""
     rows = t.part.select("p_partkey", "p_brand", F.split("p_name", " ").alias("models"), "p_name", F.array("p_type").alias("kind"))
     out = t.folder()
-    postings.prepared(rows, "p_partkey", ["p_brand", "models"], ["p_name"], ["kind"]).write.parquet(f"{out}/manuals")
+    postings.merged(postings.prepared(rows, "p_partkey", ["p_brand", "models"], ["p_name"], ["kind"]), 5).write.parquet(f"{out}/manuals")
     manuals = t.spark.read.parquet(f"{out}/manuals")
     postings.postings(manuals).write.parquet(f"{out}/grams")
     said = t.part.select(F.concat_ws(" ", F.get(F.split("p_name", " "), F.lit(0)), (F.col("p_size") % 30).cast("string")).alias("text"), F.col("p_type").alias("kind")).distinct()
