@@ -196,10 +196,13 @@ def blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def section(blocks_df: DataFrame, title: str) -> DataFrame:
     """The blocks from a heading of that title (letter case aside) to the next of its level or above, per document."""
-    start = blocks_df.where((F.col("kind") == "heading") & (F.lower("norm") == title.strip().lower())).groupBy("key").agg(F.min(F.struct("line_no", "heading_level")).alias("s"))
-    heads = blocks_df.where("kind = 'heading'").join(start, "key").where((F.col("line_no") > F.col("s.line_no")) & (F.col("heading_level") <= F.col("s.heading_level")))
-    stop = heads.groupBy("key").agg(F.min("line_no").alias("stop"))
-    return blocks_df.join(start, "key").join(stop, "key", "left").where((F.col("line_no") >= F.col("s.line_no")) & (F.col("stop").isNull() | (F.col("line_no") < F.col("stop")))).select(*blocks_df.columns)
+    # windows over a document's blocks, which blocks() has laid together: a join by document would be planned by the size of the pages' file
+    by, head = W.partitionBy("key"), F.col("kind") == "heading"
+    start = F.min(F.when(head & (F.lower("norm") == title.strip().lower()), F.struct("line_no", "heading_level"))).over(by)
+    stop = F.min(F.when(head & (F.col("line_no") > F.col("__s.line_no")) & (F.col("heading_level") <= F.col("__s.heading_level")), F.col("line_no"))).over(by)
+    placed = blocks_df.where("key is not null").withColumn("__s", start).where("__s is not null").withColumn("__stop", stop)
+    inside = (F.col("line_no") >= F.col("__s.line_no")) & (F.col("__stop").isNull() | (F.col("line_no") < F.col("__stop")))
+    return placed.where(inside).select(*blocks_df.columns)
 
 
 def _line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -212,3 +212,12 @@ def test_field_entries(spark):
     page = "Power\n=====\n:Input: 5 V\n:Input: 9 V\n:Empty:\n\nSize\n----\n* - Width\n  - 10 cm\n"
     got = files.field_entries(spark.createDataFrame([("p", page)], "k string, t string"), "k", "t").orderBy("pos").collect()
     assert [(r.section, r.shown, r.value) for r in got] == [("Power", "Input", "5 V"), ("Power", "Input #2", "9 V"), ("Size", "Width", "10 cm")]
+
+
+def test_sections_go_through_no_join(spark):
+    """However small the pages' file is planned to be: no row a document is sent to the driver. A page in parts of equal lines, one without the title, and a null key."""
+    page = "# One\n\n## Two\ntext\n### Deep\n## Two\nlast"
+    docs = spark.createDataFrame([("a", page), ("b", "# Other\nx"), ("c", "two\n# TWO \ny"), (None, page)], "k string, t string")
+    found = files.section(files.blocks(docs, "k", "t"), "two")
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [(r.key, r.line_no) for r in found.orderBy("key", "line_no").collect()] == [("a", 2), ("a", 3), ("a", 4), ("c", 1), ("c", 2)]
