@@ -15,11 +15,12 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -183,6 +184,43 @@ def pieces(a: list, b: list) -> tuple[list[Run], list[tuple[int, int, int, int]]
 _RUN = "key string, i long, j long, n long"
 
 
+#: A gap of at most so many steps is solved where it is found, instead of being dealt.
+_STEPS = 1 << 12
+
+
+def _solved(at: list[int], a: list[int], bt: list[int], b: list[int]) -> list[Run]:
+    """The runs of a gap's entries, which lie at places at and bt."""
+    return joined([(at[i + k], bt[j + k], 1) for i, j, n in common_runs(a, b) for k in range(n)])
+
+
+def _laid(a: list[int], b: list[int]) -> Iterator[tuple]:
+    """(i, j, n, None, None) for each run of two sequences of hashes, (None, None, None, [places, hashes], [places, hashes]) for each gap left to solve."""
+    head, end = 0, min(len(a), len(b))
+    while head < end and a[head] == b[head]:
+        head += 1
+    tail, end = 0, end - head
+    while tail < end and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    if head:  # an equal start or end is always safe
+        yield 0, 0, head, None, None
+    if tail:
+        yield len(a) - tail, len(b) - tail, tail, None, None
+    mid_a, mid_b = a[head : len(a) - tail], b[head : len(b) - tail]
+    in_a, in_b = set(mid_a), set(mid_b)
+    if in_a.isdisjoint(in_b):
+        return
+    ai, bi = [head + i for i, h in enumerate(mid_a) if h in in_b], [head + j for j, h in enumerate(mid_b) if h in in_a]
+    ah, bh = [a[i] for i in ai], [b[j] for j in bi]
+    runs, gaps = pieces(ah, bh)
+    for i, j, n in runs:  # back to places in the whole sequences: entries of one side alone part a run
+        yield from ((*run, None, None) for run in joined([(ai[i + k], bi[j + k], 1) for k in range(n)]))
+    for i0, i1, j0, j1 in gaps:
+        if (i1 - i0) * (j1 - j0) <= _STEPS:
+            yield from ((*run, None, None) for run in _solved(ai[i0:i1], ah[i0:i1], bi[j0:j1], bh[j0:j1]))
+        else:
+            yield None, None, None, [ai[i0:i1], ah[i0:i1]], [bi[j0:j1], bh[j0:j1]]
+
+
 def matches(old: DataFrame, new: DataFrame, key: str, pos: str, token: Column) -> DataFrame:
     """(key, i, j, n): runs of n entries from old place i and new place j on that match, on one minimal edit script a key.
 
@@ -191,40 +229,39 @@ def matches(old: DataFrame, new: DataFrame, key: str, pos: str, token: Column) -
     """
     cut = lambda df, side: df.select(F.col(key).cast("string").alias("key"), F.lit(side).alias("side"), F.col(pos).alias("pos"), F.xxhash64(token.isNull(), token).alias("h"))
     both = cut(old, 0).unionByName(cut(new, 1)).where("key is not null")
-
-    def skeleton(table: pa.Table) -> pa.Table:
-        side, pos, h = (table.column(c).to_numpy() for c in ("side", "pos", "h"))
-        a_at, b_at = (np.flatnonzero(side == s) for s in (0, 1))
-        a, b = (h[at[np.argsort(pos[at], kind="stable")]] for at in (a_at, b_at))
-        ai, bi = np.flatnonzero(np.isin(a, b)), np.flatnonzero(np.isin(b, a))
-        ah, bh = a[ai].tolist(), b[bi].tolist()
-        runs, gaps = pieces(ah, bh)
-        cols: list[list] = [[], [], [], [], []]
-        for i, j, n in runs:  # back to places in the whole sequences: entries of one side alone part a run
-            at, bt = ai[i : i + n], bi[j : j + n]
-            starts = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (np.diff(bt) != 1)))
-            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), n], strict=True):
-                for c, v in zip(cols, (int(at[s]), int(bt[s]), e - s, None, None), strict=True):
-                    c.append(v)
-        for i0, i1, j0, j1 in gaps:
-            for c, v in zip(cols, (None, None, None, [ai[i0:i1].tolist(), ah[i0:i1]], [bi[j0:j1].tolist(), bh[j0:j1]]), strict=True):
-                c.append(v)
-        name = table.column("key")[0].as_py()
-        lists = pa.list_(pa.list_(pa.int64()))
-        return pa.table([pa.array([name] * len(cols[0]), pa.string()), *[pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), lists, lists), strict=True)]], names=["key", "i", "j", "n", "a", "b"])
-
-    laid = both.groupBy("key").applyInArrow(skeleton, f"{_RUN}, a array<array<long>>, b array<array<long>>")
+    # a row a key, so that one batch takes many short documents; a batch of long ones is bounded by its bytes
+    rows = both.groupBy("key").agg(F.count_if(F.col("side") == 0).cast("int").alias("m"), F.sort_array(F.collect_list(F.struct("side", "pos", "h"))).alias("x"))
+    pairs = rows.where((F.col("m") > 0) & (F.col("m") < F.size("x"))).select("key", "m", F.transform("x", lambda x: x["h"]).alias("h"))
+    lists = pa.list_(pa.list_(pa.int64()))
+    kinds = (pa.string(), *[pa.int64()] * 3, lists, lists)
+
+    def skeleton(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "i", "j", "n", "a", "b"]
+        for batch in batches:
+            held, cols = 0, [[] for _ in kinds]
+            at, h = batch.column(2).offsets.to_pylist(), batch.column(2).values.to_numpy(zero_copy_only=False)
+            for name, m, lo, hi in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), at, at[1:]):
+                for row in _laid(h[lo : lo + m].tolist(), h[lo + m : hi].tolist()):
+                    for c, v in zip(cols, (name, *row), strict=True):
+                        c.append(v)
+                held += hi - lo
+                if held > 1 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+                    held, cols = 0, [[] for _ in kinds]
+            if cols[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+
+    laid = pairs.mapInArrow(skeleton, f"{_RUN}, a array<array<long>>, b array<array<long>>")
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            known = pc.is_null(batch.column("a"))
+            if pc.any(known).as_py():
+                yield pa.RecordBatch.from_arrays([batch.column(c).filter(known) for c in range(4)], ["key", "i", "j", "n"])
             out: list[tuple] = []
-            for r in batch.to_pylist():
-                if r["a"] is None:
-                    out.append((r["key"], r["i"], r["j"], r["n"]))
-                    continue
+            for r in batch.filter(pc.invert(known)).to_pylist():
                 (at, a), (bt, b) = r["a"], r["b"]
-                single = [(at[i + k], bt[j + k], 1) for i, j, n in common_runs(a, b) for k in range(n)]
-                out += [(r["key"], *run) for run in joined(single)]
+                out += [(r["key"], *run) for run in _solved(at, a, bt, b)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), *[pa.int64()] * 3), strict=True)], ["key", "i", "j", "n"])
 
@@ -232,6 +269,11 @@ def matches(old: DataFrame, new: DataFrame, key: str, pos: str, token: Column) -
     return dealt.mapInArrow(solve, _RUN)
 
 
+def _met(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join by keys and places, sorted and merged: planned by the texts' file, much smaller than rows a line, it would be a broadcast."""
+    return left.join(right.hint("merge"), list(on), how)
+
+
 def _numbered(df: DataFrame, key: str, pos: str, *extra: Column) -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), (F.row_number().over(W.partitionBy(F.col(key).cast("string")).orderBy(pos)) - 1).cast("long").alias("at"), F.col(pos).cast("int").alias("pos"), *extra)
 
@@ -246,7 +288,7 @@ def line_counts(old: DataFrame, new: DataFrame, key: str, text: str) -> DataFram
     size = lambda df, name: df.groupBy("key").agg(F.count("*").alias(name))
     kept = matches(a, b, "key", "pos", F.col("line")).groupBy("key").agg(F.sum("n").alias("kept"))
     keys = old.select(F.col(key).cast("string").alias("key")).unionByName(new.select(F.col(key).cast("string").alias("key"))).distinct()
-    total = keys.join(size(a, "a"), "key", "left").join(size(b, "b"), "key", "left").join(kept, "key", "left").na.fill(0, ["a", "b", "kept"])
+    total = _met(_met(_met(keys, size(a, "a"), ["key"], "left"), size(b, "b"), ["key"], "left"), kept, ["key"], "left").na.fill(0, ["a", "b", "kept"])
     return total.select("key", (F.col("b") - F.col("kept")).alias("added"), (F.col("a") - F.col("kept")).alias("removed"))
 
 
@@ -262,7 +304,7 @@ def changes(old: DataFrame, new: DataFrame, key: str, pos: str, token: Column) -
     """
     runs = matches(old, new, key, pos, token)
     n = lambda df, name: df.groupBy(F.col(key).cast("string").alias("key")).agg(F.count("*").alias(name))
-    sizes = n(old, "a").join(n(new, "b"), "key", "full").na.fill(0, ["a", "b"])
+    sizes = _met(n(old, "a"), n(new, "b"), ["key"], "full").na.fill(0, ["a", "b"])
     ends = sizes.select("key", F.col("a").alias("i"), F.col("b").alias("j"), F.lit(0).cast("long").alias("n"))
     by = W.partitionBy("key").orderBy("i", "j", "n")
     before = lambda c: F.coalesce(F.lag(F.col(c) + F.col("n")).over(by), F.lit(0).cast("long"))
@@ -280,7 +322,7 @@ def block_diff(old: DataFrame, new: DataFrame, key: str, text: str, pos: str, to
     near = lambda step: F.coalesce(step(text).over(W.partitionBy(F.col(key).cast("string")).orderBy(pos)), F.lit(""))
     side = lambda df, s: _numbered(df, key, pos, F.col(text).alias("text"), near(F.lag).alias("before"), near(F.lead).alias("after")).select(F.col("key"), *[F.col(c).alias(f"{s}_{c}") for c in ("at", "pos", "text", "before", "after")])
     found = changes(old, new, key, pos, token)
-    met = found.join(side(old, "old"), ["key", "old_at"], "left").join(side(new, "new"), ["key", "new_at"], "left")
+    met = _met(_met(found, side(old, "old"), ["key", "old_at"], "left"), side(new, "new"), ["key", "new_at"], "left")
     pick = lambda c: F.when(F.col("new_at").isNull(), F.col(f"old_{c}")).otherwise(F.col(f"new_{c}")).alias(c)
     return met.select("key", "kind", "old_pos", "new_pos", "old_text", "new_text", pick("before"), pick("after"))
 
@@ -295,14 +337,14 @@ def merged3(base: DataFrame, ours: DataFrame, theirs: DataFrame, key: str, text:
     lines = lambda df: df.select(F.col(key).cast("string").alias("key"), F.posexplode(_lines(F.col(text))).alias("at", "line"))
     b, o, t = (lines(df).withColumn("at", F.col("at").cast("long")) for df in (base, ours, theirs))
     each = lambda side, name: matches(b, side, "key", "at", F.col("line")).select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k"), "i", "j").select("key", (F.col("i") + F.col("k")).alias("at"), (F.col("j") + F.col("k")).alias(name))
-    stable = each(o, "o").join(each(t, "t"), ["key", "at"])
+    stable = _met(each(o, "o"), each(t, "t"), ["key", "at"])
     # the chunk before each stable line, and one behind the last; a stable line belongs to no chunk
     order = W.partitionBy("key").orderBy("at")
     numbered = stable.withColumn("chunk", F.row_number().over(order).cast("long"))
     parts = []
     for side, df, at in (("base", b, "at"), ("ours", o, "o"), ("theirs", t, "t")):
         marks = numbered.select("key", F.col(at).alias("at"), "chunk")
-        laid = df.join(marks, ["key", "at"], "left").withColumn("upto", F.coalesce(F.max("chunk").over(order), F.lit(0)))
+        laid = _met(df, marks, ["key", "at"], "left").withColumn("upto", F.coalesce(F.max("chunk").over(order), F.lit(0)))
         parts.append(laid.select("key", F.lit(side).alias("side"), F.when(F.col("chunk").isNotNull(), F.col("chunk") * 2 - 1).otherwise(F.col("upto") * 2).alias("chunk"), "at", "line"))
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
     held = lambda side: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("at", "line")))), lambda x: x["line"])
@@ -354,7 +396,7 @@ def _mapped(base: DataFrame, side: DataFrame, name: str) -> DataFrame:
     """(key, at, name): the line of a side that stands for each base line: its match, or within a changed stretch the line as far along."""
     runs = matches(base, side, "key", "at", F.col("line"))
     n = lambda df, c: df.groupBy("key").agg(F.count("*").alias(c))
-    ends = n(base, "i").join(n(side, "j"), "key").select("key", "i", "j", F.lit(0).cast("long").alias("n"))
+    ends = _met(n(base, "i"), n(side, "j"), ["key"]).select("key", "i", "j", F.lit(0).cast("long").alias("n"))
     by = W.partitionBy("key").orderBy("i", "j", "n")
     before = lambda c: F.coalesce(F.lag(F.col(c) + F.col("n")).over(by), F.lit(0).cast("long"))
     laid = runs.unionByName(ends).select("key", "i", "j", "n", before("i").alias("i0"), before("j").alias("j0"))
@@ -375,12 +417,12 @@ def refreshed(template: DataFrame, built: DataFrame, review: DataFrame, key: str
     lines = lambda df: df.select(F.col(key).cast("string").alias("key"), F.posexplode(_lines(F.col(text))).alias("at", "line")).withColumn("at", F.col("at").cast("long"))
     t, b, r = lines(template), lines(built), lines(review)
     slots = t.where(F.col("line").rlike(SLOT)).select("key", "at", F.col("line").alias("template"))
-    met = slots.join(_mapped(t, b, "b"), ["key", "at"]).join(_mapped(t, r, "r"), ["key", "at"])
-    met = met.join(b.select("key", F.col("at").alias("b"), F.col("line").alias("built")), ["key", "b"]).select("key", F.col("r").alias("at"), F.struct(F.col("at").alias("first"), "template", "built").alias("x"))
+    met = _met(_met(slots, _mapped(t, b, "b"), ["key", "at"]), _mapped(t, r, "r"), ["key", "at"])
+    met = _met(met, b.select("key", F.col("at").alias("b"), F.col("line").alias("built")), ["key", "b"]).select("key", F.col("r").alias("at"), F.struct(F.col("at").alias("first"), "template", "built").alias("x"))
     # several template lines can stand for one reviewed line: the last that fits it wins, so each is tried on the line as reviewed
-    tried = met.join(r, ["key", "at"]).withColumn("new", _refreshed("x.template", "x.built", "line")).where("new <> line").groupBy("key", "at").agg(F.max_by("new", "x.first").alias("new"))
-    done = r.join(tried, ["key", "at"], "left").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("new", "line").alias("line")))).alias("all"))
+    tried = _met(met, r, ["key", "at"]).withColumn("new", _refreshed("x.template", "x.built", "line")).where("new <> line").groupBy("key", "at").agg(F.max_by("new", "x.first").alias("new"))
+    done = _met(r, tried, ["key", "at"], "left").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("new", "line").alias("line")))).alias("all"))
     ends = review.select(F.col(key).cast("string").alias("key"), F.col(text).endswith("\n").alias("ended"), F.col(text).alias("was"))
-    own = ends.join(done, "key", "left").select("key", F.coalesce(F.concat(F.array_join(F.transform("all", lambda x: x["line"]), "\n"), F.when(F.col("ended"), "\n").otherwise("")), F.col("was")).alias("text"))
-    fresh = built.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")).join(ends, "key", "left_anti")
+    own = _met(ends, done, ["key"], "left").select("key", F.coalesce(F.concat(F.array_join(F.transform("all", lambda x: x["line"]), "\n"), F.when(F.col("ended"), "\n").otherwise("")), F.col("was")).alias("text"))
+    fresh = _met(built.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")), ends, ["key"], "left_anti")
     return own.unionByName(fresh)

@@ -176,3 +176,19 @@ def test_refreshed_texts_keep_what_a_reviewer_wrote(spark):
     review = side(p="Title, edited\n\nPower 200 W\nA note\nA mass of 8 kg\nEnd", own="mine\n")
     got = {r.key: r.text for r in align.refreshed(template, built, review, "k", "t").collect()}
     assert got == {"p": "Title, edited\n\nPower 300 W\nA note\nA mass of 8 kg\nEnd", "q": "one\n", "fresh": "all new\n", "own": "mine\n"}
+
+
+def test_no_row_a_text_is_broadcast_or_a_python_call(spark, tmp_path):
+    """Texts of a small file are planned as small; what is joined by key and line must not go to the driver for that, and short texts share a batch."""
+    path = str(tmp_path / "t")
+    spark.range(50).selectExpr("cast(id as string) as k", "concat('Title', chr(10), 'Name: |NAME|', chr(10), 'End ', id, chr(10)) as t").write.parquet(path)
+    t = spark.read.parquet(path)
+    built = t.withColumn("t", F.replace(F.col("t"), F.lit("|NAME|"), F.lit("new")))
+    review = t.withColumn("t", F.concat(F.lit("Note\n"), F.replace(F.col("t"), F.lit("|NAME|"), F.lit("old"))))
+    made = [align.refreshed(t, built, review, "k", "t"), align.merged3(t, built, review, "k", "t"), align.line_counts(t, built, "k", "t"), align.block_diff(*(x.select("k", F.posexplode(F.split("t", "\n")).alias("i", "t")) for x in (t, built)), "k", "t", "i", F.col("t"))]
+    for df in made:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan and "FlatMapGroups" not in plan
+    got = {r.key: r.text for r in made[0].collect()}
+    assert got == {str(i): f"Note\nTitle\nName: new\nEnd {i}\n" for i in range(50)}
+    assert made[1].where("origin = 'base'").groupBy("key").count().where("count = 2").count() == 50
