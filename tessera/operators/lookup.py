@@ -308,17 +308,15 @@ def base_and_override(assets: DataFrame, requests: DataFrame) -> DataFrame:
 
     assets: asset_key, scope, asset; requests: request_id, asset_key, model.
     """
-    hits = requests.join(small(assets), "asset_key")
-    general = filled("scope").isNull() | (F.upper(F.trim("scope")) == "ALL")
-    own = ~general & applies("scope", "model", "asset")
-    tally = hits.groupBy("request_id").agg(
-        F.count_if(own).alias("n_own"), F.max(F.when(own, F.struct("asset", "scope"))).alias("own"),
-        F.count_if(general).alias("n_base"), F.min(F.when(general, F.struct("asset", "scope"))).alias("base"),
-    )
-    n = F.when(F.col("n_own") > 0, F.col("n_own")).otherwise(F.col("n_base"))
-    pick = F.when(n == 1, F.coalesce("own", "base"))
-    found = tally.select("request_id", pick["asset"].alias("asset"), pick["scope"].alias("scope"), F.when(n > 1, "ambiguous").when(n == 1, "found").otherwise("missing").alias("status"))
-    return requests.select("request_id").join(found, "request_id", "left").withColumn("status", F.coalesce("status", F.lit("missing")))
+    # a key's rows in one array, so that a request is settled in its own row: no rows a request times assets to sort
+    by_key = small(assets.groupBy("asset_key").agg(F.collect_list(F.struct("asset", "scope")).alias("__rows")))
+    general = lambda r: filled(r["scope"]).isNull() | (F.upper(F.trim(r["scope"])) == "ALL")
+    met = requests.join(by_key, "asset_key", "left")
+    own = F.filter("__rows", lambda r: ~general(r) & applies(r["scope"], F.col("model"), "asset"))
+    held = met.select("request_id", own.alias("own"), F.filter("__rows", general).alias("base"))
+    hits = held.select("request_id", F.when(F.size("own") > 0, F.col("own")).otherwise(F.coalesce("base", F.array())).alias("hits"))
+    n, pick = F.size("hits"), F.when(F.size("hits") == 1, F.get("hits", F.lit(0)))
+    return hits.select("request_id", pick["asset"].alias("asset"), pick["scope"].alias("scope"), F.when(n > 1, "ambiguous").when(n == 1, "found").otherwise("missing").alias("status"))
 
 
 def candidate_actions(candidates: DataFrame, snapshot: DataFrame, keys: Sequence[str], narrow: Sequence[str], fields: Sequence[str], ref: str) -> DataFrame:

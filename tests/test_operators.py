@@ -199,3 +199,17 @@ def test_broken_json_is_a_leaf(spark):
     df = lambda t: spark.createDataFrame([(1, t), (2, '{"a": 1}')], "k int, t string")
     got = diff.tree_diff(df("{broken"), df("[1]"), "k", "t").collect()
     assert sorted((r.key, r.op, r.path, r.value) for r in got) == [("1", "add", "/0", "1"), ("1", "remove", "", None)]
+
+
+def test_asset_overrides_are_settled_in_the_request_row(spark):
+    """No row a request times assets that have to be sorted; requests without a key, a model or an asset too."""
+    assets = spark.createDataFrame([("logo", " all", "base"), ("logo", "A,B", "ab"), ("logo", "b", "b"), ("icon", None, "i1"), ("icon", "", "i2"), ("own", "A", None)], "asset_key string, scope string, asset string")
+    asked = spark.createDataFrame([(1, "logo", "a"), (2, "logo", "B"), (3, "logo", "C"), (4, "logo", None), (5, "icon", "A"), (6, "none", "A"), (7, None, "A"), (8, "own", "A"), (9, "own", "B"), (None, "logo", "A")], "request_id int, asset_key string, model string")
+    found = lookup.base_and_override(assets, asked)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    got = {r.request_id: (r.asset, r.scope, r.status) for r in found.collect()}
+    assert got == {
+        1: ("ab", "A,B", "found"), 2: (None, None, "ambiguous"), 3: ("base", " all", "found"), 4: ("base", " all", "found"), 5: (None, None, "ambiguous"), 6: (None, None, "missing"),
+        7: (None, None, "missing"), 8: (None, "A", "found"), 9: (None, None, "missing"), None: ("ab", "A,B", "found"),
+    }
