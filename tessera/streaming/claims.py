@@ -75,10 +75,12 @@ class _Pending(StatefulProcessor):
         self.held = handle.getValueState("held", "payload string, expires long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        held = self.held.get() if self.held.exists() else None
-        was, out = held, []
-        for kind, payload, ttl, at in _in_order(rows, ["at", "order"])[["kind", "payload", "ttl", "at"]].itertuples(index=False):
-            now = int(pd.Timestamp(at).timestamp() * 1000)
+        # a call of the state is a round trip, and most keys have few rows in a batch: as few calls as will do, and no frames for sorting
+        was = self.held.get()
+        held, out = was, []
+        took = [r for b in rows for r in zip(b["at"], b["order"], b["kind"], b["payload"], b["ttl"], strict=True)]
+        for at, _, kind, payload, ttl in sorted(took, key=lambda r: r[:2]):
+            now = int(at.timestamp() * 1000)
             if kind == "remember":
                 held = (payload or "", now + int(ttl * 1000))
             elif kind == "consume":
@@ -87,14 +89,16 @@ class _Pending(StatefulProcessor):
                 held = None
             elif kind == "clear":
                 held = None
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if held is not None:
+        if was is not None and (held is None or held[1] != was[1]):
+            self.handle.deleteTimer(was[1])
+        if held is not None and held is not was:
             self.held.update(tuple(held))
-            self.handle.registerTimer(held[1])
-        elif was is not None:
+            if was is None or held[1] != was[1]:
+                self.handle.registerTimer(held[1])
+        elif held is None and was is not None:
             self.held.clear()
-        yield pd.DataFrame(out, columns=["chat_id", "sender_id", "at", "matched", "payload"])
+        if out:
+            yield pd.DataFrame(out, columns=["chat_id", "sender_id", "at", "matched", "payload"])
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         self.held.clear()
