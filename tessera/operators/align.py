@@ -7,7 +7,8 @@ insert them all. So such stretches cut a document into pieces that are minimal e
 bound of its own, until nothing cuts any more. A piece whose alignment meets the lower bound (entries less common ones) is done; the
 others are gaps, rows of their own that are dealt to all tasks and solved exactly by bit-parallel longest common subsequences.
 
-Only a document's hashes (8 bytes an entry) meet in one task, for the anchors, in linear memory; gaps take n m / 64 steps.
+Only a document's hashes (8 bytes an entry) meet in one task, for the anchors, in linear memory; gaps take n m / 64 steps. A three-way merge
+brings the three texts of a key together in one row.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf, pandas_udf
 
 Run = tuple[int, int, int]  # start in the old side, start in the new side, length
 
@@ -231,7 +232,11 @@ def matches(old: DataFrame, new: DataFrame, key: str, pos: str, token: Column) -
     both = cut(old, 0).unionByName(cut(new, 1)).where("key is not null")
     # a row a key, so that one batch takes many short documents; a batch of long ones is bounded by its bytes
     rows = both.groupBy("key").agg(F.count_if(F.col("side") == 0).cast("int").alias("m"), F.sort_array(F.collect_list(F.struct("side", "pos", "h"))).alias("x"))
-    pairs = rows.where((F.col("m") > 0) & (F.col("m") < F.size("x"))).select("key", "m", F.transform("x", lambda x: x["h"]).alias("h"))
+    return _aligned(rows.where((F.col("m") > 0) & (F.col("m") < F.size("x"))).select("key", "m", F.transform("x", lambda x: x["h"]).alias("h")))
+
+
+def _aligned(pairs: DataFrame) -> DataFrame:
+    """matches() of (key, m, h): the hashes of both sides in one list, the old side's m first."""
     lists = pa.list_(pa.list_(pa.int64()))
     kinds = (pa.string(), *[pa.int64()] * 3, lists, lists)
 
@@ -327,36 +332,93 @@ def block_diff(old: DataFrame, new: DataFrame, key: str, text: str, pos: str, to
     return met.select("key", "kind", "old_pos", "new_pos", "old_text", "new_text", pick("before"), pick("after"))
 
 
+#: Where the lines of a merge come from; base's from base, theirs' and conflict_theirs' from theirs, all others from ours.
+ORIGINS = ("base", "ours", "theirs", "both", "conflict_ours", "conflict_theirs")
+
+#: Texts of at most so many bytes are merged where they meet; the gaps of longer ones are dealt.
+_WHOLE = 1 << 16
+
+
+def _merged(b: list, o: list, t: list, ours: list[Run], theirs: list[Run]) -> Iterator[tuple[int, int, int]]:
+    """(place in ORIGINS, start in that side, length) of the stretches of a merge, in order, by the runs that base and either side share."""
+    ours, theirs = sorted(ours), sorted(theirs)
+    stable, x, y = [], 0, 0
+    while x < len(ours) and y < len(theirs):
+        (i, j, n), (k, h, m) = ours[x], theirs[y]
+        lo, hi = max(i, k), min(i + n, k + m)
+        if lo < hi:
+            stable.append((lo, j + lo - i, h + lo - k, hi - lo))
+        x, y = (x + 1, y) if i + n < k + m else (x, y + 1)
+    b0 = o0 = t0 = 0
+    for b1, o1, t1, n in [*stable, (len(b), len(o), len(t), 0)]:
+        was, mine, other = b[b0:b1], o[o0:o1], t[t0:t1]
+        if mine == was:
+            kinds = (0,) if other == was else (2,)
+        else:
+            kinds = (1,) if other == was else (3,) if mine == other else (4, 5)
+        for kind in kinds:
+            start, end = (b0, b1) if kind == 0 else (t0, t1) if kind in (2, 5) else (o0, o1)
+            if start < end:
+                yield kind, start, end - start
+        if n:
+            yield 0, b1, n
+        b0, o0, t0 = b1 + n, o1 + n, t1 + n
+
+
+def _runs(a: list[int], b: list[int]) -> list[Run]:
+    """All runs of two sequences of hashes, gaps solved here."""
+    out: list[Run] = []
+    for i, j, n, old, new in _laid(a, b):
+        out += [(i, j, n)] if old is None else _solved(*old, *new)
+    return out
+
+
+@arrow_udf(T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("kind", "at", "n")])))
+def _stretches(loose: pa.Array, base: pa.Array, ours: pa.Array, theirs: pa.Array, runs_o: pa.Array, runs_t: pa.Array) -> pa.Array:
+    """_merged of the hashes of three texts a row: by runs where there are some, else aligned here; what is loose is not aligned."""
+    slots = [(x.offsets.to_pylist(), x.values.to_numpy(zero_copy_only=False)) for x in (base, ours, theirs)]
+    given = lambda x, r: [(d["i"], d["j"], d["n"]) for d in x[r].as_py()]
+    ends, cols = [0], ([], [], [])
+    for r, free in enumerate(loose.to_pylist()):
+        b, o, t = (h[at[r] : at[r + 1]].tolist() for at, h in slots)
+        found = ([], []) if free else [given(x, r) if x[r].is_valid else _runs(b, side) for x, side in ((runs_o, o), (runs_t, t))]
+        for row in _merged(b, o, t, *found):
+            for c, v in zip(cols, row, strict=True):
+                c.append(v)
+        ends.append(len(cols[0]))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in cols], ["kind", "at", "n"]))
+
+
 def merged3(base: DataFrame, ours: DataFrame, theirs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, at, line, origin): the three-way merge of texts by lines.
 
     Base lines that match on both sides are stable and cut a text into chunks. A chunk that one side left as it was takes the other
     side's lines; if both made the same of it, those; else all of ours, then all of theirs, with origin conflict_ours and
-    conflict_theirs. origin is otherwise base, ours, theirs or both. A side that lacks a key has an empty text.
+    conflict_theirs. origin is otherwise base, ours, theirs or both. A side that lacks a key has an empty text. Texts of one key on one side
+    follow one another, sorted. Texts of the null key are not aligned.
+
+    The three texts of a key meet in one row, and only their lines' hashes go to Python; what comes back are stretches, whose lines are cut from the texts.
     """
-    lines = lambda df: df.select(F.col(key).cast("string").alias("key"), F.posexplode(_lines(F.col(text))).alias("at", "line"))
-    b, o, t = (lines(df).withColumn("at", F.col("at").cast("long")) for df in (base, ours, theirs))
-    each = lambda side, name: matches(b, side, "key", "at", F.col("line")).select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k"), "i", "j").select("key", (F.col("i") + F.col("k")).alias("at"), (F.col("j") + F.col("k")).alias(name))
-    stable = _met(each(o, "o"), each(t, "t"), ["key", "at"])
-    # the chunk before each stable line, and one behind the last; a stable line belongs to no chunk
-    order = W.partitionBy("key").orderBy("at")
-    numbered = stable.withColumn("chunk", F.row_number().over(order).cast("long"))
-    parts = []
-    for side, df, at in (("base", b, "at"), ("ours", o, "o"), ("theirs", t, "t")):
-        marks = numbered.select("key", F.col(at).alias("at"), "chunk")
-        laid = _met(df, marks, ["key", "at"], "left").withColumn("upto", F.coalesce(F.max("chunk").over(order), F.lit(0)))
-        parts.append(laid.select("key", F.lit(side).alias("side"), F.when(F.col("chunk").isNotNull(), F.col("chunk") * 2 - 1).otherwise(F.col("upto") * 2).alias("chunk"), "at", "line"))
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    held = lambda side: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("at", "line")))), lambda x: x["line"])
-    chunks = rows.groupBy("key", "chunk").agg(*[held(s).alias(s) for s in ("base", "ours", "theirs")])
-    tag = lambda lines, name: F.transform(lines, lambda x: F.struct(x.alias("line"), F.lit(name).alias("origin")))
-    same_o, same_t = F.col("ours") == F.col("base"), F.col("theirs") == F.col("base")
-    picked = (
-        F.when(same_o & same_t, tag(F.col("base"), "base")).when(same_o, tag(F.col("theirs"), "theirs")).when(same_t, tag(F.col("ours"), "ours"))
-        .when(F.col("ours") == F.col("theirs"), tag(F.col("ours"), "both")).otherwise(F.concat(tag(F.col("ours"), "conflict_ours"), tag(F.col("theirs"), "conflict_theirs")))
-    )
-    out = chunks.select("key", "chunk", F.posexplode(picked).alias("k", "x"))
-    return out.select("key", (F.row_number().over(W.partitionBy("key").orderBy("chunk", "k")) - 1).alias("at"), "x.line", "x.origin")
+    names, runs, on = ("base", "ours", "theirs"), "array<struct<i: bigint, j: bigint, n: bigint>>", ["key", "loose"]
+    k = F.col(key).cast("string")  # without nulls in the keys of the joins, all of them read the texts by one exchange
+    sides = [df.select(F.coalesce(k, F.lit("")).alias("key"), k.isNull().alias("loose"), F.lit(s).alias("side"), F.col(text).alias("text")) for s, df in enumerate((base, ours, theirs))]
+    texts = sides[0].unionByName(sides[1]).unionByName(sides[2])
+    # keys with a text above the bound are few or none, which is known before the texts are read
+    wide = texts.where((F.octet_length("text") > _WHOLE) & ~F.col("loose")).select(on).distinct()
+    mine = lambda s: F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.col("text")))), _lines))
+    met = lambda how: _met(texts, wide, on, how).groupBy(on).agg(*[mine(s).alias(name) for s, name in enumerate(names)])
+    hashes = lambda s: F.transform(s, lambda x: F.xxhash64(x))
+    short = met("left_anti").select("*", F.lit(None).cast(runs).alias("runs_o"), F.lit(None).cast(runs).alias("runs_t"))
+    long = met("left_semi")
+    shared = [_aligned(long.select("key", F.size("base").alias("m"), F.concat(hashes("base"), hashes(s)).alias("h"))).withColumn("side", F.lit(s)) for s in names[1:]]
+    listed = lambda s: F.collect_list(F.when(F.col("side") == s, F.struct("i", "j", "n")))
+    found = shared[0].unionByName(shared[1]).groupBy("key").agg(listed("ours").alias("runs_o"), listed("theirs").alias("runs_t"))
+    solved = _met(long, found, ["key"], "left").select(*on, *names, *[F.coalesce(c, F.array().cast(runs)).alias(c) for c in ("runs_o", "runs_t")])
+    rows = short.unionByName(solved).select(*on, *names, _stretches("loose", *map(hashes, names), "runs_o", "runs_t").alias("made"))
+    side = lambda r: F.when(r["kind"] == 0, F.col("base")).when(r["kind"].isin(2, 5), F.col("theirs")).otherwise(F.col("ours"))
+    origin = lambda r: F.element_at(F.array(*map(F.lit, ORIGINS)), r["kind"] + 1)
+    lines = F.flatten(F.transform("made", lambda r: F.transform(F.slice(side(r), r["at"] + 1, r["n"]), lambda x: F.struct(x.alias("line"), origin(r).alias("origin")))))
+    return rows.select(F.when(~F.col("loose"), F.col("key")).alias("key"), F.posexplode(lines).alias("at", "x")).select("key", "at", "x.line", "x.origin")
 
 
 #: What marks a slot in a template line.

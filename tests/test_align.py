@@ -192,3 +192,26 @@ def test_no_row_a_text_is_broadcast_or_a_python_call(spark, tmp_path):
     got = {r.key: r.text for r in made[0].collect()}
     assert got == {str(i): f"Note\nTitle\nName: new\nEnd {i}\n" for i in range(50)}
     assert made[1].where("origin = 'base'").groupBy("key").count().where("count = 2").count() == 50
+
+
+def test_a_merge_is_a_row_a_key_until_its_lines_are_cut(spark, monkeypatch):
+    """No join, window or aggregate of a row a line; texts above the bound, whose gaps are dealt, merge alike."""
+    rng = random.Random(4)
+    bases = [[rng.choice(["a", "b", "", f"u{i}"]) for i in range(n)] for n in (0, 1, 7, 20, 400)]
+    docs = [(b, sample(rng, b), sample(rng, b)) for b in bases]
+    docs.append(tuple([rng.choice("ab") for _ in range(300)] for _ in range(3)))  # a gap of more steps than are solved where it is found
+    docs += [([], ["x"], []), (["x"], [], ["x", "y"]), ([], [], [])]
+    side = lambda k: spark.createDataFrame([(str(i), text(d[k])) for i, d in enumerate(docs)] + [(None, ("p\nq\n", "p\nr\n", "P\nq\n")[k]), ("none", None)], "k string, t string")
+    found = []
+    for most in (None, 500, -1):
+        if most is not None:
+            monkeypatch.setattr(align, "_WHOLE", most)
+        df = align.merged3(side(0), side(1), side(2), "k", "t")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and not [x for x in plan.splitlines() if "Join" in x and "at#" in x]
+        found.append(sorted(map(tuple, df.collect()), key=str))
+    assert found[0] == found[1] == found[2]
+    assert [(x[2], x[3]) for x in found[0] if x[0] is None] == [("p", "conflict_ours"), ("r", "conflict_ours"), ("P", "conflict_theirs"), ("q", "conflict_theirs")]
+    assert not [x for x in found[0] if x[0] == "none"]
+    for i in range(len(docs)):
+        assert sorted(x[1] for x in found[0] if x[0] == str(i)) == list(range(sum(x[0] == str(i) for x in found[0])))
