@@ -215,3 +215,20 @@ def test_a_merge_is_a_row_a_key_until_its_lines_are_cut(spark, monkeypatch):
     assert not [x for x in found[0] if x[0] == "none"]
     for i in range(len(docs)):
         assert sorted(x[1] for x in found[0] if x[0] == str(i)) == list(range(sum(x[0] == str(i) for x in found[0])))
+
+
+def test_a_refreshed_text_is_a_row_a_key(spark, monkeypatch):
+    """No join, window or aggregate of a row a line; texts above the bound, null keys and several reviews of a key."""
+    lines = [f"Line {i}: |AA|" if i % 3 else f"same {i % 7}" for i in range(200)]
+    fill = lambda x: [line.replace("|AA|", x) for line in lines]
+    docs = [(lines, fill("new"), ["Note", *fill("old")]), (["|AA|"], ["new"], []), ([], ["new"], ["mine"]), (["A |BB|"], [], ["A 1"])]
+    side = lambda k: [(str(i), text(d[k])) for i, d in enumerate(docs)] + [(None, ("|AA|\n", "new\n", "old\n")[k])]
+    frame = lambda rows: spark.createDataFrame(rows, "k string, t string")
+    for most in (None, 500, -1):
+        if most is not None:
+            monkeypatch.setattr(align, "_WHOLE", most)
+        df = align.refreshed(frame([*side(0), ("null", "|AA|\n")]), frame([*side(1), ("null", "new\n"), ("fresh", "new\n")]), frame([*side(2), ("1", "old"), ("null", None)]), "k", "t")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and not [x for x in plan.splitlines() if "Join" in x and "at#" in x]
+        want = [("0", text(["Note", *fill("new")])), ("1", ""), ("1", "new"), ("2", "mine\n"), ("3", "A 1\n"), (None, "old\n"), (None, "new\n"), ("null", None), ("fresh", "new\n")]
+        assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
